@@ -60,7 +60,7 @@ def _key(spark: SparkSession, sf: str) -> tuple:
 
 
 def star(spark: SparkSession, sf: str) -> st.Star:
-    """The star over all days; its dimensions are stored once per session."""
+    """The star over all days; its dimensions are stored once per session, its facts are lazy."""
     key = _key(spark, sf)
     if key not in _STARS:
         _STARS[key] = st.build(
@@ -86,7 +86,7 @@ def gold(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         marts = {
             "gold.kpi_daily": kpi.kpi_daily(s),
             "gold.deposits_by_segment": kpi.deposits_by_segment(s),
-            "gold.txn_by_channel": kpi.txn_by_channel(s.fact_transaction, s.dim_channel),
+            "gold.txn_by_channel": kpi.txn_by_channel(s),
             "gold.loans_by_status": kpi.loans_by_status(s.fact_loan),
             "gold.activity_by_source": kpi.activity_by_source(s.fact_transaction),
             "gold.ops_by_channel": kpi.ops_by_channel(txns),
@@ -210,9 +210,8 @@ def add_lineage(spark, sf):
 
 
 def incremental_window(spark, sf):
-    return bronze.incremental_window(bank.transactions(spark, sf), "posting_ts", "2024-01-15").select(
-        "txn_id", "account_id", "amount"
-    )
+    day = bronze.incremental_window(bank.table(spark, sf, "events"), "ts", "2024-01-15")
+    return bank.transactions_from(day).select("txn_id", "account_id", "amount")
 
 
 def source_connectors(spark, sf):
@@ -302,31 +301,35 @@ def dim_account_customer(spark, sf):
     )
 
 
+def keyed_star(spark: SparkSession, sf: str) -> st.Star:
+    return st.keyed(star(spark, sf))
+
+
 def fact_txn_keys(spark, sf):
-    return star(spark, sf).fact_transaction
+    return keyed_star(spark, sf).fact_transaction
 
 
 def fact_balance_keys(spark, sf):
-    return star(spark, sf).fact_account_balance
+    return keyed_star(spark, sf).fact_account_balance
 
 
 def fact_loan_keys(spark, sf):
     s = star(spark, sf)
-    return st.fact_loan_keys(bank.loans(spark, sf), s.dim_account)
+    return st.fact_account_keys(st.loan_values(bank.loans(spark, sf)), s.dim_account)
 
 
 def txn_customer(spark, sf):
-    s = star(spark, sf)
+    s = keyed_star(spark, sf)
     return st.txn_customer(s.fact_transaction, s.dim_account).select("txn_id", "account_sk", "customer_sk", "date_sk")
 
 
 def txn_channel(spark, sf):
-    s = star(spark, sf)
+    s = keyed_star(spark, sf)
     return st.txn_channel(s.fact_transaction, s.dim_channel).select("txn_id", "channel", "is_digital", "amount_eur")
 
 
 def balance_segment(spark, sf):
-    s = star(spark, sf)
+    s = keyed_star(spark, sf)
     return st.balance_segment(s.fact_account_balance, s.dim_account, s.dim_customer).select(
         "account_sk", "date_sk", "customer_sk", "segment", "balance_eur"
     )
@@ -499,7 +502,7 @@ def dq_gate(spark, sf):
 
 
 def dq_silver(spark, sf):
-    return quality.silver_checks(star(spark, sf))
+    return quality.silver_checks(keyed_star(spark, sf))
 
 
 def dq_gold_bounds(spark, sf):
@@ -657,8 +660,8 @@ def _queries() -> dict[str, Query]:
         "npl_flag": npl_flag,
         "loan_bucket": loan_bucket,
         "signed_amount": signed_amount,
-        "day_filter": on_star(lambda s: kpi.day_filter(s.fact_transaction, "2024-01-15")),
-        "latest_date_rows": on_star(lambda s: reports.latest_date_rows(kpi.loans_by_status(s.fact_loan))),
+        "day_filter": on_star(lambda s: kpi.day_filter(st.keyed(s).fact_transaction, "2024-01-15")),
+        "latest_date_rows": on_gold(lambda g: reports.latest_date_rows(g["gold.loans_by_status"])),
         "source_filter": on_star(
             lambda s: reports.source_filter(kpi.activity_by_source(s.fact_transaction), "loans")
         ),
@@ -678,21 +681,17 @@ def _queries() -> dict[str, Query]:
         "fee_income": on_star(lambda s: kpi.fee_income(s.fact_transaction)),
         "nim": on_star(lambda s: kpi.net_interest_margin(s.fact_transaction, s.fact_loan)),
         "npl_rate": on_star(lambda s: kpi.npl_rate(s.fact_loan)),
-        "active_customers": on_star(lambda s: kpi.active_customers(s.fact_transaction, s.dim_account)),
-        "digital_mix": on_star(lambda s: kpi.digital_mix(s.fact_transaction, s.dim_channel)),
+        "active_customers": on_star(kpi.active_customers),
+        "digital_mix": on_star(kpi.digital_mix),
         "txn_volume_value": on_star(lambda s: kpi.txn_volume_value(s.fact_transaction)),
         "kpi_daily": on_star(kpi.kpi_daily),
         "deposits_by_segment": on_star(kpi.deposits_by_segment),
-        "txn_by_channel": on_star(lambda s: kpi.txn_by_channel(s.fact_transaction, s.dim_channel)),
+        "txn_by_channel": on_star(kpi.txn_by_channel),
         "loans_by_status": on_star(lambda s: kpi.loans_by_status(s.fact_loan)),
         "value_counts": value_counts,
         "numeric_profile": lambda spark, sf: profile.numeric_profile(bank.transactions(spark, sf), "amount"),
         "share_of": share_of,
-        "sum_by_dim": on_star(
-            lambda s: reports.sum_by_dim(
-                kpi.txn_by_channel(s.fact_transaction, s.dim_channel), "channel", "txn_value_eur"
-            )
-        ),
+        "sum_by_dim": on_gold(lambda g: reports.sum_by_dim(g["gold.txn_by_channel"], "channel", "txn_value_eur")),
         "measures_by_dims": on_star(
             lambda s: measures.evaluate(
                 s,
@@ -723,9 +722,9 @@ def _queries() -> dict[str, Query]:
                 s, ["transaction_volume", "transaction_value", "active_customers"], ["channel", "segment"], "cube"
             )
         ),
-        "txn_net_flow": on_star(lambda s: kpi.txn_net_flow(s.fact_transaction)),
+        "txn_net_flow": on_star(kpi.txn_net_flow),
         "segment_growth": on_star(kpi.segment_growth),
-        "npl_by_product": on_star(lambda s: kpi.npl_by_product(s.fact_loan, s.dim_account)),
+        "npl_by_product": on_star(kpi.npl_by_product),
         "activity_by_source": on_star(lambda s: kpi.activity_by_source(s.fact_transaction)),
         "ops_by_channel": lambda spark, sf: kpi.ops_by_channel(bank.transactions(spark, sf)),
         "ops_processing_daily": lambda spark, sf: kpi.ops_processing_daily(bank.transactions(spark, sf)),

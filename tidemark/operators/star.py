@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as c
 from tidemark.operators.slices import dense_key, stable_key
+from tidemark.session import materialise
 
 
 @dataclass(frozen=True)
 class Star:
+    """Dimensions and facts. ``account_key`` and ``channel_key`` name the columns by which the facts reach
+    their dimensions: surrogate keys in stored silver, natural keys in facts not joined yet. A dimension has
+    both, so a plan over unjoined facts can aggregate first and look up a key once per group."""
+
     dim_customer: DataFrame
     dim_account: DataFrame
     dim_channel: DataFrame
@@ -20,14 +25,121 @@ class Star:
     fact_transaction: DataFrame
     fact_account_balance: DataFrame
     fact_loan: DataFrame
+    account_key: str = "account_sk"
+    channel_key: str = "channel_sk"
 
     @property
     def dim_date(self) -> DataFrame:
         return dim_date([self.fact_transaction, self.fact_account_balance, self.fact_loan])
 
-    def tables(self) -> dict[str, DataFrame]:
-        names = [*self.__dataclass_fields__, "dim_date"]
-        return {f"silver.{n}": getattr(self, n) for n in names}
+
+def drop_pii(df: DataFrame, pii: list[str], tokens: list[str], salt: str) -> DataFrame:
+    """Replace personal columns: those in ``tokens`` become ``<name>_token``, the others are left out."""
+    kept = [F.col(x) for x in df.columns if x not in pii]
+    return df.select(*kept, *[c.token(F.col(x), salt).alias(f"{x}_token") for x in pii if x in tokens])
+
+
+def _stamp(df: DataFrame, as_of: str) -> DataFrame:
+    return df.withColumns(
+        {
+            "valid_from": F.lit(as_of).cast("date"),
+            "valid_to": F.lit(None).cast("date"),
+            "is_current": F.lit(True),
+        }
+    )
+
+
+def dim_customer(customers: DataFrame, salt: str, as_of: str, stored: DataFrame | None = None) -> DataFrame:
+    safe = customers.select(
+        "customer_id", c.token(F.col("full_name"), salt).alias("customer_token"), "segment", "country"
+    )
+    return _stamp(stable_key(safe, stored, "customer_id", "customer_sk"), as_of)
+
+
+def dim_account_customer(accounts: DataFrame, customers: DataFrame) -> DataFrame:
+    """Accounts with the surrogate key of their customer."""
+    return accounts.join(customers.select("customer_id", "customer_sk"), "customer_id", "left")
+
+
+def dim_account(
+    accounts: DataFrame, customers: DataFrame, as_of: str, stored: DataFrame | None = None
+) -> DataFrame:
+    base = accounts.select("account_id", "customer_id", "product_type", "status")
+    keyed = stable_key(base, stored, "account_id", "account_sk")
+    return _stamp(dim_account_customer(keyed, customers), as_of)
+
+
+def lookup_dim(df: DataFrame, natural: str, key: str) -> DataFrame:
+    return dense_key(df, [natural], key, slices=1).withColumn(key, F.col(key).cast("int"))
+
+
+def txn_values(txns: DataFrame) -> DataFrame:
+    """EUR amount, flags and date key of each posting; natural keys are still there, personal columns not."""
+    kind = F.col("txn_type")
+    return txns.select(
+        "txn_id",
+        "account_id",
+        "channel",
+        c.to_eur(F.col("amount"), F.col("currency")).alias("amount_eur"),
+        "txn_type",
+        c.is_fee(kind).alias("is_fee"),
+        c.is_interest(kind).alias("is_interest"),
+        c.date_sk(F.col("posting_ts")).alias("date_sk"),
+    )
+
+
+def balance_values(snapshots: DataFrame) -> DataFrame:
+    product = F.col("product_type")
+    return snapshots.select(
+        "account_id",
+        c.to_eur(F.col("balance"), F.col("currency")).alias("balance_eur"),
+        c.is_deposit(product).alias("is_deposit"),
+        c.is_loan(product).alias("is_loan"),
+        c.date_sk(F.col("snapshot_date")).alias("date_sk"),
+    )
+
+
+def loan_values(snapshots: DataFrame) -> DataFrame:
+    """Loans are in EUR already."""
+    return snapshots.select(
+        "loan_id",
+        "account_id",
+        c.money(F.col("principal_outstanding")).alias("principal_outstanding_eur"),
+        "interest_rate",
+        "days_past_due",
+        c.is_npl(F.col("days_past_due")).alias("is_npl"),
+        c.date_sk(F.col("snapshot_date")).alias("date_sk"),
+    )
+
+
+def fact_account_keys(values: DataFrame, accounts: DataFrame) -> DataFrame:
+    """The account's surrogate key for its natural key. Neither side is hinted: a small dimension is broadcast
+    by its measured size, a large one is merge-joined and a hot account is split by the skew join."""
+    return values.join(accounts.select("account_id", "account_sk"), "account_id", "left").drop("account_id")
+
+
+def fact_txn_keys(values: DataFrame, accounts: DataFrame, channels: DataFrame) -> DataFrame:
+    return (
+        fact_account_keys(values, accounts)
+        .join(channels.select("channel", "channel_sk"), "channel", "left")
+        .drop("channel")
+    )
+
+
+def keyed(star: Star) -> Star:
+    """The star with surrogate keys in its facts, as it is stored."""
+    return replace(
+        star,
+        fact_transaction=fact_txn_keys(star.fact_transaction, star.dim_account, star.dim_channel),
+        fact_account_balance=fact_account_keys(star.fact_account_balance, star.dim_account),
+        fact_loan=fact_account_keys(star.fact_loan, star.dim_account),
+        account_key="account_sk",
+        channel_key="channel_sk",
+    )
+
+
+def dim_date(self) -> DataFrame:
+        return dim_date([self.fact_transaction, self.fact_account_balance, self.fact_loan])
 
 
 def drop_pii(df: DataFrame, pii: list[str], tokens: list[str], salt: str) -> DataFrame:
@@ -145,38 +257,46 @@ def build(
     products: DataFrame,
     salt: str,
     as_of: str,
+    stored_customers: DataFrame | None = None,
+    stored_accounts: DataFrame | None = None,
 ) -> Star:
-    customer_dim = dim_customer(customers, salt, as_of)
-    account_dim = dim_account(accounts, customer_dim, as_of)
-    channel_dim = lookup_dim(channels, "channel", "channel_sk")
+    """The star of the given sources: dimensions stored, facts lazy and by natural key.
+
+    Keys already given out in stored dimensions are kept.
+    """
+    customer_dim = materialise(dim_customer(customers, salt, as_of, stored_customers), "dim-customer")
     return Star(
         dim_customer=customer_dim,
-        dim_account=account_dim,
-        dim_channel=channel_dim,
-        dim_product=lookup_dim(products, "product_type", "product_sk"),
-        fact_transaction=fact_txn_keys(txn_values(transactions), account_dim, channel_dim),
-        fact_account_balance=fact_balance_keys(account_snapshots, account_dim),
-        fact_loan=fact_loan_keys(loan_snapshots, account_dim),
+        dim_account=materialise(dim_account(accounts, customer_dim, as_of, stored_accounts), "dim-account"),
+        dim_channel=materialise(lookup_dim(channels, "channel", "channel_sk"), "dim-channel"),
+        dim_product=materialise(lookup_dim(products, "product_type", "product_sk"), "dim-product"),
+        fact_transaction=txn_values(transactions),
+        fact_account_balance=balance_values(account_snapshots),
+        fact_loan=loan_values(loan_snapshots),
+        account_key="account_id",
+        channel_key="channel",
     )
 
 
 # joins over the star -------------------------------------------------------------------------------------
 
 
-def txn_customer(txns: DataFrame, accounts: DataFrame) -> DataFrame:
-    return txns.join(accounts.select("account_sk", "customer_sk"), "account_sk", "left")
+def txn_customer(txns: DataFrame, accounts: DataFrame, key: str = "account_sk") -> DataFrame:
+    return txns.join(accounts.select(key, "customer_sk"), key, "left")
 
 
-def txn_channel(txns: DataFrame, channels: DataFrame) -> DataFrame:
-    return txns.join(channels.select("channel_sk", "channel", "is_digital"), "channel_sk", "left")
+def txn_channel(txns: DataFrame, channels: DataFrame, key: str = "channel_sk") -> DataFrame:
+    return txns.join(channels.select(*dict.fromkeys([key, "channel", "is_digital"])), key, "left")
 
 
-def balance_segment(balances: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataFrame:
+def balance_segment(
+    balances: DataFrame, accounts: DataFrame, customers: DataFrame, key: str = "account_sk"
+) -> DataFrame:
     """Two hops: balance to account to customer."""
-    owner = accounts.select("account_sk", "customer_sk").join(
+    owner = accounts.select(key, "customer_sk").join(
         customers.select("customer_sk", "segment"), "customer_sk", "left"
     )
-    return balances.join(owner, "account_sk", "left")
+    return balances.join(owner, key, "left")
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:

@@ -37,20 +37,22 @@ def loans_daily(loans: DataFrame) -> DataFrame:
     )
 
 
-def txns_daily(txns: DataFrame, accounts: DataFrame, channels: DataFrame) -> DataFrame:
+def txns_daily(star: s.Star) -> DataFrame:
     """All transaction measures of a day from one scan.
 
     The facts are combined per (day, account, channel) before they meet a dimension, so a hot account is one
     row per day and channel by the time it is shuffled for a join.
     """
     amount = F.col("amount_eur")
-    small = txns.groupBy("date_sk", "account_sk", "channel_sk").agg(
+    small = star.fact_transaction.groupBy("date_sk", star.account_key, star.channel_key).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.abs(amount)).alias("value"),
         c.sum_where(F.col("is_fee"), amount).alias("fee"),
         c.sum_where(F.col("is_interest"), amount).alias("interest"),
     )
-    joined = s.txn_channel(s.txn_customer(small, accounts), channels)
+    joined = s.txn_channel(
+        s.txn_customer(small, star.dim_account, star.account_key), star.dim_channel, star.channel_key
+    )
     return joined.groupBy("date_sk").agg(
         F.sum("n").alias("n"),
         F.sum("value").alias("value"),
@@ -70,9 +72,7 @@ def kpi_base(star: s.Star) -> DataFrame:
     stacked = (
         deposits_daily(star.fact_account_balance).withColumn("run_day", F.lit(True))
         .unionByName(loans_daily(star.fact_loan).withColumn("run_day", F.lit(True)), allowMissingColumns=True)
-        .unionByName(
-            txns_daily(star.fact_transaction, star.dim_account, star.dim_channel), allowMissingColumns=True
-        )
+        .unionByName(txns_daily(star), allowMissingColumns=True)
     )
     zero = F.lit(0)
     return (
@@ -169,19 +169,21 @@ def npl_rate(loans: DataFrame) -> DataFrame:
     return _named(loans_daily(loans)).select("date", F.round(rate * 100, 2).alias("npl_rate_pct"))
 
 
-def active_customers(txns: DataFrame, accounts: DataFrame, approximate: bool = False) -> DataFrame:
+def active_customers(star: s.Star, approximate: bool = False) -> DataFrame:
     """Distinct customers per day; duplicates go before the join. The approximate form keeps a sketch per day."""
-    seen = s.txn_customer(txns.select("date_sk", "account_sk").distinct(), accounts)
+    key = star.account_key
+    seen = s.txn_customer(star.fact_transaction.select("date_sk", key).distinct(), star.dim_account, key)
     count = F.approx_count_distinct if approximate else F.count_distinct
     return _named(seen.groupBy("date_sk").agg(count("customer_sk").alias("n"))).select(
         "date", F.col("n").cast("bigint").alias("active_customers")
     )
 
 
-def digital_mix(txns: DataFrame, channels: DataFrame) -> DataFrame:
+def digital_mix(star: s.Star) -> DataFrame:
     """Share of digital postings; a posting of an unknown channel is left out of the divisor."""
-    small = txns.groupBy("date_sk", "channel_sk").agg(F.count(F.lit(1)).alias("n"))
-    daily = s.txn_channel(small, channels).groupBy("date_sk").agg(
+    key = star.channel_key
+    small = star.fact_transaction.groupBy("date_sk", key).agg(F.count(F.lit(1)).alias("n"))
+    daily = s.txn_channel(small, star.dim_channel, key).groupBy("date_sk").agg(
         F.sum(F.when(F.col("is_digital"), F.col("n")).when(~F.col("is_digital"), 0)).alias("digital"),
         F.sum(F.when(F.col("is_digital").isNotNull(), F.col("n"))).alias("known"),
     )
@@ -204,17 +206,21 @@ def deposits_by_segment(star: s.Star) -> DataFrame:
 
     A balance is one row per account and day, so no account can be hot here.
     """
-    deposits = star.fact_account_balance.where("is_deposit").select("date_sk", "account_sk", "balance_eur")
-    rows = s.balance_segment(deposits, star.dim_account, star.dim_customer).where(F.col("segment").isNotNull())
+    key = star.account_key
+    deposits = star.fact_account_balance.where("is_deposit").select("date_sk", key, "balance_eur")
+    rows = s.balance_segment(deposits, star.dim_account, star.dim_customer, key).where(F.col("segment").isNotNull())
     mart = _named(rows.groupBy("date_sk", "segment").agg(F.sum("balance_eur").alias("deposits_eur")))
     return _double(mart, "deposits_eur").select("date", "segment", "deposits_eur")
 
 
-def txn_by_channel(txns: DataFrame, channels: DataFrame) -> DataFrame:
-    small = txns.groupBy("date_sk", "channel_sk").agg(
+def txn_by_channel(star: s.Star) -> DataFrame:
+    key = star.channel_key
+    small = star.fact_transaction.groupBy("date_sk", key).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.abs("amount_eur")).alias("value")
     )
-    rows = s.txn_channel(small, channels).where(F.col("channel").isNotNull() & F.col("is_digital").isNotNull())
+    rows = s.txn_channel(small, star.dim_channel, key).where(
+        F.col("channel").isNotNull() & F.col("is_digital").isNotNull()
+    )
     mart = rows.groupBy("date_sk", "channel", "is_digital").agg(
         F.sum("n").alias("txn_count"), F.sum("value").cast("double").alias("txn_value_eur")
     )
@@ -238,15 +244,16 @@ def segment_growth(star: s.Star) -> DataFrame:
     )
 
 
-def npl_by_product(loans: DataFrame, accounts: DataFrame) -> DataFrame:
+def npl_by_product(star: s.Star) -> DataFrame:
     """Outstanding and non-performing principal per day, status and product of the account."""
-    small = loans.withColumn("status", c.loan_bucket(F.col("days_past_due"))).groupBy(
-        "date_sk", "account_sk", "status"
+    key = star.account_key
+    small = star.fact_loan.withColumn("status", c.loan_bucket(F.col("days_past_due"))).groupBy(
+        "date_sk", key, "status"
     ).agg(
         F.sum("principal_outstanding_eur").alias("principal"),
         c.sum_where(F.col("is_npl"), F.col("principal_outstanding_eur")).alias("npl"),
     )
-    rows = small.join(accounts.select("account_sk", "product_type"), "account_sk", "left").where(
+    rows = small.join(star.dim_account.select(key, "product_type"), key, "left").where(
         F.col("status").isNotNull() & F.col("product_type").isNotNull()
     )
     mart = rows.groupBy("date_sk", "status", "product_type").agg(
@@ -256,14 +263,16 @@ def npl_by_product(loans: DataFrame, accounts: DataFrame) -> DataFrame:
     return _named(mart).select("date", "status", "product_type", "principal_outstanding_eur", "npl_eur")
 
 
-def txn_net_flow(txns: DataFrame) -> DataFrame:
+def txn_net_flow(star: s.Star) -> DataFrame:
     """Credits minus debits per account and day."""
-    amount = F.col("amount_eur")
-    flow = txns.groupBy("account_sk", "date_sk").agg(
+    amount, key = F.col("amount_eur"), star.account_key
+    flow = star.fact_transaction.groupBy(key, "date_sk").agg(
         c.sum_where(amount > 0, amount).alias("credits"),
         c.sum_where(amount < 0, -amount).alias("debits"),
     )
     out = flow.withColumn("net_flow_eur", F.col("credits") - F.col("debits"))
+    if key != "account_sk":
+        out = out.join(star.dim_account.select(key, "account_sk"), key, "left")
     return _double(_named(out), "credits", "debits", "net_flow_eur").select(
         "account_sk", "date", "credits", "debits", "net_flow_eur"
     )

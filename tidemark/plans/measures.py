@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as c
-from tidemark.operators.star import Star
+from tidemark.operators.star import Star, txn_channel
 
 ACCOUNT_DIMS = {"product_type", "status"}
 CUSTOMER_DIMS = {"segment", "country"}
@@ -53,17 +53,17 @@ def _small(star: Star, fact: str, dated: bool) -> DataFrame:
     """The fact combined to its keys, before any dimension is joined."""
     if fact == "balance":
         rows = star.fact_account_balance if dated else _last_day(star.fact_account_balance)
-        return rows.groupBy("date_sk", "account_sk").agg(
+        return rows.groupBy("date_sk", star.account_key).agg(
             c.sum_where(F.col("is_deposit"), F.col("balance_eur")).alias("deposits")
         )
     if fact == "loan":
         rows = star.fact_loan if dated else _last_day(star.fact_loan)
         principal = F.col("principal_outstanding_eur")
-        return rows.groupBy("date_sk", "account_sk").agg(
+        return rows.groupBy("date_sk", star.account_key).agg(
             F.sum(principal).alias("loans"), c.sum_where(F.col("is_npl"), principal).alias("npl")
         )
     amount = F.col("amount_eur")
-    return star.fact_transaction.groupBy("date_sk", "account_sk", "channel_sk").agg(
+    return star.fact_transaction.groupBy("date_sk", star.account_key, star.channel_key).agg(
         c.sum_where(F.col("is_interest"), amount).alias("interest"),
         (-c.sum_where(F.col("is_fee"), amount)).alias("fee"),
         F.count(F.lit(1)).alias("volume"),
@@ -73,13 +73,13 @@ def _small(star: Star, fact: str, dated: bool) -> DataFrame:
 
 def _with_dims(star: Star, small: DataFrame, fact: str, dims: set[str]) -> DataFrame:
     if dims & (ACCOUNT_DIMS | CUSTOMER_DIMS) or fact == "txn":
-        accounts = star.dim_account.select("account_sk", "customer_sk", *sorted(dims & ACCOUNT_DIMS))
+        accounts = star.dim_account.select(star.account_key, "customer_sk", *sorted(dims & ACCOUNT_DIMS))
         if dims & CUSTOMER_DIMS:
             customers = star.dim_customer.select("customer_sk", *sorted(dims & CUSTOMER_DIMS))
             accounts = accounts.join(customers, "customer_sk", "left")
-        small = small.join(accounts, "account_sk", "left")
+        small = small.join(accounts, star.account_key, "left")
     if fact == "txn":
-        small = small.join(star.dim_channel.select("channel_sk", "channel", "is_digital"), "channel_sk", "left")
+        small = txn_channel(small, star.dim_channel, star.channel_key)
     if "date" in dims:
         small = small.withColumn("date", c.iso(c.sk_to_date(F.col("date_sk"))))
     return small
@@ -125,9 +125,11 @@ def evaluate(star: Star, measures: list[str], dims: list[str], subtotals: str |
     out = out.groupBy(*keys).agg(*[F.sum(x).alias(x) for x in parts])
     for fact in narrow:
         by = [d for d in dims if d in REACH[fact]]
-        side = grouped(fact, by).withColumn("_all", F.lit(1)).withColumnsRenamed({d: f"_{d}" for d in by})
-        on = F.col("_one") == F.col("_all")
-        for d in by:
-            on = on & F.col(d).eqNullSafe(F.col(f"_{d}"))
-        out = out.withColumn("_one", F.lit(1)).join(side, on, "left").drop("_one", "_all", *[f"_{d}" for d in by])
+        side = grouped(fact, by)
+        if not by:
+            out = out.withColumns({x: side.select(x).scalar() for x in side.columns})
+        else:
+            other = side.withColumnsRenamed({d: f"_{d}" for d in by})
+            on = [F.col(d).eqNullSafe(F.col(f"_{d}")) for d in by]
+            out = out.join(other, on, "left").drop(*[f"_{d}" for d in by])
     return out.select(*keys, *[MEASURES[m][0].alias(m) for m in measures])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.plans.kpi import kpi_long
+from tidemark.session import literal_rows
 
 
 def latest_date_rows(df: DataFrame) -> DataFrame:
@@ -70,24 +71,21 @@ def resolve(gold: dict[str, DataFrame], template: dict, source: str | None = Non
 
     A table that is absent, lacks the column, or has no rows gives one row of type ``empty``.
     """
-    out = None
+    spark, out = next(iter(gold.values())).sparkSession, None
     for i, visual in enumerate(template["visuals"], start=1):
         name = visual[1]
         if not name.startswith("gold."):
             raise ValueError(f"template {template['id']!r} binds outside gold: {name}")
-        scoped = template.get("by_source") and visual[-1] is True
-        df = gold.get(name)
-        body = _visual(source_filter(df, source) if scoped else df, visual) if df is not None else None
-        some = next(iter(gold.values()))
-        mark = some.sparkSession.range(1, numPartitions=1).select(
-            F.lit("empty").alias("type"), F.lit(name).alias("series"),
-            F.lit(None).cast("string").alias("x"), F.lit(None).cast("double").alias("value"),
-        )
-        if body is not None:
-            # the mark is kept only if the visual has no row: one aggregate row decides
-            mark = mark.where(body.agg(F.count(F.lit(1)).alias("n")).scalar() == 0)
-            mark = body.unionByName(mark)
-        rows = mark.select(F.lit(template["id"]).alias("template"), F.lit(i).alias("visual"), "*")
+        body, df = None, gold.get(name)
+        if df is not None:
+            scoped = template.get("by_source") and visual[-1] is True
+            df = source_filter(df, source) if scoped else df
+            body = None if df.isEmpty() else _visual(df, visual)
+        if body is None:
+            body = literal_rows(
+                spark, [("empty", name, None, None)], "type string, series string, x string, value double"
+            )
+        rows = body.select(F.lit(template["id"]).alias("template"), F.lit(i).alias("visual"), "*")
         out = rows if out is None else out.unionByName(rows)
     return out
 

@@ -14,7 +14,6 @@ from tidemark import fixed
 from tidemark.functions import columns as c
 from tidemark.operators import quality, star as s
 from tidemark.plans import kpi as k
-from tidemark.session import materialise
 from tidemark.sources.bronze import SourceConfig, land
 from tidemark.sources.lake import BATCH, Lake
 
@@ -26,6 +25,8 @@ MANIFEST = (
     "at:string>>, status string"
 )
 LOOKUP_BATCH = "current"
+DIMS = ("dim_customer", "dim_account", "dim_channel", "dim_product")
+FACTS = ("fact_transaction", "fact_account_balance", "fact_loan")
 
 
 def _now() -> str:
@@ -103,33 +104,24 @@ def write_silver(lake: Lake, run: Run, salt: str) -> int:
     def stored(name: str) -> DataFrame | None:
         return lake.scan(name) if lake.exists(name) else None
 
-    # the keys come from the stored dimension, so the new one is complete before the table is replaced
-    customers = materialise(
-        s.dim_customer(lake.scan("bronze.customers"), salt, run.day, stored("silver.dim_customer")), "dim_customer"
-    )
-    accounts = materialise(
-        s.dim_account(lake.scan("bronze.accounts"), customers, run.day, stored("silver.dim_account")), "dim_account"
+    star = s.keyed(
+        s.build(
+            customers=lake.scan("bronze.customers"),
+            accounts=lake.scan("bronze.accounts"),
+            account_snapshots=lake.scan("bronze.accounts"),
+            loan_snapshots=lake.scan("bronze.loans"),
+            transactions=lake.scan("bronze.transactions").where(F.to_date("posting_ts") == day),
+            channels=lake.scan("bronze.reference_channels").select("channel", "is_digital"),
+            products=lake.scan("bronze.reference_products").select("product_type", "product_name"),
+            salt=salt,
+            as_of=run.day,
+            stored_customers=stored("silver.dim_customer"),
+            stored_accounts=stored("silver.dim_account"),
+        )
     )
-    dims = {
-        "dim_customer": customers,
-        "dim_account": accounts,
-        "dim_channel": s.lookup_dim(lake.scan("bronze.reference_channels").select("channel", "is_digital"),
-                                    "channel", "channel_sk"),
-        "dim_product": s.lookup_dim(lake.scan("bronze.reference_products").select("product_type", "product_name"),
-                                    "product_type", "product_sk"),
-    }
-    rows = sum(lake.write(f"silver.{n}", df, "overwrite", LOOKUP_BATCH) for n, df in dims.items())
-    facts = {
-        "fact_transaction": s.fact_txn_keys(
-            s.txn_values(lake.scan("bronze.transactions").where(F.to_date("posting_ts") == day)),
-            dims["dim_account"], dims["dim_channel"],
-        ),
-        "fact_account_balance": s.fact_balance_keys(lake.scan("bronze.accounts"), dims["dim_account"]),
-        "fact_loan": s.fact_loan_keys(lake.scan("bronze.loans"), dims["dim_account"]),
-    }
-    for name, fact in facts.items():
-        rows += lake.write(f"silver.{name}", fact, "append", run.day)
-    dates = s.dim_date([lake.scan(f"silver.{n}") for n in facts])
+    rows = sum(lake.write(f"silver.{n}", getattr(star, n), "overwrite", LOOKUP_BATCH) for n in DIMS)
+    rows += sum(lake.write(f"silver.{n}", getattr(star, n), "append", run.day) for n in FACTS)
+    dates = s.dim_date([lake.scan(f"silver.{n}") for n in FACTS])
     return rows + lake.write("silver.dim_date", dates, "overwrite", LOOKUP_BATCH)
 
 
@@ -140,8 +132,7 @@ def stored_star(lake: Lake, day: str | None = None) -> s.Star:
         df = lake.scan(f"silver.{name}", keep_batch=True)
         return (df.where(F.col(BATCH).cast("string") == day) if day else df).drop(BATCH)
 
-    dims = {n: lake.scan(f"silver.{n}") for n in ("dim_customer", "dim_account", "dim_channel", "dim_product")}
-    return s.Star(**dims, **{n: fact(n) for n in ("fact_transaction", "fact_account_balance", "fact_loan")})
+    return s.Star(**{n: lake.scan(f"silver.{n}") for n in DIMS}, **{n: fact(n) for n in FACTS})
 
 
 def write_gold(lake: Lake, day: str) -> int:
@@ -151,7 +142,7 @@ def write_gold(lake: Lake, day: str) -> int:
         prior = k.latest_row(lake.scan("gold.kpi_daily").where(F.col("date") < day))
     rows = lake.write("gold.kpi_daily", k.kpi_daily(star, prior).where(F.col("date") == day), "append", day)
     lake.write("gold.deposits_by_segment", k.deposits_by_segment(star), "append", day)
-    lake.write("gold.txn_by_channel", k.txn_by_channel(star.fact_transaction, star.dim_channel), "append", day)
+    lake.write("gold.txn_by_channel", k.txn_by_channel(star), "append", day)
     lake.write("gold.loans_by_status", k.loans_by_status(star.fact_loan), "append", day)
     return rows
 
