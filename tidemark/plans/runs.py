@@ -130,7 +130,7 @@ def stored_star(lake: Lake, day: str | None = None) -> s.Star:
 
     def fact(name: str) -> DataFrame:
         df = lake.scan(f"silver.{name}", keep_batch=True)
-        return (df.where(F.col(BATCH).cast("string") == day) if day else df).drop(BATCH)
+        return (df.where(F.col(BATCH) == day) if day else df).drop(BATCH)
 
     return s.Star(**{n: lake.scan(f"silver.{n}") for n in DIMS}, **{n: fact(n) for n in FACTS})
 

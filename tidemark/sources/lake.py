@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 BATCH = "_batch"
@@ -20,8 +21,14 @@ class Lake:
         return f"{self.root}/{layer}/{name}"
 
     def scan(self, table: str, keep_batch: bool = False) -> DataFrame:
-        """All batches of a table, united by column name. A filter on the batch prunes folders."""
-        df = self.spark.read.option("mergeSchema", True).option("basePath", self.path(table)).parquet(self.path(table))
+        """All batches of a table, united by column name. A filter on the batch prunes folders.
+
+        The batch is read as text, as it was written.
+        """
+        path = self.path(table)
+        merged = self.spark.read.option("mergeSchema", True).parquet(path).schema
+        fields = [T.StructField(BATCH, T.StringType()) if f.name == BATCH else f for f in merged]
+        df = self.spark.read.schema(T.StructType(fields)).parquet(path)
         return df if keep_batch else df.drop(BATCH)
 
     def exists(self, table: str) -> bool:
