@@ -13,7 +13,8 @@ SALT_KEY = "spark.tidemark.pii.salt"
 
 
 def money(col: Column) -> Column:
-    return F.round(col, 2).cast(MONEY)
+    """Two decimals; the cast rounds half away from zero."""
+    return col.cast(MONEY)
 
 
 def fx_rate(currency: Column, rates: dict[str, str] = fixed.FX_RATES) -> Column:

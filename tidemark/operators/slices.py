@@ -1,11 +1,14 @@
 """Global order without a global task: dense keys and running totals that no hot key can pile up.
 
 Rows are range-partitioned by a unique order and stored with their slice number and their position in it.
-What crosses slices is one small row per slice, so the only thing broadcast is as long as the number of slices.
+What crosses slices is one small row per slice, so nothing longer than the number of slices is collected or
+broadcast.
 """
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,17 +39,15 @@ def ordered_slices(df: DataFrame, order: list[str | Column], slices: int | None
 
 
 def dense_key(df: DataFrame, order: list[str | Column], name: str, slices: int | None = None) -> DataFrame:
-    """Add 1..n in ``order``."""
+    """Add 1..n in ``order``: the position in the slice plus the rows of the slices before it.
+
+    Only the row counts of the slices reach the driver, one number each.
+    """
     rows = ordered_slices(df, order, slices)
-    before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(SLICE)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(SLICE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
-    # one row per slice, so the broadcast is bounded by the number of slices
-    keyed = rows.join(F.broadcast(offsets), SLICE)
-    return keyed.select((F.col("_offset") + F.col(POS) + 1).alias(name), *df.columns)
+    counts = {r[SLICE]: r["count"] for r in rows.groupBy(SLICE).count().collect()}
+    before = list(accumulate((counts.get(i, 0) for i in range(max(counts, default=0))), initial=0))
+    offset = F.element_at(F.lit(before).cast("array<bigint>"), F.col(SLICE) + 1)
+    return rows.select((offset + F.col(POS) + 1).alias(name), *df.columns)
 
 
 def stable_key(

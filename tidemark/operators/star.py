@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as c
@@ -16,7 +16,11 @@ from tidemark.session import materialise
 class Star:
     """Dimensions and facts. ``account_key`` and ``channel_key`` name the columns by which the facts reach
     their dimensions: surrogate keys in stored silver, natural keys in facts not joined yet. A dimension has
-    both, so a plan over unjoined facts can aggregate first and look up a key once per group."""
+    both, so a plan over unjoined facts can aggregate first and look up a key once per group.
+
+    ``lookup_first`` says that the account dimension was counted and is small enough to be broadcast: then
+    facts take its attributes as they are scanned, and only a few rows per result group are shuffled.
+    """
 
     dim_customer: DataFrame
     dim_account: DataFrame
@@ -27,12 +31,31 @@ class Star:
     fact_loan: DataFrame
     account_key: str = "account_sk"
     channel_key: str = "channel_sk"
+    lookup_first: bool = False
 
     @property
     def dim_date(self) -> DataFrame:
         return dim_date([self.fact_transaction, self.fact_account_balance, self.fact_loan])
 
 
+SMALL_DIM_ROWS = 400_000  # two or three narrow columns of so many rows stay below the broadcast threshold
+
+
+def is_small(dim: DataFrame) -> bool:
+    return dim.limit(SMALL_DIM_ROWS + 1).count() <= SMALL_DIM_ROWS
+
+
+def by_keys(star: Star, facts: DataFrame, keys: list[str], parts: dict[str, Column]) -> DataFrame:
+    """Additive parts of facts by the keys of their dimensions, ready for a lookup and a further sum.
+
+    Beside a large dimension the facts are combined first, map-side, so a hot key is one row per group when it
+    is shuffled for the lookup.
+    """
+    if star.lookup_first:
+        return facts.select(*keys, *[part.alias(name) for name, part in parts.items()])
+    return facts.groupBy(*keys).agg(*[F.sum(part).alias(name) for name, part in parts.items()])
+
+
 def drop_pii(df: DataFrame, pii: list[str], tokens: list[str], salt: str) -> DataFrame:
     """Replace personal columns: those in ``tokens`` become ``<name>_token``, the others are left out."""
     kept = [F.col(x) for x in df.columns if x not in pii]
@@ -70,7 +93,8 @@ def dim_account(
 
 
 def lookup_dim(df: DataFrame, natural: str, key: str) -> DataFrame:
-    return dense_key(df, [natural], key, slices=1).withColumn(key, F.col(key).cast("int"))
+    """Key of a lookup table, which is a handful of rows by definition."""
+    return df.select(F.row_number().over(Window.orderBy(natural)).alias(key), *df.columns)
 
 
 def txn_values(txns: DataFrame) -> DataFrame:
@@ -264,17 +288,21 @@ def build(
 
     Keys already given out in stored dimensions are kept.
     """
-    customer_dim = materialise(dim_customer(customers, salt, as_of, stored_customers), "dim-customer")
+    customer_dim = dim_customer(customers, salt, as_of, stored_customers)
+    if stored_customers is not None:
+        customer_dim = materialise(customer_dim, "dim-customer")
+    account_dim = materialise(dim_account(accounts, customer_dim, as_of, stored_accounts), "dim-account")
     return Star(
         dim_customer=customer_dim,
-        dim_account=materialise(dim_account(accounts, customer_dim, as_of, stored_accounts), "dim-account"),
-        dim_channel=materialise(lookup_dim(channels, "channel", "channel_sk"), "dim-channel"),
-        dim_product=materialise(lookup_dim(products, "product_type", "product_sk"), "dim-product"),
+        dim_account=account_dim,
+        dim_channel=lookup_dim(channels, "channel", "channel_sk"),
+        dim_product=lookup_dim(products, "product_type", "product_sk"),
         fact_transaction=txn_values(transactions),
         fact_account_balance=balance_values(account_snapshots),
         fact_loan=loan_values(loan_snapshots),
         account_key="account_id",
         channel_key="channel",
+        lookup_first=is_small(account_dim),
     )
 
 

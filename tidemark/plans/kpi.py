@@ -38,32 +38,33 @@ def loans_daily(loans: DataFrame) -> DataFrame:
 
 
 def txns_daily(star: s.Star) -> DataFrame:
-    """All transaction measures of a day from one scan.
-
-    The facts are combined per (day, account, channel) before they meet a dimension, so a hot account is one
-    row per day and channel by the time it is shuffled for a join.
-    """
-    amount = F.col("amount_eur")
-    small = star.fact_transaction.groupBy("date_sk", star.account_key, star.channel_key).agg(
+    """Additive measures of a day. The facts are combined per (day, channel) before the channel is looked up."""
+    amount, key = F.col("amount_eur"), star.channel_key
+    small = star.fact_transaction.groupBy("date_sk", key).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.abs(amount)).alias("value"),
         c.sum_where(F.col("is_fee"), amount).alias("fee"),
         c.sum_where(F.col("is_interest"), amount).alias("interest"),
     )
-    joined = s.txn_channel(
-        s.txn_customer(small, star.dim_account, star.account_key), star.dim_channel, star.channel_key
-    )
-    return joined.groupBy("date_sk").agg(
+    return s.txn_channel(small, star.dim_channel, key).groupBy("date_sk").agg(
         F.sum("n").alias("n"),
         F.sum("value").alias("value"),
         (-F.sum("fee")).alias("fee"),
         F.sum("interest").alias("interest"),
-        F.count_distinct("customer_sk").alias("active"),
         F.sum(F.when(F.col("is_digital").isNotNull(), F.col("n"))).alias("known"),
         F.sum(F.when(F.col("is_digital"), F.col("n")).when(~F.col("is_digital"), 0)).alias("digital"),
     )
 
 
+def active_daily(star: s.Star, approximate: bool = False) -> DataFrame:
+    """Distinct customers of a day. Only distinct (day, account) pairs are shuffled: two narrow columns, with
+    repeats dropped map-side, so a hot account is one pair per day and task."""
+    key = star.account_key
+    seen = s.txn_customer(star.fact_transaction.select("date_sk", key).distinct(), star.dim_account, key)
+    count = F.approx_count_distinct if approximate else F.count_distinct
+    return seen.groupBy("date_sk").agg(count("customer_sk").alias("active"))
+
+
 def kpi_base(star: s.Star) -> DataFrame:
     """One row per run day. A run day has a balance or loan snapshot; its transactions may be missing.
 
@@ -73,6 +74,7 @@ def kpi_base(star: s.Star) -> DataFrame:
         deposits_daily(star.fact_account_balance).withColumn("run_day", F.lit(True))
         .unionByName(loans_daily(star.fact_loan).withColumn("run_day", F.lit(True)), allowMissingColumns=True)
         .unionByName(txns_daily(star), allowMissingColumns=True)
+        .unionByName(active_daily(star), allowMissingColumns=True)
     )
     zero = F.lit(0)
     return (
@@ -170,13 +172,8 @@ def npl_rate(loans: DataFrame) -> DataFrame:
 
 
 def active_customers(star: s.Star, approximate: bool = False) -> DataFrame:
-    """Distinct customers per day; duplicates go before the join. The approximate form keeps a sketch per day."""
-    key = star.account_key
-    seen = s.txn_customer(star.fact_transaction.select("date_sk", key).distinct(), star.dim_account, key)
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    return _named(seen.groupBy("date_sk").agg(count("customer_sk").alias("n"))).select(
-        "date", F.col("n").cast("bigint").alias("active_customers")
-    )
+    """Distinct customers per day; the approximate form keeps a sketch per day."""
+    return _named(active_daily(star, approximate)).select("date", F.col("active").cast("bigint").alias("active_customers"))
 
 
 def digital_mix(star: s.Star) -> DataFrame:
@@ -246,19 +243,16 @@ def segment_growth(star: s.Star) -> DataFrame:
 
 def npl_by_product(star: s.Star) -> DataFrame:
     """Outstanding and non-performing principal per day, status and product of the account."""
-    key = star.account_key
-    small = star.fact_loan.withColumn("status", c.loan_bucket(F.col("days_past_due"))).groupBy(
-        "date_sk", key, "status"
-    ).agg(
-        F.sum("principal_outstanding_eur").alias("principal"),
-        c.sum_where(F.col("is_npl"), F.col("principal_outstanding_eur")).alias("npl"),
-    )
+    key, principal = star.account_key, F.col("principal_outstanding_eur")
+    loans = star.fact_loan.withColumn("status", c.loan_bucket(F.col("days_past_due")))
+    parts = {"principal": principal, "npl": F.when(F.col("is_npl"), principal)}
+    small = s.by_keys(star, loans, ["date_sk", key, "status"], parts)
     rows = small.join(star.dim_account.select(key, "product_type"), key, "left").where(
         F.col("status").isNotNull() & F.col("product_type").isNotNull()
     )
     mart = rows.groupBy("date_sk", "status", "product_type").agg(
         F.sum("principal").cast("double").alias("principal_outstanding_eur"),
-        F.sum("npl").cast("double").alias("npl_eur"),
+        F.coalesce(F.sum("npl"), F.lit(0)).cast("double").alias("npl_eur"),
     )
     return _named(mart).select("date", "status", "product_type", "principal_outstanding_eur", "npl_eur")
 

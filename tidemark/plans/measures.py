@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as c
-from tidemark.operators.star import Star, txn_channel
+from tidemark.operators.star import Star, by_keys, txn_channel
 
 ACCOUNT_DIMS = {"product_type", "status"}
 CUSTOMER_DIMS = {"segment", "country"}
@@ -50,25 +50,23 @@ def _last_day(fact: DataFrame) -> DataFrame:
 
 
 def _small(star: Star, fact: str, dated: bool) -> DataFrame:
-    """The fact combined to its keys, before any dimension is joined."""
+    """The additive parts of a fact by its keys."""
     if fact == "balance":
         rows = star.fact_account_balance if dated else _last_day(star.fact_account_balance)
-        return rows.groupBy("date_sk", star.account_key).agg(
-            c.sum_where(F.col("is_deposit"), F.col("balance_eur")).alias("deposits")
-        )
+        parts = {"deposits": F.when(F.col("is_deposit"), F.col("balance_eur"))}
+        return by_keys(star, rows, ["date_sk", star.account_key], parts)
     if fact == "loan":
-        rows = star.fact_loan if dated else _last_day(star.fact_loan)
-        principal = F.col("principal_outstanding_eur")
-        return rows.groupBy("date_sk", star.account_key).agg(
-            F.sum(principal).alias("loans"), c.sum_where(F.col("is_npl"), principal).alias("npl")
-        )
+        rows, principal = star.fact_loan if dated else _last_day(star.fact_loan), F.col("principal_outstanding_eur")
+        parts = {"loans": principal, "npl": F.when(F.col("is_npl"), principal)}
+        return by_keys(star, rows, ["date_sk", star.account_key], parts)
     amount = F.col("amount_eur")
-    return star.fact_transaction.groupBy("date_sk", star.account_key, star.channel_key).agg(
-        c.sum_where(F.col("is_interest"), amount).alias("interest"),
-        (-c.sum_where(F.col("is_fee"), amount)).alias("fee"),
-        F.count(F.lit(1)).alias("volume"),
-        F.sum(F.abs(amount)).alias("value"),
-    )
+    parts = {
+        "interest": F.when(F.col("is_interest"), amount),
+        "fee": F.when(F.col("is_fee"), -amount),
+        "volume": F.lit(1),
+        "value": F.abs(amount),
+    }
+    return by_keys(star, star.fact_transaction, ["date_sk", star.account_key, star.channel_key], parts)
 
 
 def _with_dims(star: Star, small: DataFrame, fact: str, dims: set[str]) -> DataFrame:
@@ -86,13 +84,16 @@ def _with_dims(star: Star, small: DataFrame, fact: str, dims: set[str]) -> DataF
 
 
 def _parts(fact: str) -> list[Column]:
+    def total(name: str) -> Column:
+        return F.coalesce(F.sum(name), F.lit(0)).alias(name)
+
     if fact == "balance":
-        return [F.sum("deposits").alias("deposits")]
+        return [total("deposits")]
     if fact == "loan":
-        return [F.sum("loans").alias("loans"), F.sum("npl").alias("npl")]
+        return [F.sum("loans").alias("loans"), total("npl")]
     digital = F.sum(F.when(F.col("is_digital"), F.col("volume")).otherwise(0))
-    sums = [F.sum(x).alias(x) for x in ["interest", "fee", "volume", "value"]]
-    return [*sums, digital.alias("digital"), F.count_distinct("customer_sk").alias("active")]
+    active = F.count_distinct("customer_sk").alias("active")
+    return [*[total(x) for x in ["interest", "fee", "volume", "value"]], digital.alias("digital"), active]
 
 
 def evaluate(star: Star, measures: list[str], dims: list[str], subtotals: str | None = None) -> DataFrame:

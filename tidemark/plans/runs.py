@@ -132,7 +132,8 @@ def stored_star(lake: Lake, day: str | None = None) -> s.Star:
         df = lake.scan(f"silver.{name}", keep_batch=True)
         return (df.where(F.col(BATCH) == day) if day else df).drop(BATCH)
 
-    return s.Star(**{n: lake.scan(f"silver.{n}") for n in DIMS}, **{n: fact(n) for n in FACTS})
+    dims = {n: lake.scan(f"silver.{n}") for n in DIMS}
+    return s.Star(**dims, **{n: fact(n) for n in FACTS}, lookup_first=s.is_small(dims["dim_account"]))
 
 
 def write_gold(lake: Lake, day: str) -> int:

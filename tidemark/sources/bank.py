@@ -98,19 +98,26 @@ def transactions_from(events: DataFrame) -> DataFrame:
     )
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than there are cores, spread over them before its rows multiply."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _per_day(df: DataFrame, spark: SparkSession, sf: str, value: str, slope: str) -> DataFrame:
-    """The table as it stood on each day of the events; the amount drifts linearly with the day."""
-    days = table(spark, sf, "events").agg(
-        F.min("ts").cast("date").alias("lo"), F.max("ts").cast("date").alias("hi")
-    )
-    day = F.col("snapshot_date")
-    factor = F.lit(1).cast(c.RATE) + F.lit(slope).cast(c.RATE) * F.dayofmonth(day).cast("decimal(4,0)")
+    """The table as it stood on each day of the events; the amount drifts linearly with the day.
+
+    The days and their factors are one small array, worked out once.
+    """
+    span = table(spark, sf, "events").agg(F.min("ts").cast("date").alias("lo"), F.max("ts").cast("date").alias("hi"))
+    days = span.select(F.explode(F.sequence("lo", "hi")).alias("day"))
+    factor = F.lit(1).cast(c.RATE) + F.lit(slope).cast(c.RATE) * F.dayofmonth("day").cast("decimal(4,0)")
+    calendar = days.agg(F.collect_list(F.struct("day", factor.alias("factor"))).alias("calendar"))
     return (
-        df.drop("snapshot_date")
-        .withColumns({"_lo": days.select("lo").scalar(), "_hi": days.select("hi").scalar()})
-        .withColumn("snapshot_date", F.explode(F.sequence("_lo", "_hi")))
-        .drop("_lo", "_hi")
-        .withColumn(value, c.money(F.col(value) * factor))
+        _spread(df.drop("snapshot_date"))
+        .withColumn("_on", F.explode(calendar.scalar()))
+        .withColumns({"snapshot_date": F.col("_on.day"), value: c.money(F.col(value) * F.col("_on.factor"))})
+        .drop("_on")
     )
 
 
