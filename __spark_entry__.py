@@ -26,13 +26,6 @@ CHECK_SALT = "check-salt"  # not a secret: tokens here are compared with the ora
 AS_OF = "2024-01-30"
 Query = Callable[[SparkSession, str], DataFrame]
 
-DIRTY_CONTRACT = {
-    "required_columns": ["line_key", "quantity", "ship_date", "tax"],
-    "not_null": ["line_key", "quantity", "ship_date"],
-    "unique": ["line_key"],
-    "allowed_values": {"l_returnflag": ["A", "N"], "l_linestatus": ["F", "O"]},
-    "ranges": {"quantity": {"min": 1, "max": 45}, "discount": {"min": 0, "max": 0.05}, "price": {"min": 0}},
-}
 DAILY_CONTRACT = {
     **fixed.CONTRACTS["transactions"],
     "unique": ["txn_id"],
@@ -320,7 +313,7 @@ def fact_loan_keys(spark, sf):
 
 def txn_customer(spark, sf):
     s = keyed_star(spark, sf)
-    return st.txn_customer(s.fact_transaction, s.dim_account).select("txn_id", "account_sk", "customer_sk", "date_sk")
+    return st.txn_customer(s, s.fact_transaction).select("txn_id", "account_sk", "customer_sk", "date_sk")
 
 
 def txn_channel(spark, sf):
@@ -330,7 +323,7 @@ def txn_channel(spark, sf):
 
 def balance_segment(spark, sf):
     s = keyed_star(spark, sf)
-    return st.balance_segment(s.fact_account_balance, s.dim_account, s.dim_customer).select(
+    return st.balance_segment(s, s.fact_account_balance).select(
         "account_sk", "date_sk", "customer_sk", "segment", "balance_eur"
     )
 
@@ -452,7 +445,7 @@ def _counts(df: DataFrame) -> DataFrame:
 
 
 def _only(kind: str) -> dict:
-    return {kind: DIRTY_CONTRACT[kind]}
+    return {kind: bank.LINES_CONTRACT[kind]}
 
 
 def dq_not_null(spark, sf):
@@ -467,7 +460,7 @@ def dq_unique(spark, sf):
 
 
 def dq_allowed_values(spark, sf):
-    return quality.unexpected_values(bank.dirty_lines(spark, sf), DIRTY_CONTRACT)
+    return quality.unexpected_values(bank.dirty_lines(spark, sf), bank.LINES_CONTRACT)
 
 
 def dq_range(spark, sf):
@@ -487,7 +480,7 @@ def _all_checks(spark, sf):
     for name, df in frames.items():
         rows = quality.validate(df, fixed.CONTRACTS[name]).select(F.lit(name).alias("source"), "*")
         out = rows if out is None else out.unionByName(rows)
-    dirty = quality.validate(bank.dirty_lines(spark, sf), DIRTY_CONTRACT)
+    dirty = quality.validate(bank.dirty_lines(spark, sf), bank.LINES_CONTRACT)
     return out.unionByName(dirty.select(F.lit("lines").alias("source"), "*"))
 
 
@@ -511,7 +504,7 @@ def dq_gold_bounds(spark, sf):
 
 
 def dq_quarantine(spark, sf):
-    _, bad = quality.quarantine(bank.dirty_lines(spark, sf), DIRTY_CONTRACT)
+    _, bad = quality.quarantine(bank.dirty_lines(spark, sf), bank.LINES_CONTRACT)
     return bad.select("line_key", "l_partkey", "quantity", "discount", "l_returnflag",
                       F.array_join("failed", ";").alias("failed"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracle.views import ISO_SK, SALT, _fx, _ratio, build
 from tidemark import fixed
+from tidemark.sources.bank import LINES_CONTRACT
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -130,8 +131,6 @@ def _validate_one(source: str, view: str, contract: dict, absent: list[str]) ->
 
 
 def _validate() -> str:
-    from __spark_entry__ import DIRTY_CONTRACT
-
     c = fixed.CONTRACTS
     with_date = "(SELECT *, 1 AS snapshot_date FROM {})"
     parts = (
@@ -139,15 +138,11 @@ def _validate() -> str:
         + _validate_one("customers", "src_customers", c["customers"], [])
         + _validate_one("loans", with_date.format("src_loans"), c["loans"], [])
         + _validate_one("transactions", "src_transactions", c["transactions"], [])
-        + _validate_one("lines", "src_lines", DIRTY_CONTRACT, ["tax"])
+        + _validate_one("lines", "src_lines", LINES_CONTRACT, ["tax"])
     )
     return _union(parts)
 
 
-def _measures(dims: str, level: str = "", group: str = "GROUP BY ALL") -> str:
-    return f"SELECT {dims}{level}, * FROM t {group}"
-
-
 TXN_JOIN = """fact_transaction f LEFT JOIN dim_account a ON f.account_sk = a.account_sk
              LEFT JOIN dim_customer c ON a.customer_sk = c.customer_sk
              LEFT JOIN dim_channel ch ON f.channel_sk = ch.channel_sk"""

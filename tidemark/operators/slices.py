@@ -22,11 +22,10 @@ def ordered_slices(df: DataFrame, order: list[str | Column], slices: int | None
     """Store ``df`` in slices that follow each other in ``order``, with slice number and position from 0.
 
     ``order`` should be unique: then equal runs give equal positions. The write fixes the range bounds,
-    which come from sampling.
+    which come from sampling. Without a number of slices a small table is coalesced to few.
     """
-    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rid = F.monotonically_increasing_id()
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_rid", rid)
+    ranged = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
+    ranged = ranged.sortWithinPartitions(*order).withColumn("_rid", F.monotonically_increasing_id())
     return materialise(
         ranged.withColumns(
             {

@@ -33,6 +33,18 @@ class Star:
     channel_key: str = "channel_sk"
     lookup_first: bool = False
 
+    def owners(self, *columns: str) -> DataFrame:
+        """Attributes of accounts and their customers by ``account_key``. Broadcast only where the accounts were
+        counted as few; otherwise the join is left to the optimizer."""
+        key = self.account_key
+        mine = [x for x in columns if x in self.dim_account.columns and x != key]
+        other = [x for x in columns if x not in self.dim_account.columns]
+        out = self.dim_account.select(key, *dict.fromkeys([*mine, *(["customer_sk"] if other else [])]))
+        if other:
+            out = out.join(self.dim_customer.select("customer_sk", *other), "customer_sk", "left")
+        out = out.select(key, *columns)
+        return F.broadcast(out) if self.lookup_first else out
+
     @property
     def dim_date(self) -> DataFrame:
         return dim_date([self.fact_transaction, self.fact_account_balance, self.fact_loan])
@@ -309,27 +321,23 @@ def build(
 # joins over the star -------------------------------------------------------------------------------------
 
 
-def txn_customer(txns: DataFrame, accounts: DataFrame, key: str = "account_sk") -> DataFrame:
-    return txns.join(accounts.select(key, "customer_sk"), key, "left")
+def txn_customer(star: Star, rows: DataFrame) -> DataFrame:
+    return rows.join(star.owners("customer_sk"), star.account_key, "left")
 
 
 def txn_channel(txns: DataFrame, channels: DataFrame, key: str = "channel_sk") -> DataFrame:
     return txns.join(channels.select(*dict.fromkeys([key, "channel", "is_digital"])), key, "left")
 
 
-def balance_segment(
-    balances: DataFrame, accounts: DataFrame, customers: DataFrame, key: str = "account_sk"
-) -> DataFrame:
+def balance_segment(star: Star, rows: DataFrame) -> DataFrame:
     """Two hops: balance to account to customer."""
-    owner = accounts.select(key, "customer_sk").join(
-        customers.select("customer_sk", "segment"), "customer_sk", "left"
-    )
-    return balances.join(owner, key, "left")
+    return rows.join(star.owners("customer_sk", "segment"), star.account_key, "left")
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
-    """Distinct child keys without a parent. Duplicates go before the join, so a hot key is one row."""
-    parents = parent.select(F.col(parent_key or key).alias(key))
+    """Distinct child keys without a parent. Duplicates go before the join on both sides, so a hot key is one
+    row."""
+    parents = parent.select(F.col(parent_key or key).alias(key)).distinct()
     return child.select(key).distinct().join(parents, key, "left_anti")
 
 

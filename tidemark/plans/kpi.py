@@ -59,8 +59,7 @@ def txns_daily(star: s.Star) -> DataFrame:
 def active_daily(star: s.Star, approximate: bool = False) -> DataFrame:
     """Distinct customers of a day. Only distinct (day, account) pairs are shuffled: two narrow columns, with
     repeats dropped map-side, so a hot account is one pair per day and task."""
-    key = star.account_key
-    seen = s.txn_customer(star.fact_transaction.select("date_sk", key).distinct(), star.dim_account, key)
+    seen = s.txn_customer(star, star.fact_transaction.select("date_sk", star.account_key).distinct())
     count = F.approx_count_distinct if approximate else F.count_distinct
     return seen.groupBy("date_sk").agg(count("customer_sk").alias("active"))
 
@@ -203,9 +202,8 @@ def deposits_by_segment(star: s.Star) -> DataFrame:
 
     A balance is one row per account and day, so no account can be hot here.
     """
-    key = star.account_key
-    deposits = star.fact_account_balance.where("is_deposit").select("date_sk", key, "balance_eur")
-    rows = s.balance_segment(deposits, star.dim_account, star.dim_customer, key).where(F.col("segment").isNotNull())
+    deposits = star.fact_account_balance.where("is_deposit").select("date_sk", star.account_key, "balance_eur")
+    rows = s.balance_segment(star, deposits).where(F.col("segment").isNotNull())
     mart = _named(rows.groupBy("date_sk", "segment").agg(F.sum("balance_eur").alias("deposits_eur")))
     return _double(mart, "deposits_eur").select("date", "segment", "deposits_eur")
 
@@ -247,7 +245,7 @@ def npl_by_product(star: s.Star) -> DataFrame:
     loans = star.fact_loan.withColumn("status", c.loan_bucket(F.col("days_past_due")))
     parts = {"principal": principal, "npl": F.when(F.col("is_npl"), principal)}
     small = s.by_keys(star, loans, ["date_sk", key, "status"], parts)
-    rows = small.join(star.dim_account.select(key, "product_type"), key, "left").where(
+    rows = small.join(star.owners("product_type"), key, "left").where(
         F.col("status").isNotNull() & F.col("product_type").isNotNull()
     )
     mart = rows.groupBy("date_sk", "status", "product_type").agg(
@@ -266,7 +264,7 @@ def txn_net_flow(star: s.Star) -> DataFrame:
     )
     out = flow.withColumn("net_flow_eur", F.col("credits") - F.col("debits"))
     if key != "account_sk":
-        out = out.join(star.dim_account.select(key, "account_sk"), key, "left")
+        out = out.join(star.owners("account_sk"), key, "left")
     return _double(_named(out), "credits", "debits", "net_flow_eur").select(
         "account_sk", "date", "credits", "debits", "net_flow_eur"
     )

@@ -70,12 +70,9 @@ def _small(star: Star, fact: str, dated: bool) -> DataFrame:
 
 
 def _with_dims(star: Star, small: DataFrame, fact: str, dims: set[str]) -> DataFrame:
-    if dims & (ACCOUNT_DIMS | CUSTOMER_DIMS) or fact == "txn":
-        accounts = star.dim_account.select(star.account_key, "customer_sk", *sorted(dims & ACCOUNT_DIMS))
-        if dims & CUSTOMER_DIMS:
-            customers = star.dim_customer.select("customer_sk", *sorted(dims & CUSTOMER_DIMS))
-            accounts = accounts.join(customers, "customer_sk", "left")
-        small = small.join(accounts, star.account_key, "left")
+    wanted = [*(["customer_sk"] if fact == "txn" else []), *sorted(dims & (ACCOUNT_DIMS | CUSTOMER_DIMS))]
+    if wanted:
+        small = small.join(star.owners(*wanted), star.account_key, "left")
     if fact == "txn":
         small = txn_channel(small, star.dim_channel, star.channel_key)
     if "date" in dims:

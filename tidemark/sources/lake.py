@@ -94,9 +94,11 @@ def union_batches(frames: list[DataFrame]) -> DataFrame:
 FORMATS = ("parquet", "orc", "csv", "json")
 
 
-def read_source(spark: SparkSession, connector: str, path: str, schema=None, **options: str) -> DataFrame:
-    """Read a file source by the connector that its registry entry names."""
-    if connector not in FORMATS:
+def read_source(
+    spark: SparkSession, connector: str, path: str | None = None, schema=None, **options: str
+) -> DataFrame:
+    """Read a source by the connector that its registry entry names: a file format, or jdbc by its options."""
+    if connector not in (*FORMATS, "jdbc"):
         raise NotImplementedError(f"connector {connector!r} is not available")
     reader = spark.read.format(connector).options(**options)
     return (reader.schema(schema) if schema is not None else reader).load(path)

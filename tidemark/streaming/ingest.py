@@ -69,9 +69,8 @@ def daily_stream(
     spark = stream.sparkSession
 
     def partial(batch: DataFrame, epoch: int) -> None:
-        daily = batch.groupBy(F.window(ts, "1 day").alias("_w"), *by).agg(*[a.alias(n) for n, a in aggs.items()])
-        out = daily.withColumn("date", F.to_date("_w.start")).drop("_w").withColumn(EPOCH, F.lit(epoch))
-        _replace(out.coalesce(1), path, EPOCH)
+        daily = batch.groupBy(F.to_date(ts).alias("date"), *by).agg(*[a.alias(n) for n, a in aggs.items()])
+        _replace(daily.withColumn(EPOCH, F.lit(epoch)).hint("rebalance", F.col(EPOCH)), path, EPOCH)
 
     _drain(stream.writeStream.foreachBatch(partial), checkpoint or scratch(spark, "checkpoint"))
     return spark.read.parquet(path).groupBy("date", *by).agg(*[F.sum(n).alias(n) for n in aggs])
@@ -86,12 +85,15 @@ def closed_days(
     A row later than the delay belongs to a day already published; ``land_stream`` keeps it.
     """
     spark = stream.sparkSession
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    # windows are cut at midnight UTC, so the watermark runs on the local clock read as UTC
     totals = (
-        stream.withWatermark(ts, delay)
+        stream.withColumn("_clock", F.from_utc_timestamp(ts, zone))
+        .withWatermark("_clock", delay)
         .dropDuplicatesWithinWatermark([key])
-        .groupBy(F.window(ts, "1 day").alias("_w"), *by)
+        .groupBy(F.window("_clock", "1 day").alias("_w"), *by)
         .agg(*[a.alias(n) for n, a in aggs.items()])
-        .select(F.to_date("_w.start").alias("date"), *by, *aggs)
+        .select(F.expr("date_from_unix_date(cast(unix_seconds(_w.start) div 86400 as int))").alias("date"), *by, *aggs)
     )
     writer = totals.writeStream.outputMode("append").format("parquet").option("path", path)
     _drain(writer, checkpoint or scratch(spark, "checkpoint"))
