@@ -70,24 +70,24 @@ def star(spark: SparkSession, sf: str) -> st.Star:
     return _STARS[key]
 
 
-def gold(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """The gold marts over all days, stored once per session as a nightly run would leave them."""
-    key = _key(spark, sf)
-    if key not in _GOLD:
-        s = star(spark, sf)
-        txns = bank.transactions(spark, sf)
-        marts = {
-            "gold.kpi_daily": kpi.kpi_daily(s),
-            "gold.deposits_by_segment": kpi.deposits_by_segment(s),
-            "gold.txn_by_channel": kpi.txn_by_channel(s),
-            "gold.loans_by_status": kpi.loans_by_status(s.fact_loan),
-            "gold.activity_by_source": kpi.activity_by_source(s.fact_transaction),
-            "gold.ops_by_channel": kpi.ops_by_channel(txns),
-            "gold.ops_processing_daily": kpi.ops_processing_daily(txns),
-            "gold.hr_by_department": kpi.by_department(_staff(spark, sf), AS_OF),
-        }
-        _GOLD[key] = {name: materialise(df, name) for name, df in marts.items()}
-    return _GOLD[key]
+def gold(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
+    """Gold marts over all days (all, or the named ones), stored once per session as a nightly run leaves them."""
+    s, txns = star(spark, sf), bank.transactions(spark, sf)
+    marts = {
+        "gold.kpi_daily": lambda: kpi.kpi_daily(s),
+        "gold.deposits_by_segment": lambda: kpi.deposits_by_segment(s),
+        "gold.txn_by_channel": lambda: kpi.txn_by_channel(s),
+        "gold.loans_by_status": lambda: kpi.loans_by_status(s.fact_loan),
+        "gold.activity_by_source": lambda: kpi.activity_by_source(s.fact_transaction),
+        "gold.ops_by_channel": lambda: kpi.ops_by_channel(txns),
+        "gold.ops_processing_daily": lambda: kpi.ops_processing_daily(txns),
+        "gold.hr_by_department": lambda: kpi.by_department(_staff(spark, sf), AS_OF),
+    }
+    stored = _GOLD.setdefault(_key(spark, sf), {})
+    for name in names or marts:
+        if name not in stored:
+            stored[name] = materialise(marts[name](), name)
+    return {name: stored[name] for name in names or marts}
 
 
 def _staff(spark: SparkSession, sf: str) -> DataFrame:
@@ -387,7 +387,7 @@ def growth_calendar_day(spark, sf):
 
 
 def history_7(spark, sf):
-    rows = kpi.history_7(gold(spark, sf)["gold.kpi_daily"], ["txn_count"])
+    rows = kpi.history_7(gold(spark, sf, "gold.kpi_daily")["gold.kpi_daily"], ["txn_count"])
     return rows.select(
         "date",
         F.size("history").cast("bigint").alias("days"),
@@ -429,7 +429,7 @@ def trailing_row_count(spark, sf):
 
 
 def kpi_swing(spark, sf):
-    return kpi.kpi_swing(gold(spark, sf)["gold.kpi_daily"], 10)
+    return kpi.kpi_swing(gold(spark, sf, "gold.kpi_daily")["gold.kpi_daily"], 10)
 
 
 def sort_limit(spark, sf):
@@ -499,7 +499,7 @@ def dq_silver(spark, sf):
 
 
 def dq_gold_bounds(spark, sf):
-    newest = kpi.latest_row(gold(spark, sf)["gold.kpi_daily"])
+    newest = kpi.latest_row(gold(spark, sf, "gold.kpi_daily")["gold.kpi_daily"])
     return quality.gold_checks(newest)
 
 
@@ -542,7 +542,7 @@ BRIEF = ["txn_count", "active_customers"]
 
 def briefing_context(spark, sf):
     qa = runs.manifest_qa(_manifests(spark, sf)).withColumn("date", F.substring("run_id", 5, 10))
-    return reports.briefing_context(gold(spark, sf)["gold.kpi_daily"], qa, BRIEF)
+    return reports.briefing_context(gold(spark, sf, "gold.kpi_daily")["gold.kpi_daily"], qa, BRIEF)
 
 
 def lake_profile(spark, sf):
@@ -630,8 +630,8 @@ def _queries() -> dict[str, Query]:
     def on_star(work: Callable[[st.Star], DataFrame]) -> Query:
         return lambda spark, sf: work(star(spark, sf))
 
-    def on_gold(work: Callable[[dict], DataFrame]) -> Query:
-        return lambda spark, sf: work(gold(spark, sf))
+    def on_gold(work: Callable[[DataFrame], DataFrame], mart: str) -> Query:
+        return lambda spark, sf: work(gold(spark, sf, mart)[mart])
 
     return {
         "scan_table": scan_table,
@@ -654,7 +654,7 @@ def _queries() -> dict[str, Query]:
         "loan_bucket": loan_bucket,
         "signed_amount": signed_amount,
         "day_filter": on_star(lambda s: kpi.day_filter(st.keyed(s).fact_transaction, "2024-01-15")),
-        "latest_date_rows": on_gold(lambda g: reports.latest_date_rows(g["gold.loans_by_status"])),
+        "latest_date_rows": on_gold(reports.latest_date_rows, "gold.loans_by_status"),
         "source_filter": on_star(
             lambda s: reports.source_filter(kpi.activity_by_source(s.fact_transaction), "loans")
         ),
@@ -684,7 +684,7 @@ def _queries() -> dict[str, Query]:
         "value_counts": value_counts,
         "numeric_profile": lambda spark, sf: profile.numeric_profile(bank.transactions(spark, sf), "amount"),
         "share_of": share_of,
-        "sum_by_dim": on_gold(lambda g: reports.sum_by_dim(g["gold.txn_by_channel"], "channel", "txn_value_eur")),
+        "sum_by_dim": on_gold(lambda m: reports.sum_by_dim(m, "channel", "txn_value_eur"), "gold.txn_by_channel"),
         "measures_by_dims": on_star(
             lambda s: measures.evaluate(
                 s,
@@ -744,7 +744,7 @@ def _queries() -> dict[str, Query]:
         "unexpected_values": lambda spark, sf: quality.unexpected_values(
             bank.customers(spark, sf), fixed.CONTRACTS["customers"]
         ),
-        "kpi_transpose": on_gold(lambda g: kpi.kpi_long(g["gold.kpi_daily"])),
+        "kpi_transpose": on_gold(kpi.kpi_long, "gold.kpi_daily"),
         "json_extract": json_extract,
         "dq_not_null": dq_not_null,
         "dq_unique": dq_unique,
@@ -758,17 +758,19 @@ def _queries() -> dict[str, Query]:
         "dq_quarantine": dq_quarantine,
         "gate_decision": gate_decision,
         "report_kpi_cards": on_gold(
-            lambda g: reports.cards(g["gold.kpi_daily"], fixed.TEMPLATES[0]["visuals"][0][2] + ["no_such_field"])
+            lambda m: reports.cards(m, fixed.TEMPLATES[0]["visuals"][0][2] + ["no_such_field"]), "gold.kpi_daily"
         ),
         "report_line": on_gold(
-            lambda g: reports.line(g["gold.kpi_daily"], "date", ["total_deposits_eur", "net_loans_eur", "no_such"])
+            lambda m: reports.line(m, "date", ["total_deposits_eur", "net_loans_eur", "no_such"]), "gold.kpi_daily"
         ),
         "report_bar": on_gold(
-            lambda g: reports.sum_by_dim(g["gold.deposits_by_segment"], "segment", "deposits_eur")
+            lambda m: reports.sum_by_dim(m, "segment", "deposits_eur"), "gold.deposits_by_segment"
         ),
         "report_resolve": report_resolve,
         "route_requests": route_requests,
-        "dashboard_context": on_gold(reports.dashboard_series),
+        "dashboard_context": lambda spark, sf: reports.dashboard_series(
+            gold(spark, sf, "gold.kpi_daily", "gold.deposits_by_segment", "gold.txn_by_channel", "gold.loans_by_status")
+        ),
         "briefing_context": briefing_context,
         "lake_profile": lake_profile,
         "manifest_qa": manifest_qa,

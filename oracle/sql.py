@@ -242,17 +242,16 @@ def _statements() -> dict[str, str]:
     s["balance_segment"] = f"""
         SELECT f.account_sk, f.date_sk, a.customer_sk, c.segment, CAST(f.balance_eur AS DOUBLE) AS balance_eur
         FROM {BAL_JOIN}"""
-    s["orphan_keys"] = """
-        SELECT 'accounts' AS relation, count(DISTINCT c_custkey) AS orphans FROM customer
-            WHERE c_custkey NOT IN (SELECT c_custkey FROM customer)
-        UNION ALL SELECT 'transactions', count(DISTINCT user_id) FROM events
-            WHERE user_id NOT IN (SELECT c_custkey FROM customer)
-        UNION ALL SELECT 'loans', count(DISTINCT o_custkey) FROM orders
-            WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
-        UNION ALL SELECT 'customers without postings', count(DISTINCT c_custkey) FROM customer
-            WHERE c_custkey NOT IN (SELECT user_id FROM events)
-        UNION ALL SELECT 'orders without lines', count(DISTINCT o_orderkey) FROM orders
-            WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)"""
+    relations = [("accounts", "customer", "c_custkey", "customer", "c_custkey"),
+                 ("transactions", "events", "user_id", "customer", "c_custkey"),
+                 ("loans", "orders", "o_custkey", "customer", "c_custkey"),
+                 ("customers without postings", "customer", "c_custkey", "events", "user_id"),
+                 ("orders without lines", "orders", "o_orderkey", "lineitem", "l_orderkey")]
+    s["orphan_keys"] = _union(
+        [f"""SELECT '{name}' AS relation, count(*) AS orphans FROM (SELECT DISTINCT {key} AS k FROM {child}) c
+             WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{parent_key} = c.k)"""
+         for name, child, key, parent, parent_key in relations]
+    )
     s["unresolved_fk"] = """
         SELECT count(*) FILTER (WHERE p_partkey IS NULL) AS unresolved, count(*) AS rows
         FROM lineitem LEFT JOIN (SELECT p_partkey FROM part WHERE p_size <= 25) ON l_partkey = p_partkey"""
@@ -450,7 +449,8 @@ def _statements() -> dict[str, str]:
         UNION ALL SELECT 'not_null[p_brand]', count(*) FILTER (WHERE p_brand IS NULL)
         FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size <= 25) ON l_partkey = p_partkey"""
     s["dq_unique"] = """
-        SELECT 'unique[line_key]' AS "check", count(*) - count(DISTINCT line_key) AS n FROM src_lines"""
+        SELECT 'unique[line_key]' AS "check", count(*) - count(DISTINCT line_key)
+               - CAST(count(*) > count(line_key) AS INTEGER) AS n FROM src_lines"""
     s["dq_allowed_values"] = """
         SELECT 'l_returnflag' AS "column", l_returnflag AS value, count(*) AS n FROM lineitem
         WHERE l_returnflag NOT IN ('A', 'N') GROUP BY l_returnflag

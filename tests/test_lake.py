@@ -64,3 +64,34 @@ def test_incremental_window_reaches_the_scan(spark):
 def test_sql_over_tables(spark, lake):
     lake.write("silver.dim_x", spark.range(3), "overwrite", "b")
     assert lake.sql("SELECT sum(id) FROM silver_dim_x", ["silver.dim_x"]).first()[0] == 3
+
+
+def test_no_rows_replace_a_batch(spark, lake):
+    df = spark.createDataFrame([(1,), (2,)], "a int")
+    lake.write("bronze.t", df, "append", "s:2024-01-01")
+    lake.write("bronze.t", df, "append", "s:2024-01-02")
+    assert lake.write("bronze.t", df.limit(0), "append", "s:2024-01-01") == 0
+    assert pairs(lake.scan("bronze.t", keep_batch=True).select("_batch").distinct()) == [("s:2024-01-02",)]
+    assert lake.write("bronze.t", df.limit(0), "overwrite", "s:x") == 0
+    assert lake.scan("bronze.t").columns == ["a"] and lake.row_count("bronze.t") == 0
+
+
+@pytest.mark.parametrize("batch", ["a:b", "50%", "x=y/z", "q?[*]", "plain 1"])
+def test_batch_names_survive(spark, lake, batch):
+    lake.write("bronze.t", spark.range(1), "append", F.lit(batch))
+    lake.write("bronze.t", spark.range(2), "append", batch)
+    assert pairs(lake.scan("bronze.t", keep_batch=True).select("_batch")) == [(batch,), (batch,)]
+
+
+def test_a_day_without_rows_is_cleared(spark, lake):
+    rows = [("2024-01-01 10:00:00", 1), ("2024-01-02 10:00:00", 2), ("2024-01-03 10:00:00", 3)]
+    df = spark.createDataFrame(rows, "ts string, v int").withColumn("ts", F.col("ts").cast("timestamp"))
+
+    def land(data):
+        cfg = bronze.SourceConfig("s", "s", lambda: data, "incremental", "ts", "bronze.t")
+        return bronze.land(lake, [cfg], {}, "r", "2024-01-01", "2024-01-03")
+
+    assert land(df) == {"bronze.t": 3}
+    assert land(df.where("v != 2")) == {"bronze.t": 2}
+    assert pairs(lake.scan("bronze.t").select("v")) == [(1,), (3,)]
+    assert set(bronze.LINEAGE) <= set(lake.scan("bronze.t").columns)

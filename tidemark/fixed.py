@@ -84,6 +84,25 @@ CONTRACTS = {
     },
 }
 
+# Texts of check results; {} takes the number, the values or the limits.
+DETAILS = {
+    "required_columns": ("all {} present", "missing: {}"),
+    "not_null": ("no nulls", "{} null(s)"),
+    "unique": ("all unique", "{} duplicate(s)"),
+    "allowed_values": ("within allowed set", "unexpected: {}"),
+    "range": ("within {}", "{} outside {}"),
+}
+COLUMN_ABSENT = "column absent"
+NO_HISTORY = "skipped — needs trailing history (available once runs accumulate)"
+
+# Names of the silver checks.
+SILVER_CHECKS = {
+    "txn_account": "fact_transaction.account_sk resolves",
+    "txn_amount": "fact_transaction.amount_eur not null",
+    "no_currency": "amounts EUR-normalized (no currency col)",
+    "loan_account": "fact_loan.account_sk resolves",
+}
+
 # Actions a failed gate may ask for.
 GATE_ACTIONS = ["retry", "halt", "escalate", "proceed"]
 

@@ -93,6 +93,15 @@ def _value_lists(df: DataFrame, contract: dict) -> DataFrame:
     return lists.select(F.concat(F.lit("allowed_values["), F.col("column"), F.lit("]")).alias("check"), "listed")
 
 
+def _text(template: str, *parts: Column) -> Column:
+    """A text with its {} filled by columns."""
+    pieces = template.split("{}")
+    out = [F.lit(pieces[0])]
+    for part, piece in zip(parts, pieces[1:]):
+        out += [part, F.lit(piece)]
+    return F.concat(*out)
+
+
 def validate(df: DataFrame, contract: dict) -> DataFrame:
     """(ord, check, outcome, detail): one row per check of the contract.
 
@@ -113,24 +122,18 @@ def validate(df: DataFrame, contract: dict) -> DataFrame:
         F.sum("n").alias("n"), F.first("listed", ignorenulls=True).alias("listed")
     )
 
-    n, check = F.col("n").cast("string"), F.col("check")
+    check = F.col("check")
     limits = F.lit("")
     for x, b in contract.get("ranges", {}).items():
         limits = F.when(check == f"range[{x}]", f"[{b.get('min')},{b.get('max')}]").otherwise(limits)
     values = F.concat(F.lit("['"), F.array_join("listed", "', '"), F.lit("']"))
     values = F.when(F.size("listed") <= LISTED, values).otherwise(f"more than {LISTED} values")
-    broken = (
-        F.when(check.startswith("not_null"), F.concat(n, F.lit(" null(s)")))
-        .when(check.startswith("unique"), F.concat(n, F.lit(" duplicate(s)")))
-        .when(check.startswith("allowed"), F.concat(F.lit("unexpected: "), values))
-        .otherwise(F.concat(n, F.lit(" outside "), limits))
-    )
-    whole = (
-        F.when(check.startswith("not_null"), "no nulls")
-        .when(check.startswith("unique"), "all unique")
-        .when(check.startswith("allowed"), "within allowed set")
-        .otherwise(F.concat(F.lit("within "), limits))
-    )
+    n = F.col("n").cast("string")
+    whole, broken = F.lit(""), F.lit("")
+    for kind, parts in [("not_null", (n,)), ("unique", (n,)), ("allowed_values", (values,)), ("range", (n, limits))]:
+        fine, bad = fixed.DETAILS[kind]
+        whole = F.when(check.startswith(kind), _text(fine, limits)).otherwise(whole)
+        broken = F.when(check.startswith(kind), _text(bad, *parts)).otherwise(broken)
     order = F.lit(0)
     for i, name in enumerate(names):
         order = F.when(check == name, i).otherwise(order)
@@ -142,19 +145,16 @@ def validate(df: DataFrame, contract: dict) -> DataFrame:
     )
 
     required = contract.get("required_columns", [])
+    fine, bad = fixed.DETAILS["required_columns"]
     fixed_rows = [
-        (0, "required_columns", "fail" if absent else "pass",
-         f"missing: {absent}" if absent else f"all {len(required)} present")
+        (0, "required_columns", "fail" if absent else "pass", bad.format(absent) if absent else fine.format(len(required)))
     ]
     for i, name in enumerate(names):
         column = name.partition("[")[2].rstrip("]")
         if column and column not in df.columns:
-            fixed_rows.append((i, name, "fail", "column absent"))
+            fixed_rows.append((i, name, "fail", fixed.COLUMN_ABSENT))
     if "row_count" in contract:
-        fixed_rows.append(
-            (len(names) - 1, "row_count_tolerance", "warn",
-             "skipped — needs trailing history (available once runs accumulate)")
-        )
+        fixed_rows.append((len(names) - 1, "row_count_tolerance", "warn", fixed.NO_HISTORY))
     return data.unionByName(literal_rows(spark, fixed_rows, "ord int, check string, outcome string, detail string"))
 
 
@@ -170,7 +170,7 @@ def gate(results: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 def silver_checks(star) -> DataFrame:
     """(stage, outcome, details): keys resolve, amounts are there, no currency is left."""
-    txns, loans = star.fact_transaction, star.fact_loan
+    txns, loans, names = star.fact_transaction, star.fact_loan, fixed.SILVER_CHECKS
 
     def rows(df: DataFrame, checks: list[tuple[str, Column, str]]) -> DataFrame:
         counts = df.agg(*[F.count_if(cond).alias(f"c{i}") for i, (_, cond, _) in enumerate(checks)])
@@ -184,11 +184,11 @@ def silver_checks(star) -> DataFrame:
     found = rows(
         txns,
         [
-            ("fact_transaction.account_sk resolves", F.col("account_sk").isNull(), "unresolved"),
-            ("fact_transaction.amount_eur not null", F.col("amount_eur").isNull(), "null"),
-            ("amounts EUR-normalized (no currency col)", currency_left, "rows with a residual currency column"),
+            (names["txn_account"], F.col("account_sk").isNull(), "unresolved"),
+            (names["txn_amount"], F.col("amount_eur").isNull(), "null"),
+            (names["no_currency"], currency_left, "rows with a residual currency column"),
         ],
-    ).unionByName(rows(loans, [("fact_loan.account_sk resolves", F.col("account_sk").isNull(), "unresolved")]))
+    ).unionByName(rows(loans, [(names["loan_account"], F.col("account_sk").isNull(), "unresolved")]))
     ok = F.col("n") == 0
     return found.select(
         F.lit("silver").alias("stage"),

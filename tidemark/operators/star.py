@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as c
+from tidemark.operators.history import dedup_latest
 from tidemark.operators.slices import dense_key, stable_key
 from tidemark.session import materialise
 
@@ -85,9 +86,14 @@ def _stamp(df: DataFrame, as_of: str) -> DataFrame:
 
 
 def dim_customer(customers: DataFrame, salt: str, as_of: str, stored: DataFrame | None = None) -> DataFrame:
-    safe = customers.select(
-        "customer_id", c.token(F.col("full_name"), salt).alias("customer_token"), "segment", "country"
-    )
+    """One row per customer, the newest if a source repeats one; the name only as a token."""
+    safe = dedup_latest(
+        customers.select(
+            "customer_id", c.token(F.col("full_name"), salt).alias("customer_token"), "segment", "country",
+            "onboarded_date",
+        ),
+        ["customer_id"], ["onboarded_date"],
+    ).drop("onboarded_date")
     return _stamp(stable_key(safe, stored, "customer_id", "customer_sk"), as_of)
 
 
@@ -99,7 +105,11 @@ def dim_account_customer(accounts: DataFrame, customers: DataFrame) -> DataFrame
 def dim_account(
     accounts: DataFrame, customers: DataFrame, as_of: str, stored: DataFrame | None = None
 ) -> DataFrame:
-    base = accounts.select("account_id", "customer_id", "product_type", "status")
+    """One row per account, the newest snapshot if a source repeats one, so that no fact is multiplied."""
+    base = dedup_latest(
+        accounts.select("account_id", "customer_id", "product_type", "status", "snapshot_date"),
+        ["account_id"], ["snapshot_date"],
+    ).drop("snapshot_date")
     keyed = stable_key(base, stored, "account_id", "account_sk")
     return _stamp(dim_account_customer(keyed, customers), as_of)
 
@@ -195,9 +205,14 @@ def _stamp(df: DataFrame, as_of: str) -> DataFrame:
 
 
 def dim_customer(customers: DataFrame, salt: str, as_of: str, stored: DataFrame | None = None) -> DataFrame:
-    safe = customers.select(
-        "customer_id", c.token(F.col("full_name"), salt).alias("customer_token"), "segment", "country"
-    )
+    """One row per customer, the newest if a source repeats one; the name only as a token."""
+    safe = dedup_latest(
+        customers.select(
+            "customer_id", c.token(F.col("full_name"), salt).alias("customer_token"), "segment", "country",
+            "onboarded_date",
+        ),
+        ["customer_id"], ["onboarded_date"],
+    ).drop("onboarded_date")
     return _stamp(stable_key(safe, stored, "customer_id", "customer_sk"), as_of)
 
 
@@ -209,7 +224,11 @@ def dim_account_customer(accounts: DataFrame, customers: DataFrame) -> DataFrame
 def dim_account(
     accounts: DataFrame, customers: DataFrame, as_of: str, stored: DataFrame | None = None
 ) -> DataFrame:
-    base = accounts.select("account_id", "customer_id", "product_type", "status")
+    """One row per account, the newest snapshot if a source repeats one, so that no fact is multiplied."""
+    base = dedup_latest(
+        accounts.select("account_id", "customer_id", "product_type", "status", "snapshot_date"),
+        ["account_id"], ["snapshot_date"],
+    ).drop("snapshot_date")
     keyed = stable_key(base, stored, "account_id", "account_sk")
     return _stamp(dim_account_customer(keyed, customers), as_of)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +49,24 @@ def incremental_window(df: DataFrame, watermark: str, first_day: str, last_day:
     return df.where((ts >= F.lit(first_day).cast("date")) & (ts < end))
 
 
+def _land_days(lake: Lake, cfg: SourceConfig, df: DataFrame, run_id: str, first: str, last: str) -> int:
+    """Every day of the window becomes a batch in one job; a day that has no rows gets an empty batch."""
+    if first == last:
+        batch = f"{cfg.source_id}:{first}"
+        return lake.write(cfg.target, add_lineage(df, cfg.source_id, batch, run_id), "append", batch)
+    day = F.date_format(cfg.watermark, "yyyy-MM-dd")
+    batch = F.concat(F.lit(cfg.source_id + ":"), day)
+    rows = lake.write(cfg.target, add_lineage(df, cfg.source_id, batch, run_id), "append", batch)
+    filled = {r[0] for r in df.select(day).distinct().collect()}  # calendar days of the window
+    one = date.fromisoformat(first)
+    while one <= date.fromisoformat(last):
+        if one.isoformat() not in filled:
+            name = f"{cfg.source_id}:{one}"
+            lake.write(cfg.target, add_lineage(df.limit(0), cfg.source_id, name, run_id), "append", name)
+        one += timedelta(days=1)
+    return rows
+
+
 def land(
     lake: Lake,
     sources: list[SourceConfig],
@@ -67,10 +86,7 @@ def land(
         df = cfg.read()
         if cfg.read_mode == "incremental":
             df = incremental_window(df, cfg.watermark, first_day, last)
-            day = F.date_format(cfg.watermark, "yyyy-MM-dd")
-            batch = F.concat(F.lit(cfg.source_id + ":"), day)
-            df = add_lineage(df, cfg.source_id, batch, run_id)
-            rows[cfg.target] = lake.write(cfg.target, df, "append", batch)
+            rows[cfg.target] = _land_days(lake, cfg, df, run_id, first_day, last)
         else:
             batch = f"{cfg.source_id}:{last}"
             rows[cfg.target] = lake.write(

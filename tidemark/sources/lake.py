@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 BATCH = "_batch"
+ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(i) for i in range(1, 32)}
 
 
 class Lake:
@@ -50,24 +51,34 @@ class Lake:
     ) -> int:
         """Write batches and return the rows written.
 
-        ``overwrite`` drops the table first. ``append`` replaces only the batches present in ``df``, so the
+        ``overwrite`` drops the table first. ``append`` replaces only its own batch, also by no rows, so the
         same call twice leaves the table as after the first. ``batch`` may be a column: then one job writes
-        many batches, rebalanced so that a small day is one file and a large day is many tasks.
+        every batch that has rows, rebalanced so that a small day is one file and a large day is many tasks.
         """
         if mode not in ("append", "overwrite"):
             raise ValueError(f"mode must be 'append' or 'overwrite', got {mode!r}")
-        out = df.withColumn(BATCH, F.lit(batch) if isinstance(batch, str) else batch)
+        seen = Observation()
+        out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        if isinstance(batch, str) and mode == "append":
+            out.write.mode("overwrite").parquet(self._folder(table, batch))
+            return seen.get["rows"]
+        out = out.withColumn(BATCH, F.lit(batch) if isinstance(batch, str) else batch)
         if not isinstance(batch, str):
             out = out.hint("rebalance", F.col(BATCH))
-        seen = Observation()
         (
-            out.observe(seen, F.count(F.lit(1)).alias("rows"))
-            .write.mode("overwrite")
+            out.write.mode("overwrite")
             .option("partitionOverwriteMode", "static" if mode == "overwrite" else "dynamic")
             .partitionBy(BATCH)
             .parquet(self.path(table))
         )
-        return seen.get["rows"]
+        rows = seen.get["rows"]
+        if rows == 0 and isinstance(batch, str):  # an empty table keeps its columns
+            df.limit(0).write.mode("overwrite").parquet(self._folder(table, batch))
+        return rows
+
+    def _folder(self, table: str, batch: str) -> str:
+        """Folder of one batch, escaped as Spark escapes partition values."""
+        return f"{self.path(table)}/{BATCH}={''.join(f'%{ord(x):02X}' if x in ESCAPED else x for x in batch)}"
 
     def sql(self, text: str, tables: list[str]) -> DataFrame:
         """Run SQL over lake tables; ``silver.dim_date`` is seen as ``silver_dim_date``."""

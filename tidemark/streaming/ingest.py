@@ -10,13 +10,15 @@ from tidemark.session import scratch
 DAY, EPOCH = "_day", "_epoch"
 
 
-def file_stream(spark: SparkSession, path: str, schema=None) -> DataFrame:
+def file_stream(spark: SparkSession, path: str, schema=None, **options: str) -> DataFrame:
     """New files of a folder (or the one file that ``path`` is), each delivered once.
 
-    As a pattern the path may be a file: a plain path has to be a folder for a stream.
+    As a pattern the path may be a file: a plain path has to be a folder for a stream. ``options`` such as
+    ``maxFilesPerTrigger`` cut a large backlog into epochs.
     """
+    path = path.rstrip("/")
     schema = schema or spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
+    return spark.readStream.schema(schema).options(**options).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def _replace(df: DataFrame, path: str, *parts: str) -> None:
