@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.views import ISO_SK, SALT, _fx, _ratio, build
+from oracle.views import ISO_SK, SALT, _ratio, build
 from tidemark import fixed
 from tidemark.sources.bank import LINES_CONTRACT
 

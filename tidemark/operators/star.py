@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as c
 from tidemark.operators.history import dedup_latest
-from tidemark.operators.slices import dense_key, stable_key
+from tidemark.operators.slices import stable_key
 from tidemark.session import materialise
 
 
@@ -184,109 +184,6 @@ def keyed(star: Star) -> Star:
     )
 
 
-def dim_date(self) -> DataFrame:
-        return dim_date([self.fact_transaction, self.fact_account_balance, self.fact_loan])
-
-
-def drop_pii(df: DataFrame, pii: list[str], tokens: list[str], salt: str) -> DataFrame:
-    """Replace personal columns: those in ``tokens`` become ``<name>_token``, the others are left out."""
-    kept = [F.col(x) for x in df.columns if x not in pii]
-    return df.select(*kept, *[c.token(F.col(x), salt).alias(f"{x}_token") for x in pii if x in tokens])
-
-
-def _stamp(df: DataFrame, as_of: str) -> DataFrame:
-    return df.withColumns(
-        {
-            "valid_from": F.lit(as_of).cast("date"),
-            "valid_to": F.lit(None).cast("date"),
-            "is_current": F.lit(True),
-        }
-    )
-
-
-def dim_customer(customers: DataFrame, salt: str, as_of: str, stored: DataFrame | None = None) -> DataFrame:
-    """One row per customer, the newest if a source repeats one; the name only as a token."""
-    safe = dedup_latest(
-        customers.select(
-            "customer_id", c.token(F.col("full_name"), salt).alias("customer_token"), "segment", "country",
-            "onboarded_date",
-        ),
-        ["customer_id"], ["onboarded_date"],
-    ).drop("onboarded_date")
-    return _stamp(stable_key(safe, stored, "customer_id", "customer_sk"), as_of)
-
-
-def dim_account_customer(accounts: DataFrame, customers: DataFrame) -> DataFrame:
-    """Accounts with the surrogate key of their customer."""
-    return accounts.join(customers.select("customer_id", "customer_sk"), "customer_id", "left")
-
-
-def dim_account(
-    accounts: DataFrame, customers: DataFrame, as_of: str, stored: DataFrame | None = None
-) -> DataFrame:
-    """One row per account, the newest snapshot if a source repeats one, so that no fact is multiplied."""
-    base = dedup_latest(
-        accounts.select("account_id", "customer_id", "product_type", "status", "snapshot_date"),
-        ["account_id"], ["snapshot_date"],
-    ).drop("snapshot_date")
-    keyed = stable_key(base, stored, "account_id", "account_sk")
-    return _stamp(dim_account_customer(keyed, customers), as_of)
-
-
-def lookup_dim(df: DataFrame, natural: str, key: str) -> DataFrame:
-    return dense_key(df, [natural], key, slices=1).withColumn(key, F.col(key).cast("int"))
-
-
-def txn_values(txns: DataFrame) -> DataFrame:
-    """EUR amount, flags and date key of each posting; natural keys are still there, personal columns not."""
-    kind = F.col("txn_type")
-    return txns.select(
-        "txn_id",
-        "account_id",
-        "channel",
-        c.to_eur(F.col("amount"), F.col("currency")).alias("amount_eur"),
-        "txn_type",
-        c.is_fee(kind).alias("is_fee"),
-        c.is_interest(kind).alias("is_interest"),
-        c.date_sk(F.col("posting_ts")).alias("date_sk"),
-    )
-
-
-def fact_txn_keys(values: DataFrame, accounts: DataFrame, channels: DataFrame) -> DataFrame:
-    """Surrogate keys for natural keys. Neither side is hinted: a small dimension is broadcast by its
-    measured size, a large one is merge-joined and a hot account is split by the skew join."""
-    return (
-        values.join(accounts.select("account_id", "account_sk"), "account_id", "left")
-        .join(channels.select("channel", "channel_sk"), "channel", "left")
-        .drop("account_id", "channel")
-    )
-
-
-def fact_balance_keys(snapshots: DataFrame, accounts: DataFrame) -> DataFrame:
-    product = F.col("product_type")
-    values = snapshots.select(
-        "account_id",
-        c.to_eur(F.col("balance"), F.col("currency")).alias("balance_eur"),
-        c.is_deposit(product).alias("is_deposit"),
-        c.is_loan(product).alias("is_loan"),
-        c.date_sk(F.col("snapshot_date")).alias("date_sk"),
-    )
-    return values.join(accounts.select("account_id", "account_sk"), "account_id", "left").drop("account_id")
-
-
-def fact_loan_keys(snapshots: DataFrame, accounts: DataFrame) -> DataFrame:
-    values = snapshots.select(
-        "loan_id",
-        "account_id",
-        c.money(F.col("principal_outstanding")).alias("principal_outstanding_eur"),
-        "interest_rate",
-        "days_past_due",
-        c.is_npl(F.col("days_past_due")).alias("is_npl"),
-        c.date_sk(F.col("snapshot_date")).alias("date_sk"),
-    )
-    return values.join(accounts.select("account_id", "account_sk"), "account_id", "left").drop("account_id")
-
-
 def dim_date(facts: list[DataFrame]) -> DataFrame:
     """One row per day that occurs in a fact."""
     days = facts[0].select("date_sk")
