@@ -69,6 +69,12 @@ def test_two_days_and_a_rerun(spark, lake):
     assert not {"currency", "counterparty"} & set(lake.scan("silver.fact_transaction").columns)
     assert pairs(lake.scan("silver.dim_date").select("date_sk")) == [(20240110,), (20240111,)]
 
+    # keys of facts are unique over the days, and every key resolves
+    txns = lake.scan("silver.fact_transaction")
+    assert txns.select("txn_sk").distinct().count() == txns.count() == txns.where("account_sk > 0").count()
+    loans = lake.scan("silver.fact_loan")
+    assert loans.select("loan_sk").distinct().count() == loans.count()
+
     # a second run of a day changes nothing
     tables = ["bronze.transactions", "silver.fact_transaction", "silver.fact_loan", "silver.dim_account",
               "gold.kpi_daily", "gold.deposits_by_segment", "gold.txn_by_channel", "gold.loans_by_status"]

@@ -59,6 +59,18 @@ def test_daily_totals_are_exact_whatever_comes_late(spark):
     assert pairs(out) == pairs(batch)
 
 
+def test_a_backlog_in_many_epochs_equals_one(spark):
+    folder, one, many = (scratch(spark, x) for x in ("in", "one", "many"))
+    drop(spark, folder, FIRST)
+    drop(spark, folder, LATE)
+    schema = spark.createDataFrame([], SCHEMA).schema
+    slow = ingest.file_stream(spark, folder, schema, maxFilesPerTrigger="1")
+    a = ingest.land_stream(slow, many, "id", "ts")
+    b = ingest.land_stream(stream(spark, folder), one, "id", "ts")
+    assert a.select("_epoch").distinct().count() == 2
+    assert pairs(a.select("id", "ts", "v")) == pairs(b.select("id", "ts", "v"))
+
+
 def test_closed_days_are_written_once(spark):
     folder, table, mark = (scratch(spark, x) for x in ("in", "closed", "mark"))
     aggs = {"n": F.count(F.lit(1)), "v": F.sum("v")}

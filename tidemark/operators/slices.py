@@ -62,6 +62,19 @@ def stable_key(
     return old.unionByName(new.withColumn(name, F.col(name) + top))
 
 
+DAY_KEYS = 10**11  # keys per day; the day in front fills the rest of a bigint
+
+
+def day_key(df: DataFrame, order: list[str | Column], name: str, slices: int | None = None) -> DataFrame:
+    """Key of a fact stored day by day: its date key in front, its position in the day behind.
+
+    Unique over all days without a look at the others, and the same again when a day is rebuilt.
+    ``df`` holds one day.
+    """
+    keyed = dense_key(df, order, name, slices)
+    return keyed.withColumn(name, F.col("date_sk").cast("bigint") * DAY_KEYS + F.col(name))
+
+
 def running_sum(
     df: DataFrame, key: str, order: list[str], value: str, name: str, slices: int | None = None
 ) -> DataFrame:

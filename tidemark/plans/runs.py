@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.functions import columns as c
 from tidemark.operators import quality, star as s
+from tidemark.operators.slices import day_key
 from tidemark.plans import kpi as k
 from tidemark.sources.bronze import SourceConfig, land
 from tidemark.sources.lake import BATCH, Lake
@@ -38,7 +39,7 @@ class Run:
     run_id: str
     day: str
     sources: list[str]
-    trigger: str = "schedule"
+    trigger: str
     stages: dict[str, str] = field(default_factory=lambda: dict.fromkeys(["extract", "transform", "aggregate"], "pending"))
     qa: list[tuple] = field(default_factory=list)
     audit: list[tuple] = field(default_factory=list)
@@ -71,7 +72,8 @@ class Run:
         row = (
             self.run_id, self.trigger, self.day, self.day, self.sources, self.stages, self.qa, self.audit, self.status
         )
-        spark.createDataFrame([row], MANIFEST).coalesce(1).write.mode("overwrite").json(f"{path}/{self.run_id}")
+        folder = f"{path}/{self.run_id.replace(':', '-')}"
+        spark.createDataFrame([row], MANIFEST).coalesce(1).write.mode("overwrite").json(folder)
 
 
 def bronze_gate(lake: Lake, sources: list[SourceConfig], contracts: dict) -> DataFrame:
@@ -120,7 +122,12 @@ def write_silver(lake: Lake, run: Run, salt: str) -> int:
         )
     )
     rows = sum(lake.write(f"silver.{n}", getattr(star, n), "overwrite", LOOKUP_BATCH) for n in DIMS)
-    rows += sum(lake.write(f"silver.{n}", getattr(star, n), "append", run.day) for n in FACTS)
+    facts = {
+        "fact_transaction": day_key(star.fact_transaction, ["txn_id"], "txn_sk"),
+        "fact_account_balance": star.fact_account_balance,
+        "fact_loan": day_key(star.fact_loan, ["loan_id"], "loan_sk"),
+    }
+    rows += sum(lake.write(f"silver.{n}", fact, "append", run.day) for n, fact in facts.items())
     dates = s.dim_date([lake.scan(f"silver.{n}") for n in FACTS])
     return rows + lake.write("silver.dim_date", dates, "overwrite", LOOKUP_BATCH)
 
@@ -167,11 +174,12 @@ def run_day(
     salt: str | None = None,
     manifests: str | None = None,
     retry: bool = False,
+    trigger: str = "schedule",
 ) -> Run:
     """Land, check, conform, check, aggregate, check one day. A failed bronze or silver gate stops the run;
     with ``retry`` the stage is done once more first, and a second failure escalates."""
     salt = salt or c.pii_salt(spark)
-    run = Run(f"{day}T00-00Z-{uuid.uuid4().hex[:6]}", day, [cfg.source_id for cfg in sources])
+    run = Run(f"{day}T00:00Z-{trigger}-{uuid.uuid4().hex[:6]}", day, [cfg.source_id for cfg in sources], trigger)
 
     def extract() -> int:
         return sum(land(lake, sources, lookups, run.run_id, day).values())
