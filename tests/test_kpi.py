@@ -107,6 +107,14 @@ def test_measures_check_their_grain(star):
     assert {(r.date, r.channel): r.net_loans for r in dated.collect()}[("2024-01-01", "atm")] == 50.0
 
 
+def test_only_asked_dimensions_are_looked_up(star):
+    total = measures.evaluate(star, ["transaction_volume", "net_loans", "total_deposits"], [])
+    assert tuple(total.first()) == (6, 30.0, 0.0)
+    flat = measures.evaluate(star, ["transaction_value", "npl_rate_pct"], ["date"])
+    assert "Join" not in flat._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.date: r.transaction_value for r in flat.collect()}["2024-01-01"] == 21.0
+
+
 def test_approximate_customers_are_close(star):
     exact = dict(pairs(kpi.active_customers(star)))
     assert dict(pairs(kpi.active_customers(star, approximate=True))) == exact

@@ -66,6 +66,8 @@ def test_long_value_lists_stay_whole_as_rows(spark):
     contract = {"allowed_values": {"kind": ["7"]}}
     assert results(df, contract)["allowed_values[kind]"] == ("fail", "unexpected: more than 50 values")
     assert q.unexpected_values(df, contract).count() == 2999
+    plan = q.validate(df, contract)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan  # ranked and cut before the shuffle
 
 
 def test_row_rules_share_one_scan(spark):

@@ -49,38 +49,42 @@ def _last_day(fact: DataFrame) -> DataFrame:
     return fact.where(F.col("date_sk") == fact.agg(F.max("date_sk").alias("m")).scalar())
 
 
-def _small(star: Star, fact: str, dated: bool) -> DataFrame:
-    """The additive parts of a fact by its keys."""
+def _values(star: Star, fact: str, dated: bool) -> tuple[DataFrame, dict[str, Column]]:
+    """The rows of a fact that count, and its additive parts."""
     if fact == "balance":
         rows = star.fact_account_balance if dated else _last_day(star.fact_account_balance)
-        parts = {"deposits": F.when(F.col("is_deposit"), F.col("balance_eur"))}
-        return by_keys(star, rows, ["date_sk", star.account_key], parts)
+        return rows, {"deposits": F.when(F.col("is_deposit"), F.col("balance_eur"))}
     if fact == "loan":
         rows, principal = star.fact_loan if dated else _last_day(star.fact_loan), F.col("principal_outstanding_eur")
-        parts = {"loans": principal, "npl": F.when(F.col("is_npl"), principal)}
-        return by_keys(star, rows, ["date_sk", star.account_key], parts)
+        return rows, {"loans": principal, "npl": F.when(F.col("is_npl"), principal)}
     amount = F.col("amount_eur")
-    parts = {
+    return star.fact_transaction, {
         "interest": F.when(F.col("is_interest"), amount),
         "fee": F.when(F.col("is_fee"), -amount),
         "volume": F.lit(1),
         "value": F.abs(amount),
     }
-    return by_keys(star, star.fact_transaction, ["date_sk", star.account_key, star.channel_key], parts)
 
 
-def _with_dims(star: Star, small: DataFrame, fact: str, dims: set[str]) -> DataFrame:
-    wanted = [*(["customer_sk"] if fact == "txn" else []), *sorted(dims & (ACCOUNT_DIMS | CUSTOMER_DIMS))]
-    if wanted:
-        small = small.join(star.owners(*wanted), star.account_key, "left")
-    if fact == "txn":
-        small = txn_channel(small, star.dim_channel, star.channel_key)
-    if "date" in dims:
-        small = small.withColumn("date", c.iso(c.sk_to_date(F.col("date_sk"))))
-    return small
-
-
-def _parts(fact: str) -> list[Column]:
+def _with_dims(star: Star, fact: str, by: set[str], measures: list[str], dated: bool) -> DataFrame:
+    """The parts of a fact with the dimensions of ``by``. Only dimensions that are asked for are looked up."""
+    txn = fact == "txn"
+    owner = [*(["customer_sk"] if txn and "active_customers" in measures else []),
+             *sorted(by & (ACCOUNT_DIMS | CUSTOMER_DIMS))]
+    channel = txn and bool(by & CHANNEL_DIMS or "digital_channel_mix_pct" in measures)
+    keys = ["date_sk", *([star.account_key] if owner else []), *([star.channel_key] if channel else [])]
+    rows, parts = _values(star, fact, dated)
+    out = by_keys(star, rows, keys, parts)
+    if owner:
+        out = out.join(star.owners(*owner), star.account_key, "left")
+    if channel:
+        out = txn_channel(out, star.dim_channel, star.channel_key)
+    if "date" in by:
+        out = out.withColumn("date", c.iso(c.sk_to_date(F.col("date_sk"))))
+    return out
+
+
+def _parts(fact: str, measures: list[str]) -> list[Column]:
     def total(name: str) -> Column:
         return F.coalesce(F.sum(name), F.lit(0)).alias(name)
 
@@ -88,9 +92,12 @@ def _parts(fact: str) -> list[Column]:
         return [total("deposits")]
     if fact == "loan":
         return [F.sum("loans").alias("loans"), total("npl")]
-    digital = F.sum(F.when(F.col("is_digital"), F.col("volume")).otherwise(0))
-    active = F.count_distinct("customer_sk").alias("active")
-    return [*[total(x) for x in ["interest", "fee", "volume", "value"]], digital.alias("digital"), active]
+    out = [total(x) for x in ["interest", "fee", "volume", "value"]]
+    if "digital_channel_mix_pct" in measures:
+        out.append(F.sum(F.when(F.col("is_digital"), F.col("volume")).otherwise(0)).alias("digital"))
+    if "active_customers" in measures:
+        out.append(F.count_distinct("customer_sk").alias("active"))
+    return out
 
 
 def evaluate(star: Star, measures: list[str], dims: list[str], subtotals: str | None = None) -> DataFrame:
@@ -110,10 +117,10 @@ def evaluate(star: Star, measures: list[str], dims: list[str], subtotals: str |
         raise ValueError("subtotals need dimensions other than the date that reach every fact")
 
     def grouped(fact: str, by: list[str]) -> DataFrame:
-        rows = _with_dims(star, _small(star, fact, "date" in dims), fact, set(by))
+        rows, parts = _with_dims(star, fact, set(by), measures, "date" in dims), _parts(fact, measures)
         if subtotals:
-            return getattr(rows, subtotals)(*by).agg(F.grouping_id().cast("int").alias("level"), *_parts(fact))
-        return rows.groupBy(*by).agg(*_parts(fact))
+            return getattr(rows, subtotals)(*by).agg(F.grouping_id().cast("int").alias("level"), *parts)
+        return rows.groupBy(*by).agg(*parts)
 
     keys = [*dims, "level"] if subtotals else dims
     out = grouped(wide[0], dims)
