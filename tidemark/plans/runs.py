@@ -15,6 +15,7 @@ from tidemark.functions import columns as c
 from tidemark.operators import quality, star as s
 from tidemark.operators.slices import day_key
 from tidemark.plans import kpi as k
+from tidemark.session import materialise
 from tidemark.sources.bronze import SourceConfig, land
 from tidemark.sources.lake import BATCH, Lake
 
@@ -99,9 +100,11 @@ def bronze_gate(lake: Lake, sources: list[SourceConfig], contracts: dict) -> Dat
     return out
 
 
-def write_silver(lake: Lake, run: Run, salt: str) -> int:
-    """Dimensions anew with the keys they already have; facts of the run's day replace that day only."""
-    day = F.lit(run.day).cast("date")
+def write_silver(lake: Lake, run: Run, salt: str, txn_batch: str) -> int:
+    """Dimensions anew with the keys they already have; facts of the run's day replace that day only.
+
+    Of the postings only the folder of ``txn_batch`` is read, and of the stored facts only those of the day.
+    """
 
     def stored(name: str) -> DataFrame | None:
         return lake.scan(name) if lake.exists(name) else None
@@ -112,7 +115,7 @@ def write_silver(lake: Lake, run: Run, salt: str) -> int:
             accounts=lake.scan("bronze.accounts"),
             account_snapshots=lake.scan("bronze.accounts"),
             loan_snapshots=lake.scan("bronze.loans"),
-            transactions=lake.scan("bronze.transactions").where(F.to_date("posting_ts") == day),
+            transactions=lake.scan("bronze.transactions", keep_batch=True).where(F.col(BATCH) == txn_batch),
             channels=lake.scan("bronze.reference_channels").select("channel", "is_digital"),
             products=lake.scan("bronze.reference_products").select("product_type", "product_name"),
             salt=salt,
@@ -128,7 +131,10 @@ def write_silver(lake: Lake, run: Run, salt: str) -> int:
         "fact_loan": day_key(star.fact_loan, ["loan_id"], "loan_sk"),
     }
     rows += sum(lake.write(f"silver.{n}", fact, "append", run.day) for n, fact in facts.items())
-    dates = s.dim_date([lake.scan(f"silver.{n}") for n in FACTS])
+    today, known = stored_star(lake, run.day), stored("silver.dim_date")
+    dates = today.dim_date
+    if known is not None:
+        dates = materialise(known.unionByName(dates).distinct(), "dim-date")
     return rows + lake.write("silver.dim_date", dates, "overwrite", LOOKUP_BATCH)
 
 
@@ -181,6 +187,8 @@ def run_day(
     salt = salt or c.pii_salt(spark)
     run = Run(f"{day}T00:00Z-{trigger}-{uuid.uuid4().hex[:6]}", day, [cfg.source_id for cfg in sources], trigger)
 
+    txn_batch = next((f"{cfg.source_id}:{day}" for cfg in sources if cfg.target == "bronze.transactions"), "")
+
     def extract() -> int:
         return sum(land(lake, sources, lookups, run.run_id, day).values())
 
@@ -198,7 +206,7 @@ def run_day(
 
     try:
         if guarded("extract", "extraction", extract, lambda: bronze_gate(lake, sources, contracts)) and guarded(
-            "transform", "transformation", lambda: write_silver(lake, run, salt),
+            "transform", "transformation", lambda: write_silver(lake, run, salt, txn_batch),
             lambda: quality.silver_checks(stored_star(lake, day)),
         ):
             run.step("aggregate", "aggregation", lambda: write_gold(lake, day))
