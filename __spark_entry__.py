@@ -791,12 +791,36 @@ def entry(spark: SparkSession) -> DataFrame:
     return _plain(kpi.kpi_daily(star(spark, "/root/testdata/sf0.001")))
 
 
-def queries() -> dict[str, Query]:
+def library_queries() -> dict[str, Query]:
+    """Queries of the library itself, without those of the training-data subpackage."""
+
     def plain(query: Query) -> Query:
         return lambda spark, sf_dir: _plain(query(spark, str(sf_dir).rstrip("/")))
 
     return {name: plain(query) for name, query in _queries().items()}
 
 
+def _training() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and statements of the training-data subpackage; nothing where it or its pipeline is not installed."""
+    out, sql = {}, {}
+    try:
+        from tidemark.llm import queries as training
+
+        out, sql = training.queries(), training.oracle_sql()
+        import corpus_pipeline
+
+        out["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("tidemark.llm", "tidemark.llm.queries", "corpus_pipeline"):
+            raise
+    return out, sql
+
+
+def queries() -> dict[str, Query]:
+    return library_queries() | _training()[0]
+
+
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    return oracle.statements() | _training()[1]

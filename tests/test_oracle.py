@@ -6,7 +6,8 @@ import __spark_entry__ as entry
 from conftest import SF
 from oracle_check import compare, connect
 
-ORACLE = entry.oracle_sql()
+QUERIES = entry.library_queries()
+ORACLE = entry.oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +16,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(ORACLE)
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, con, name):
-    assert compare(entry.queries()[name](spark, SF), con, ORACLE[name]) == ""
+    assert compare(QUERIES[name](spark, SF), con, ORACLE[name]) == ""
 
 
 def test_entry(spark):

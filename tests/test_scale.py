@@ -71,9 +71,9 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.library_queries()))
 def test_no_cross_join_and_no_python(large_dims, name):
-    plan = plan_of(entry.queries()[name](large_dims, SF))
+    plan = plan_of(entry.library_queries()[name](large_dims, SF))
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython|MapInPandas", plan)
 
 
