@@ -52,7 +52,8 @@ class PerfectHash:
             f, g = (np.array([h[i] for h in held], np.int64)[:, None] for i in (0, 1))
             low = 0
             while True:
-                at = (f + np.arange(low, low + 64) * g) % self.n
+                tries = np.arange(low, low + 64)
+                at = (f + tries * g + tries // 64) % self.n  # the last term leaves short cycles of g
                 ordered = np.sort(at, axis=0)
                 good = ~taken[at].any(axis=0) & (ordered[1:] != ordered[:-1]).all(axis=0)
                 if good.any():
@@ -78,7 +79,7 @@ class PerfectHash:
         """Number of the only key that ``key`` can be; the caller compares."""
         b, f, g = self._hashes(key)
         shift = int(self.shift[b])
-        return self.slots[-1 - shift if shift < 0 else (f + shift * g) % self.n]
+        return self.slots[-1 - shift if shift < 0 else (f + shift * g + shift // 64) % self.n]
 
 
 class Vocabulary:
