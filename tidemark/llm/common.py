@@ -83,10 +83,10 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         ).distinct()
         nxt = materialise(small, label)
         # a forest of stars over roots that are nobody's leaf is final
-        tops = nxt.select("lo").distinct()
-        if nxt.join(tops, nxt.hi == tops.lo, "left_semi").isEmpty() and _each_once(nxt):
+        tops = nxt.select(F.col("lo").alias("top")).distinct()
+        if nxt.join(tops, nxt.hi == tops.top, "left_semi").isEmpty() and _each_once(nxt):
             leaves = nxt.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
-            return leaves.union(tops.select(F.col("lo").alias("node"), F.col("lo").alias("root")))
+            return leaves.union(tops.select(F.col("top").alias("node"), F.col("top").alias("root")))
         current = nxt
 
 

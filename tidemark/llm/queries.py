@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat, repetition, zip_warc
+from tidemark.llm import byte_bpe, chat, golay_simhash, knn_quality, packing, pii_bootstrap, repetition, zip_warc
 from tidemark.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -16,6 +16,32 @@ def op1_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(read(spark, sf_dir, "documents"))
 
 
+def op3_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(packing.pieces(read(spark, sf_dir, "documents"), tokenizer))
+
+
+def op4_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return golay_simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op6_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = pii_bootstrap.extract(read(spark, sf_dir, "documents"))
+    counts = [
+        F.size(F.filter("base", lambda s, n=n: s.kind == n)).cast("long").alias(f"n_{kind}")
+        for n, kind in enumerate(pii_bootstrap.KINDS)
+    ]
+    base = F.sha2(pii_bootstrap.written("base"), 256).alias("base_sha256")
+    return spans.select("doc_id", *counts, base, pii_bootstrap.written("spans").alias("spans"))
+
+
+def op8_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = knn_quality.score(docs, knn_quality.fit(docs, read(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= knn_quality.REJECT_BELOW).cast("int").alias("predicted")
+    return scored.select("doc_id", knn_quality.held_out().alias("held_out"), "score", predicted)
+
+
 def op5_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zip_warc.round_trip(read(spark, sf_dir, "pages"))
 
