@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat, golay_simhash, knn_quality, packing, pii_bootstrap, repetition, zip_warc
+from tidemark.llm import byte_bpe, chat, golay_simhash, knn_quality, license_scan, nn_descent, packing, pii_bootstrap, repetition, zip_warc
 from tidemark.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -16,6 +16,10 @@ def op1_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(read(spark, sf_dir, "documents"))
 
 
+def op2_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op3_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(packing.pieces(read(spark, sf_dir, "documents"), tokenizer))
@@ -27,14 +31,27 @@ def op4_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = pii_bootstrap.extract(read(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s.kind)
     counts = [
-        F.size(F.filter("base", lambda s, n=n: s.kind == n)).cast("long").alias(f"n_{kind}")
+        (F.size("base") - F.size(F.array_remove(kinds, n))).cast("long").alias(f"n_{kind}")
         for n, kind in enumerate(pii_bootstrap.KINDS)
     ]
     base = F.sha2(pii_bootstrap.written("base"), 256).alias("base_sha256")
     return spans.select("doc_id", *counts, base, pii_bootstrap.written("spans").alias("spans"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = license_scan.scan(docs, license_scan.fit(docs))
+    families = F.array_sort(F.array_distinct(F.transform("found", lambda x: x.family)))
+    return found.select(
+        "doc_id", "n_words", "n_windows",
+        F.size("found").cast("long").alias("n_notices"),
+        F.concat_ws(",", families).alias("families"),
+        F.round(F.array_max(F.transform("found", lambda x: x.probability)), 6).alias("probability"),
+    )
+
+
 def op8_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     scored = knn_quality.score(docs, knn_quality.fit(docs, read(spark, sf_dir, "labels")))
