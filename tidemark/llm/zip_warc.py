@@ -49,7 +49,7 @@ def members(source, size: int) -> dict[str, tuple[int, int]]:
     """name -> (offset, length) of the bytes of every stored member, from the central directory."""
     tail_at = max(0, size - END.size - FULL16)
     tail = _at(source, tail_at, size - tail_at)
-    at = tail.rfind(END_SIGN)
+    at = tail.rfind(END_SIGN, 0, len(tail) - END.size + len(END_SIGN))
     while at >= 0 and at + END.size + END.unpack_from(tail, at)[-1] != len(tail):
         at = tail.rfind(END_SIGN, 0, at)
     if at < 0:
