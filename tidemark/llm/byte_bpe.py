@@ -151,7 +151,7 @@ class Vocabulary:
         except KeyError:
             if len(units) > MEMORY_UNITS:
                 units.clear()
-            for unit in set(found) - units.keys():
+            for unit in [u for u in set(found) if u not in units]:
                 units[unit] = self.encode_unit(unit)
             out = b"".join(map(units.__getitem__, found))
             if len(units) > 2 * MEMORY_UNITS:  # one text with very many units

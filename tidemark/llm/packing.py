@@ -44,7 +44,7 @@ class Encoder:
         except KeyError:
             if len(self.memory) > MEMORY_UNITS:
                 self.memory.clear()
-            fresh = list(set(units) - self.memory.keys())
+            fresh = [u for u in set(units) if u not in self.memory]
             for unit, coded in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
                 self.memory[unit] = np.array(coded.ids, "<u4").tobytes()
             return b"".join(map(self.memory.__getitem__, units))
