@@ -45,8 +45,13 @@ class Encoder:
             if len(self.memory) > MEMORY_UNITS:
                 self.memory.clear()
             fresh = [u for u in set(units) if u not in self.memory]
-            for unit, coded in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-                self.memory[unit] = np.array(coded.ids, "<u4").tobytes()
+            coded = self.tokenizer.encode(fresh, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(coded.ids, "<u4")
+            ends = np.searchsorted(np.array(coded.word_ids, np.int64), np.arange(len(fresh)), "right").tolist()
+            start = 0
+            for unit, end in zip(fresh, ends):
+                self.memory[unit] = ids[start:end].tobytes()
+                start = end
             return b"".join(map(self.memory.__getitem__, units))
 
 
