@@ -1,6 +1,6 @@
 """WARC records in ZIP packages: stored members, an index member, and reading by ranges without extraction.
 
-Tasks write packages straight to the shared folder; a package counts only if its task's row reached the written
+Each record is a gzip member of its own, as web archives have it. Tasks write packages straight to the shared folder; a package counts only if its task's row reached the written
 manifest, so files of lost or repeated tasks are never read. Reading goes manifest -> central directory (ZIP64 too) ->
 index member -> byte ranges of records.
 """
@@ -8,6 +8,7 @@ index member -> byte ranges of records.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import json
 import re
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import map_rows, utf8
 from tidemark.session import materialise, scratch
 
-ARCHIVE, INDEX = "archive/data.warc", "indexes/index.jsonl"
+ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.jsonl"
 #: A package is closed when it holds this many bytes; neighbouring records are read together up to READ_BYTES.
 PACKAGE_BYTES, READ_BYTES = 128 << 20, 4 << 20
 MANIFEST = "path string, n_records long, n_bytes long"
@@ -175,7 +176,7 @@ def write_packages(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_B
                     member = package.open(ARCHIVE, "w", force_zip64=True)
                     index, offset = [], 0
                 payload = utf8(html)
-                data = record(page_id, url, payload, base32_sha1(payload), refers_to)
+                data = gzip.compress(record(page_id, url, payload, base32_sha1(payload), refers_to), mtime=0)
                 member.write(data)
                 index.append(json.dumps({"page": page_id, "offset": offset, "length": len(data)}))
                 offset += len(data)
@@ -244,7 +245,7 @@ def read_records(records: DataFrame, folder: str) -> DataFrame:
                         end += rows[at][2]
                         at += 1
                     data = _at(source, start, end - start)
-                    parsed = [parse(data[o - start : o - start + n]) for _, o, n in rows[first:at]]
+                    parsed = [parse(gzip.decompress(data[o - start : o - start + n])) for _, o, n in rows[first:at]]
                     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(list(c), k) for c, k in zip(zip(*parsed), kinds)],
