@@ -1,16 +1,22 @@
 """Near-duplicate vectors by NN-descent over a neighbour graph kept in tables.
 
-Equal vectors are one class first, so copies are never paired. The graph starts from neighbours along a few random
+Equal vectors are one class, and classes within half the link angle of a leader are one bundle, in which all link by the
+triangle inequality, so neither is ever paired out. The graph over bundles starts from neighbours along a few random
 projections, sorted by range. A round joins neighbours of neighbours (through a common node, both directions), scores new
-pairs by exact cosine and keeps the best few of each node and all of its links. A node whose list is saturated with links
-gets a longer list. Rounds go on until the links stop growing, and the recall of a stated query set against all classes is
-audited by blocked products; a failing audit adds projections and continues. Links that the audit itself finds are kept.
+pairs by exact cosine and keeps the best few of each node and all pairs of bundles that may hold links. A node whose list
+is saturated with those gets a longer list. Rounds go on until the pairs stop growing, and the recall of a stated query set
+against all classes is audited by blocked products; a failing audit adds projections and continues. What the audit itself
+finds is kept. Members of two bundles are compared by blocks, which give counts per member and never pairs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from math import acos, cos
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,151 +26,246 @@ from tidemark.session import materialise
 #: Parameters: link threshold, list length, projections to start from, neighbours along each, rounds, audit.
 THRESHOLD, LIST, PROJECTIONS, REACH, MAX_ROUNDS = 0.9, 10, 8, 6, 8
 AUDIT_EVERY, AUDIT_ROWS, RECALL, AUDITS = 100, 2000, 0.9, 3
-SLICES = 64
+#: Rows of a range of a projection, rounds of bundling, members of a block, and what rounding may do to an angle.
+RANGE_ROWS, MIN_RANGES, BUNDLE_ROUNDS, BLOCK, SLACK = 50_000, 8, 10, 128, 1e-6
+
+
+def _lists_of(rows: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32()), pa.array(rows.ravel()))
+
+
+def _matrix(column: pa.Array, size: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+
+
+def _sizes(column: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
 
 
 def _clean(vectors: DataFrame) -> DataFrame:
     """(vec_id, v): unit vectors in double precision; null where a vector can link with nothing."""
-    raw = F.col("embedding").cast("array<double>")
-    usable = F.coalesce(
-        F.forall(raw, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False)
-    )
-    top = F.array_max(F.transform(raw, F.abs))
-    scaled = F.transform(raw, lambda x: x / top)
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda a, x: a + x * x))
-    unit = F.transform(scaled, lambda x: x / norm)
-    return vectors.select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.when(usable & (top > 0), unit).alias("v")
-    )
 
+    def work(batch: pa.RecordBatch):
+        sizes = _sizes(batch.column(1))
+        for size in np.unique(sizes).tolist():
+            rows = np.flatnonzero(sizes == size)
+            ids, fine = batch.column(0).take(pa.array(rows)), np.zeros(len(rows), bool)
+            if size:
+                x = _matrix(batch.column(1).take(pa.array(rows)), size)
+                top = np.abs(x).max(axis=1)  # a null component is read as not a number
+                fine = np.isfinite(top) & (top > 0)
+                x = x[fine] / top[fine, None]
+                x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+                yield pa.RecordBatch.from_arrays([ids.filter(pa.array(fine)), _lists_of(x)], names=["vec_id", "v"])
+            rest = ids.filter(pa.array(~fine))
+            yield pa.RecordBatch.from_arrays([rest, pa.nulls(len(rest), pa.list_(pa.float64()))], names=["vec_id", "v"])
+
+    plain = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
+    return map_rows(plain, work, "vec_id long, v array<double>")
 
-def _projected(classes: DataFrame, seed: int, n: int) -> DataFrame:
-    """(node, p, x): the place of every class along ``n`` random directions."""
+
+def _projected(nodes: DataFrame, seed: int, n: int) -> DataFrame:
+    """(node, p, x): the place of every node along ``n`` random directions."""
 
     def work(batch: pa.RecordBatch):
-        nodes, rows = batch.column(0), batch.column(1).to_pylist()
-        by_size: dict[int, list[int]] = {}
-        for i, row in enumerate(rows):
-            by_size.setdefault(len(row), []).append(i)
-        for size, some in by_size.items():
+        sizes = _sizes(batch.column(1))
+        for size in np.unique(sizes).tolist():
+            some = np.flatnonzero(sizes == size)
             axes = np.random.default_rng((seed, size)).normal(size=(size, n))
-            x = np.array([rows[i] for i in some]) @ axes
+            x = _matrix(batch.column(1).take(pa.array(some)), size) @ axes
             yield pa.RecordBatch.from_arrays(
-                [nodes.take(pa.array(np.repeat(some, n))), pa.array(np.tile(np.arange(n), len(some))), pa.array(x.ravel())],
+                [batch.column(0).take(pa.array(np.repeat(some, n))), pa.array(np.tile(np.arange(n), len(some))), pa.array(x.ravel())],
                 names=["node", "p", "x"],
             )
 
-    return map_rows(classes.select("node", "v"), work, "node long, p long, x double")
+    return map_rows(nodes.select("node", "v"), work, "node long, p long, x double")
+
 
+def _along(nodes: DataFrame, seed: int, n: int, reach: int, total: int) -> DataFrame:
+    """(a, b), a < b: nodes near each other along a direction. Ranges of places are dealt out, so equal places split too."""
 
-def _along(classes: DataFrame, seed: int, n: int, reach: int, total: int) -> DataFrame:
-    """Pairs of classes near each other along a direction; each direction is cut into slices of its range."""
-    placed = _projected(classes, seed, n)
-    parts = max(SLICES, total // 5000)
-    # a place's slice by the normal curve of places: equal shares without a global sort; ends of slices do not pair
-    share = F.floor(F.lit(parts) / (1 + F.exp(-1.702 * F.col("x"))))
-    order = Window.partitionBy("p", "slice").orderBy("x", "node")
-    rows = placed.withColumn("slice", share)
-    pairs = [
-        rows.select("node", F.lead("node", k).over(order).alias("other")) for k in range(1, reach + 1)
-    ]
-    out = pairs[0]
-    for more in pairs[1:]:
-        out = out.unionByName(more)
-    return _ordered(out.where("other IS NOT NULL"), "node", "other")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tail = np.zeros((2, 0), np.int64)
+        for batch in batches:
+            rows = np.concatenate([tail, [batch.column(i).to_numpy() for i in (0, 1)]], axis=1)
+            for k in range(1, reach + 1):
+                later = np.arange(max(k, tail.shape[1]), rows.shape[1])
+                later = later[rows[1, later] == rows[1, later - k]]
+                ends = np.sort(np.stack([rows[0, later], rows[0, later - k]]), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], names=["a", "b"])
+            tail = rows[:, -reach:]
 
+    ranges = max(MIN_RANGES, total * n // RANGE_ROWS)
+    placed = _projected(nodes, seed, n).repartitionByRange(ranges, "p", "x", "node").sortWithinPartitions("p", "x", "node")
+    return placed.select("node", "p").mapInArrow(run, "a long, b long").where("a < b").distinct()
 
-def _ordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    return pairs.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
+def _scored(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, cosine, near) by exact products of unit vectors; near: within the link angle, widened by both radii.
 
-def _scored(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b, cosine) by exact products of the unit vectors; vectors of different length do not compare."""
-    left = classes.select(F.col("node").alias("a"), F.col("v").alias("va"))
-    right = classes.select(F.col("node").alias("b"), F.col("v").alias("vb"))
+    Vectors of different length do not compare.
+    """
+    left = nodes.select(F.col("node").alias("a"), F.col("v").alias("va"), F.col("radius").alias("ra"))
+    right = nodes.select(F.col("node").alias("b"), F.col("v").alias("vb"), F.col("radius").alias("rb"))
     joined = pairs.join(left, "a").join(right, "b").where(F.size("va") == F.size("vb"))
+    angle = acos(threshold)
 
     def work(batch: pa.RecordBatch):
         va, vb = batch.column(2), batch.column(3)
-        cos = np.empty(batch.num_rows)
-        sizes = np.array([len(x) for x in va])
-        for size in np.unique(sizes):
+        cosine, sizes = np.empty(batch.num_rows), _sizes(va)
+        for size in np.unique(sizes).tolist():
             rows = np.flatnonzero(sizes == size)
-            x, y = (c.take(pa.array(rows)).flatten().to_numpy().reshape(-1, size) for c in (va, vb))
-            cos[rows] = np.einsum("ij,ij->i", x, y)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cos)], names=["a", "b", "cosine"])
+            cosine[rows] = np.einsum("ij,ij->i", *(_matrix(c.take(pa.array(rows)), size) for c in (va, vb)))
+        wide = batch.column(4).to_numpy()
+        widened = np.arccos(np.clip(cosine, -1, 1)) <= angle + wide + SLACK
+        near = np.where(wide > 0, widened, cosine >= threshold)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(cosine), pa.array(near)], names=["a", "b", "cosine", "near"]
+        )
+
+    return map_rows(
+        joined.select("a", "b", "va", "vb", (F.col("ra") + F.col("rb")).alias("wide")), work,
+        "a long, b long, cosine double, near boolean",
+    )
 
-    return map_rows(joined.select("a", "b", "va", "vb"), work, "a long, b long, cosine double")
 
+def _both(edges: DataFrame, *columns: str) -> DataFrame:
+    return edges.select("a", "b", *columns).unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), *columns))
 
-def _both(edges: DataFrame) -> DataFrame:
-    return edges.select("a", "b", "cosine").unionByName(
-        edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine")
-    )
 
+def bundles(classes: DataFrame, total: int, threshold: float = THRESHOLD) -> DataFrame:
+    """(node, leader, cosine): classes within half the link angle of their leader; a class alone leads itself.
 
-def _lists(edges: DataFrame, length: int, most: int, threshold: float) -> DataFrame:
-    """(node, other): the best of each node; up to ``most`` where the list is full of links."""
-    ranked = _both(edges).withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("cosine"), "b")))
-    full = (F.col("r") <= most) & (F.col("cosine") >= threshold)
+    In a round leaders meet along projections, and those without a smaller close neighbour take the close ones over. The
+    members of a leader that was taken over follow if they are close to the new one too, and else lead themselves.
+    Rounds end when fewer than one leader in a thousand was taken over.
+    """
+    tight = cos(acos(threshold) / 2 - SLACK)
+    vectors = classes.select("node", "v", F.lit(0.0).alias("radius"))
+    members = classes.select("node", F.col("node").alias("leader"), F.lit(1.0).alias("cosine"))
+    leaders, n = vectors, total
+    for turn in range(BUNDLE_ROUNDS):
+        met = _scored(_along(leaders, 1000 + turn, PROJECTIONS, REACH, n), leaders, tight)
+        close = materialise(met.where("near").select("a", "b"), "nn-close")
+        heads = close.select("a").distinct().join(close.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
+        taken = close.join(heads, "a").groupBy(F.col("b").alias("leader")).agg(F.min("a").alias("head"))
+        taken = materialise(taken, "nn-taken")
+        moved = taken.count()
+        if not moved:
+            break
+        following = members.join(taken, "leader").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"), "node", "head")
+        rated = _scored(following.select("a", "b"), vectors, tight)
+        follow = following.join(rated, ["a", "b"]).select(
+            "node",
+            F.when(F.col("near"), F.col("head")).otherwise(F.col("node")).alias("leader"),
+            F.when(F.col("near"), F.col("cosine")).otherwise(F.lit(1.0)).alias("cosine"),
+        )
+        members = materialise(members.join(taken, "leader", "left_anti").select("node", "leader", "cosine").unionByName(follow), "nn-members")
+        leaders = vectors.join(members.where("node = leader").select("node"), "node", "left_semi")
+        n -= moved
+        if moved * 1000 < n:
+            break
+    return members
+
+
+def _lists(edges: DataFrame, length: int, most: int) -> DataFrame:
+    """(node, other): the best of each node; up to ``most`` where the list is full of near ones."""
+    both = _both(edges, "cosine", "near")
+    ranked = both.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("cosine"), "b")))
+    full = (F.col("r") <= most) & F.col("near")
     return ranked.where((F.col("r") <= length) | full).select(F.col("a").alias("node"), F.col("b").alias("other"))
 
 
-def _audit(classes: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, cosine): all links of the query set (ids divisible by AUDIT_EVERY, at most AUDIT_ROWS) against all classes."""
-    asked = classes.where(F.col("least") % AUDIT_EVERY == 0).orderBy(F.xxhash64("node")).limit(AUDIT_ROWS).collect()
-    queries = classes.sparkSession.sparkContext.broadcast([(r["node"], r["v"]) for r in asked])
+def _audit(classes: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, n): links of the query set between different bundles, counted by pair of bundles.
+
+    The query set are the classes whose smallest id is divisible by AUDIT_EVERY, at most AUDIT_ROWS of them by hash; it is
+    compared with all classes.
+    """
+    placed = classes.join(members.select("node", "leader"), "node").select("node", "least", "leader", "v")
+    asked = placed.where(F.col("least") % AUDIT_EVERY == 0).orderBy(F.xxhash64("node")).limit(AUDIT_ROWS).collect()
+    queries = classes.sparkSession.sparkContext.broadcast([(r["leader"], np.array(r["v"])) for r in asked])
 
     def work(batch: pa.RecordBatch):
-        nodes, rows = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-        for size in {len(r) for r in rows}:
-            ask = [(n, v) for n, v in queries.value if len(v) == size]
-            some = [i for i, r in enumerate(rows) if len(r) == size]
+        leaders, sizes = batch.column(0).to_numpy(), _sizes(batch.column(1))
+        for size in np.unique(sizes).tolist():
+            ask, rows = [(n, v) for n, v in queries.value if len(v) == size], np.flatnonzero(sizes == size)
             if not ask:
                 continue
-            cos = np.array([rows[i] for i in some]) @ np.array([v for _, v in ask]).T
-            i, j = np.nonzero(cos >= threshold - 1e-9)
-            mine, theirs = nodes[np.array(some)[i]], np.array([n for n, _ in ask])[j]
-            apart = mine != theirs
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(mine, theirs)[apart]), pa.array(np.maximum(mine, theirs)[apart]), pa.array(cos[i, j][apart])],
-                names=["a", "b", "cosine"],
-            )
-
-    return map_rows(classes.select("node", "v"), work, "a long, b long, cosine double").dropDuplicates(["a", "b"])
-
-
-def link_graph(classes: DataFrame, threshold: float = THRESHOLD, length: int = LIST) -> tuple[DataFrame, float]:
-    """Links (a, b, cosine) between classes (node, least, v), and the audited recall of the search."""
-    total = classes.count()
-    edges = materialise(_scored(_along(classes, 0, PROJECTIONS, REACH, total), classes), "nn-edges")
-    recall, truth = 1.0, None
+            i, j = np.nonzero(_matrix(batch.column(1).take(pa.array(rows)), size) @ np.array([v for _, v in ask]).T >= threshold)
+            ends = np.sort(np.stack([leaders[rows[i]], np.array([n for n, _ in ask])[j]]), axis=0)
+            pairs, n = np.unique(ends[:, ends[0] != ends[1]], axis=1, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(n)], names=["a", "b", "n"])
+
+    found = map_rows(placed.select("leader", "v"), work, "a long, b long, n long")
+    return found.groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
+def near_bundles(
+    classes: DataFrame, members: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD, length: int = LIST
+) -> tuple[DataFrame, float]:
+    """Pairs of bundles (a, b, cosine) that may hold links, and the audited recall of the search."""
+    total = nodes.count()
+    edges = materialise(_scored(_along(nodes, 0, PROJECTIONS, REACH, total), nodes, threshold), "nn-edges")
+    truth = materialise(_audit(classes, members, threshold), "nn-audit")
+    wanted = truth.agg(F.sum("n")).first()[0] or 0
+    recall = 1.0
     for audit in range(AUDITS):
         before = -1
         for turn in range(MAX_ROUNDS):
-            now = edges.where(F.col("cosine") >= threshold).count()
+            now = edges.where("near").count()
             if now <= before * 1.001:
                 break
             before = now
-            lists = materialise(_lists(edges, length, length << (turn + 1), threshold), "nn-lists")
+            lists = materialise(_lists(edges, length, length << (turn + 1)), "nn-lists")
             step = lists.select(F.col("other").alias("via"), F.col("node").alias("x"))
             onward = lists.select(F.col("node").alias("via"), F.col("other").alias("y"))
-            near = _ordered(step.join(onward, "via"), "x", "y").join(edges, ["a", "b"], "left_anti")
+            met = step.join(onward, "via").where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+            fresh = met.distinct().join(edges, ["a", "b"], "left_anti")
             kept = lists.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-            linked = edges.where(F.col("cosine") >= threshold)
-            listed = edges.where(F.col("cosine") < threshold).join(kept, ["a", "b"], "left_semi")
-            edges = materialise(linked.unionByName(listed).unionByName(_scored(near, classes)), "nn-edges")
-        links = edges.where(F.col("cosine") >= threshold).select("a", "b", "cosine")
-        if truth is None:
-            truth = materialise(_audit(classes, threshold), "nn-audit").where(F.col("cosine") >= threshold)
-            wanted = truth.count()
-        found = truth.join(links, ["a", "b"], "left_semi").count()
+            listed = edges.where("NOT near").join(kept, ["a", "b"], "left_semi")
+            old = edges.where("near").unionByName(listed)
+            edges = materialise(old.unionByName(_scored(fresh, nodes, threshold)), "nn-edges")
+        near = edges.where("near").select("a", "b", "cosine")
+        found = truth.join(near, ["a", "b"], "left_semi").agg(F.sum("n")).first()[0] or 0
         recall = found / wanted if wanted else 1.0
         if recall >= RECALL:
             break
-        more = _along(classes, audit + 1, PROJECTIONS << (audit + 1), REACH, total).join(edges, ["a", "b"], "left_anti")
-        edges = materialise(edges.unionByName(_scored(more, classes)), "nn-edges")
-    return materialise(links.unionByName(truth).dropDuplicates(["a", "b"]), "nn-links"), recall
+        more = _along(nodes, audit + 1, PROJECTIONS << (audit + 1), REACH, total).join(edges, ["a", "b"], "left_anti")
+        edges = materialise(edges.unionByName(_scored(more, nodes, threshold)), "nn-edges")
+    near = edges.where("near").select("a", "b", "cosine")
+    missed = _scored(truth.select("a", "b").join(near, ["a", "b"], "left_anti"), nodes, threshold)
+    return materialise(near.unionByName(missed.select("a", "b", "cosine")), "nn-near"), recall
+
+
+def _member_links(mixed: DataFrame, members: DataFrame, classes: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, node, more): rows of the other bundle that a member links with, for pairs where only some do; by blocks."""
+    wanted = mixed.select(F.explode(F.array("a", "b")).alias("leader")).distinct()
+    dealt = members.join(wanted, "leader").join(nodes.select(F.col("node").alias("leader"), "n"), "leader")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), F.ceil(F.col("n") / BLOCK)))
+    blocks = dealt.join(classes, "node").groupBy("leader", "block").agg(F.collect_list(F.struct("node", "size", "v")).alias("rows"))
+    blocks = materialise(blocks.select("leader", "rows"), "nn-blocks")
+    left = blocks.select(F.col("leader").alias("a"), F.col("rows").alias("ra"))
+    right = blocks.select(F.col("leader").alias("b"), F.col("rows").alias("rb"))
+
+    def work(batch: pa.RecordBatch):
+        for i in range(batch.num_rows):
+            sides = []
+            for side in (2, 3):
+                rows = batch.column(side)[i].values
+                v = rows.field("v")
+                sides.append((rows.field("node").to_numpy(), rows.field("size").to_numpy(), _matrix(v, len(v[0]))))
+            (na, sa, va), (nb, sb, vb) = sides
+            linked = va @ vb.T >= threshold
+            more = np.r_[linked @ sb, sa @ linked]
+            hit = np.flatnonzero(more)
+            ends = [pa.array(np.full(len(hit), batch.column(k)[i].as_py(), np.int64)) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [*ends, pa.array(np.r_[na, nb][hit]), pa.array(more[hit])], names=["a", "b", "node", "more"]
+            )
+
+    pairs = mixed.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ra", "rb")
+    return map_rows(pairs, work, "a long, b long, node long, more long")
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -179,23 +280,49 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     live = rows.where("v IS NOT NULL")
     classes = live.groupBy("h").agg(F.min("vec_id").alias("least"), F.count("*").alias("size"), F.any_value("v").alias("v"))
     classes = materialise(classes.withColumnRenamed("h", "node"), "nn-classes")
-    links, recall = link_graph(classes, threshold)
-    sizes = classes.select(F.col("node").alias("b"), "size")
-    others = _both(links).join(sizes, "b").groupBy(F.col("a").alias("node")).agg(F.sum("size").alias("more"))
-    roots = components(links.select("a", "b"), "nn-components")
-    rooted = classes.join(roots, "node", "left").select("node", "least", "size", F.coalesce("root", "node").alias("root"))
+    members = bundles(classes, classes.count(), threshold)
+    grouped = members.join(classes.select("node", "size"), "node").groupBy(F.col("leader").alias("node")).agg(
+        F.sum("size").alias("rows"), F.count("*").alias("n"), F.min("cosine").alias("cosine")
+    )
+    radius = F.when(F.col("n") > 1, F.acos(F.least(F.col("cosine"), F.lit(1.0))) + SLACK).otherwise(F.lit(0.0))
+    nodes = materialise(grouped.select("node", "rows", "n", radius.alias("radius")).join(classes.select("node", "v"), "node"), "nn-nodes")
+
+    near, recall = near_bundles(classes, members, nodes, threshold)
+    sizes = nodes.select("node", "rows", "n", "radius")
+    sided = near.join(sizes.toDF("a", "rows_a", "n_a", "radius_a"), "a").join(sizes.toDF("b", "rows_b", "n_b", "radius_b"), "b")
+    wide = F.col("radius_a") + F.col("radius_b")
+    whole = (wide == 0) | (F.acos(F.least("cosine", F.lit(1.0))) + wide + SLACK <= acos(threshold))
+    sided = materialise(sided.withColumn("whole", whole), "nn-sided")
+    full = sided.where("whole")
+    part = materialise(_member_links(sided.where("NOT whole"), members, classes, nodes, threshold), "nn-part")
+
+    all_of = full.select(F.col("a").alias("leader"), F.col("rows_b").alias("m")).unionByName(
+        full.select(F.col("b").alias("leader"), F.col("rows_a").alias("m"))
+    ).groupBy("leader").agg(F.sum("m").alias("all_of"))
+    some_of = part.groupBy("node").agg(F.sum("more").alias("some_of"))
+    linked = full.select("a", "b").unionByName(part.select("a", "b")).distinct()
+    roots = components(linked, "nn-components").withColumnRenamed("node", "leader")
+    rooted = members.join(roots, "leader", "left").select("node", "leader", F.coalesce("root", "leader").alias("root"))
+    rooted = materialise(rooted.join(classes.select("node", "least"), "node"), "nn-rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").join(others, "node", "left").select(
-        F.col("node").alias("h"),
-        F.col("least").alias("class_id"),
-        (F.col("size") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"),
-        "component_id",
+    none = F.lit(0).cast("long")
+    named = (
+        rooted.join(least, "root")
+        .join(sizes.select(F.col("node").alias("leader"), "rows"), "leader")
+        .join(all_of, "leader", "left")
+        .join(some_of, "node", "left")
+        .select(
+            F.col("node").alias("h"),
+            F.col("least").alias("class_id"),
+            (F.col("rows") - 1 + F.coalesce("all_of", none) + F.coalesce("some_of", none)).alias("n_links"),
+            "component_id",
+        )
     )
-    linked = live.select("vec_id", "h").join(named, "h").select("vec_id", "n_links", "component_id", "class_id")
+    found = live.select("vec_id", "h").join(named, "h").select("vec_id", "n_links", "component_id", "class_id")
     alone = rows.where("v IS NULL").select(
-        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").alias("class_id")
+        "vec_id", none.alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").alias("class_id")
     )
-    return linked.unionByName(alone).select(
+    return found.unionByName(alone).select(
         "vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"), "class_id",
         F.lit(float(recall)).alias("recall"),
     )
