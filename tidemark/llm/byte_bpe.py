@@ -9,6 +9,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ class PerfectHash:
     def __init__(self, keys: list[bytes]):
         self.n = len(keys)
         self.n_buckets = max(1, -(-self.n // BUCKET_KEYS))
-        self.shift = np.zeros(self.n_buckets, np.int64)
+        self.shift: list[int] = [0] * self.n_buckets
         self.slots: list[int] = [-1] * self.n
         buckets: list[list[tuple[int, int, int]]] = [[] for _ in range(self.n_buckets)]
         for number, key in enumerate(keys):
@@ -78,21 +79,43 @@ class PerfectHash:
     def number(self, key: bytes) -> int:
         """Number of the only key that ``key`` can be; the caller compares."""
         b, f, g = self._hashes(key)
-        shift = int(self.shift[b])
+        shift = self.shift[b]
         return self.slots[-1 - shift if shift < 0 else (f + shift * g + shift // 64) % self.n]
 
 
+class _Known(dict):
+    """Ranks of byte strings met in merges, -1 for those without one; what is new goes through the perfect hash."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
+
+    def __missing__(self, token: bytes) -> int:
+        rank = self.vocabulary.rank(token)
+        self[token] = found = -1 if rank is None else rank
+        return found
+
+
 class Vocabulary:
-    """Tokens by id, their perfect hash, and the encoder of one unit."""
+    """Tokens by id, their perfect hash, and the encoder of one unit. What it remembers between texts is bounded."""
 
     def __init__(self, tokens: list[bytes], pattern: str):
         self.tokens, self.pattern = tokens, pattern
         self.hash = PerfectHash(tokens)
+        self._forget()
+
+    def _forget(self) -> None:
         self.units: dict[str, bytes] = {}
+        self.merged: dict[bytes, list[int]] = {}
+        self.known = _Known(self)
         self.compiled = None
 
     def __getstate__(self):
-        return {"tokens": self.tokens, "pattern": self.pattern, "hash": self.hash, "units": {}, "compiled": None}
+        return {"tokens": self.tokens, "pattern": self.pattern, "hash": self.hash}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._forget()
 
     def rank(self, token: bytes) -> int | None:
         number = self.hash.number(token)
@@ -101,33 +124,36 @@ class Vocabulary:
     def merge(self, piece: bytes) -> list[int]:
         """BPE of a piece that is no vocabulary entry: the lowest rank first, the leftmost of equals."""
         n = len(piece)
-        after = list(range(1, n + 1))  # end of the part that starts here
+        after = list(range(1, n + 2))  # end of the part that starts here
         before = list(range(-1, n))  # start of the part that ends here
-        alive = [True] * n
-        heap: list[tuple[int, int, int, int]] = []
-
-        def offer(start: int, middle: int) -> None:
-            if middle < n:
-                end = after[middle]
-                rank = self.rank(piece[start:end])
-                if rank is not None:
-                    heapq.heappush(heap, (rank, start, middle, end))
-
-        for i in range(n - 1):
-            offer(i, i + 1)
+        alive = [True] * n + [False]
+        known = self.known
+        if len(known) > MEMORY_UNITS:
+            known.clear()
+        pairs = [piece[i : i + 2] for i in range(n - 1)]
+        heap = [(rank, i, i + 2) for i, rank in enumerate(map(known.__getitem__, pairs)) if rank >= 0]
+        heapq.heapify(heap)
         while heap:
-            _, start, middle, end = heapq.heappop(heap)
-            if not alive[start] or after[start] != middle or not alive[middle] or after[middle] != end:
+            _, start, end = heapq.heappop(heap)
+            middle = after[start]
+            if not alive[start] or not alive[middle] or after[middle] != end:
                 continue
             alive[middle] = False
             after[start] = end
             before[end] = start
-            if before[start] >= 0:
-                offer(before[start], start)
-            offer(start, end)
+            left = before[start]
+            if left >= 0:
+                rank = known[piece[left:end]]
+                if rank >= 0:
+                    heapq.heappush(heap, (rank, left, end))
+            if end < n:
+                right = after[end]
+                rank = known[piece[start:right]]
+                if rank >= 0:
+                    heapq.heappush(heap, (rank, start, right))
         ids, at = [], 0
         while at < n:
-            ids.append(self.rank(piece[at : after[at]]))
+            ids.append(known[piece[at : after[at]]])
             at = after[at]
         return ids
 
@@ -136,12 +162,15 @@ class Vocabulary:
             self.compiled = regex.compile(self.pattern)
         ids: list[int] = []
         for piece in map(utf8, self.compiled.findall(unit)):
-            whole = self.rank(piece)
-            if whole is None:
-                ids.extend(self.merge(piece))
-            else:
-                ids.append(whole)
-        return np.array(ids, "<i4").tobytes()
+            coded = self.merged.get(piece)
+            if coded is None:
+                whole = self.rank(piece)
+                coded = self.merge(piece) if whole is None else [whole]
+                if len(self.merged) > MEMORY_UNITS:
+                    self.merged.clear()
+                self.merged[piece] = coded
+            ids.extend(coded)
+        return struct.pack(f"<{len(ids)}i", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian 32-bit integers."""
