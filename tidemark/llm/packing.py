@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import doc_columns, map_rows
+from tidemark.llm.common import doc_columns, map_rows, utf8
 from tidemark.session import materialise
 
 CAPACITY, END_ID = 4096, 1
@@ -31,31 +31,46 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Ids of texts; what stands between ASCII white space is encoded apart and remembered, within a bound."""
+    """Ids of texts; what stands between ASCII white space is encoded apart and remembered, within a bound.
+
+    The tokenizer lower-cases and gives letters and marks ids of their own, so units are told apart by their lower case
+    only, and a mark behind a letter is taken off before a unit is encoded.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.memory: dict[str, bytes] = {}
+        self.memory: dict[bytes, bytes] = {}
 
     def encode(self, text: str) -> bytes:
-        units = text.split(" ") if not any(c in text for c in "\t\n\r") else text.translate(_TO_SPACE).split(" ")
+        units = utf8(text).lower().split()
         try:
             return b"".join(map(self.memory.__getitem__, units))
         except KeyError:
             if len(self.memory) > MEMORY_UNITS:
                 self.memory.clear()
-            fresh = [u for u in set(units) if u not in self.memory]
-            coded = self.tokenizer.encode(fresh, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(coded.ids, "<u4")
-            ends = np.searchsorted(np.array(coded.word_ids, np.int64), np.arange(len(fresh)), "right").tolist()
-            start = 0
-            for unit, end in zip(fresh, ends):
-                self.memory[unit] = ids[start:end].tobytes()
-                start = end
-            return b"".join(map(self.memory.__getitem__, units))
-
-
-_TO_SPACE = str.maketrans("\t\n\r", "   ")
+            memory = self.memory
+            fresh = {u for u in units if u not in memory}
+            marked = [u for u in fresh if len(u) > 1 and u[-1] in _MARKS and 97 <= u[-2] <= 122]
+            self._learn([w for w in fresh.difference(marked).union(u[:-1] for u in marked).union(_ENDS) if w not in memory])
+            for unit in marked:
+                memory[unit] = memory[unit[:-1]] + memory[unit[-1:]]
+            return b"".join(map(memory.__getitem__, units))
+
+    def _learn(self, words: list[bytes]) -> None:
+        if not words:
+            return
+        coded = self.tokenizer.encode([w.decode() for w in words], is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(coded.ids, "<u4").tobytes()
+        ends = np.searchsorted(np.array(coded.word_ids, np.int64), np.arange(len(words)), "right") * 4
+        start = 0
+        for word, end in zip(words, ends.tolist()):
+            self.memory[word] = ids[start:end]
+            start = end
+
+
+#: Marks that may stand behind a word.
+_MARKS = b",.;:!?"
+_ENDS = [_MARKS[i : i + 1] for i in range(len(_MARKS))]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
