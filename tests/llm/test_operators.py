@@ -96,6 +96,20 @@ def test_op2_equals_brute_force(spark):
     assert nn_descent.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_op2_large_group_is_counted_whole(spark):
+    rng = np.random.default_rng(5)
+    tight = rng.normal(size=32) + rng.normal(size=(300, 32)) * 0.02
+    edge = tight[0] + rng.normal(size=(40, 32)) * 0.4
+    x = np.concatenate([tight, edge, rng.normal(size=(60, 32))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in nn_descent.near_duplicates(df).collect()}
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = (x @ x.T >= 0.9).sum(axis=1) - 1
+    found = np.array([got[i].n_links for i in range(len(x))])
+    assert (found <= near).all() and found.sum() >= 0.99 * near.sum()
+    assert all(got[i].component_id == 0 and got[i].n_links >= 299 for i in range(300))
+
+
 def packed_well(rows):
     by = {}
     for r in rows:
