@@ -110,6 +110,29 @@ def test_op2_large_group_is_counted_whole(spark):
     assert all(got[i].component_id == 0 and got[i].n_links >= 299 for i in range(300))
 
 
+@pytest.fixture
+def starved(monkeypatch):
+    """2,000 vectors, most of which link with one other, and a search that starts from next to nothing."""
+    for name in ("PROJECTIONS", "REACH", "LIST"):
+        monkeypatch.setattr(nn_descent, name, 1)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(1000, 256))
+    return np.concatenate([x, x + rng.normal(size=x.shape) * 0.44])
+
+
+def links(x):
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    return (x @ x.T >= 0.9).sum(axis=1) - 1
+
+
+def test_op2_searches_until_the_recall_is_reached(spark, starved):
+    df = spark.createDataFrame([(i * 50, v.tolist()) for i, v in enumerate(starved)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in nn_descent.near_duplicates(df).collect()}
+    wanted, found = links(starved), np.array([got[i * 50].n_links for i in range(len(starved))])
+    assert got[0].recall >= 0.9 and (found <= wanted).all()
+    assert found[1::2].sum() >= 0.85 * wanted[1::2].sum() > 100  # the rows that no audit asks
+
+
 def packed_well(rows):
     by = {}
     for r in rows:

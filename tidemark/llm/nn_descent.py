@@ -4,9 +4,10 @@ Equal vectors are one class, and classes within half the link angle of a leader
 triangle inequality, so neither is ever paired out. The graph over bundles starts from neighbours along a few random
 projections, sorted by range. A round joins neighbours of neighbours (through a common node, both directions), scores new
 pairs by exact cosine and keeps the best few of each node and all pairs of bundles that may hold links. A node whose list
-is saturated with those gets a longer list. Rounds go on until the pairs stop growing, and the recall of a stated query set
-against all classes is audited by blocked products; a failing audit adds projections and continues. What the audit itself
-finds is kept. Members of two bundles are compared by blocks, which give counts per member and never pairs.
+is saturated with those gets a longer list. Rounds go on until list entries stop changing, and the recall of a stated query
+set against all classes is audited by blocked products; a failing audit doubles the projections and continues. Where those
+would score as many pairs as there are, all bundles are compared by blocks instead. What the audit itself finds is
+kept. Members of two bundles are compared by blocks, which give counts per member and never pairs.
 """
 
 from __future__ import annotations
@@ -21,11 +22,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import components, map_rows
-from tidemark.session import materialise
+from tidemark.session import materialise, scratch
 
-#: Parameters: link threshold, list length, projections to start from, neighbours along each, rounds, audit.
-THRESHOLD, LIST, PROJECTIONS, REACH, MAX_ROUNDS = 0.9, 10, 8, 6, 8
-AUDIT_EVERY, AUDIT_ROWS, RECALL, AUDITS = 100, 2000, 0.9, 3
+#: Parameters: link threshold, list length, projections to start from, neighbours along each, share of new list entries
+#: that ends the rounds, audit, vectors of a broadcast and rows of a product.
+THRESHOLD, LIST, PROJECTIONS, REACH, CHANGED = 0.9, 10, 8, 6, 0.001
+AUDIT_EVERY, AUDIT_ROWS, RECALL, ASKED, PRODUCT_ROWS = 100, 2000, 0.9, 2000, 1024
 #: Rows of a range of a projection, rounds of bundling, members of a block, and what rounding may do to an angle.
 RANGE_ROWS, MIN_RANGES, BUNDLE_ROUNDS, BLOCK, SLACK = 50_000, 8, 10, 128, 1e-6
 
@@ -176,66 +178,108 @@ def _lists(edges: DataFrame, length: int, most: int) -> DataFrame:
     return ranked.where((F.col("r") <= length) | full).select(F.col("a").alias("node"), F.col("b").alias("other"))
 
 
+def _blocked(asked: DataFrame, rows: DataFrame, threshold: float, label: str, once: bool = False) -> DataFrame:
+    """(a, b, cosine), a < b: keys of ``asked`` and ``rows`` (key, v, radius) whose vectors are near, by exact products.
+
+    ``once`` is for rows asked about themselves: each pair is met from its greater key only.
+
+    The asked are dealt into blocks of about ASKED by hash of the vector, each a broadcast that all rows are multiplied with.
+    """
+    spark, path, angle = rows.sparkSession, scratch(rows.sparkSession, label), acos(threshold)
+    asked = asked.select("key", "v", "radius")
+    blocks = max(1, -(-asked.count() // ASKED))
+    for block in range(blocks):
+        held = asked.where(F.pmod(F.xxhash64("v", F.lit(11)), F.lit(blocks)) == block).collect()
+        by_size = {}
+        for size in {len(r["v"]) for r in held}:
+            some = [r for r in held if len(r["v"]) == size]
+            by_size[size] = tuple(np.array([r[c] for r in some]) for c in ("key", "v", "radius"))
+        shared = spark.sparkContext.broadcast(by_size)
+
+        def work(batch: pa.RecordBatch, shared=shared):
+            keys, sizes, radii = batch.column(0).to_numpy(), _sizes(batch.column(1)), batch.column(2).to_numpy()
+            for size in np.unique(sizes).tolist():
+                if size not in shared.value:
+                    continue
+                of_size, (ask, vectors, ask_radii) = np.flatnonzero(sizes == size), shared.value[size]
+                for at in range(0, len(of_size), PRODUCT_ROWS):
+                    some = of_size[at : at + PRODUCT_ROWS]
+                    cosine = _matrix(batch.column(1).take(pa.array(some)), size) @ vectors.T
+                    wide = radii[some, None] + ask_radii
+                    widened = np.arccos(np.clip(cosine, -1, 1)) <= angle + wide + SLACK
+                    other = keys[some, None] < ask if once else keys[some, None] != ask
+                    i, j = np.nonzero(np.where(wide > 0, widened, cosine >= threshold) & other)
+                    ends = np.sort(np.stack([keys[some[i]], ask[j]]), axis=0)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ends[0]), pa.array(ends[1]), pa.array(cosine[i, j])], names=["a", "b", "cosine"]
+                    )
+
+        found = map_rows(rows.select("key", "v", "radius"), work, "a long, b long, cosine double")
+        found.write.mode("append").parquet(path)
+        shared.destroy()
+    return spark.read.schema("a long, b long, cosine double").parquet(path)
+
+
 def _audit(classes: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     """(a, b, n): links of the query set between different bundles, counted by pair of bundles.
 
     The query set are the classes whose smallest id is divisible by AUDIT_EVERY, at most AUDIT_ROWS of them by hash; it is
     compared with all classes.
     """
-    placed = classes.join(members.select("node", "leader"), "node").select("node", "least", "leader", "v")
-    asked = placed.where(F.col("least") % AUDIT_EVERY == 0).orderBy(F.xxhash64("node")).limit(AUDIT_ROWS).collect()
-    queries = classes.sparkSession.sparkContext.broadcast([(r["leader"], np.array(r["v"])) for r in asked])
-
-    def work(batch: pa.RecordBatch):
-        leaders, sizes = batch.column(0).to_numpy(), _sizes(batch.column(1))
-        for size in np.unique(sizes).tolist():
-            ask, rows = [(n, v) for n, v in queries.value if len(v) == size], np.flatnonzero(sizes == size)
-            if not ask:
-                continue
-            i, j = np.nonzero(_matrix(batch.column(1).take(pa.array(rows)), size) @ np.array([v for _, v in ask]).T >= threshold)
-            ends = np.sort(np.stack([leaders[rows[i]], np.array([n for n, _ in ask])[j]]), axis=0)
-            pairs, n = np.unique(ends[:, ends[0] != ends[1]], axis=1, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(n)], names=["a", "b", "n"])
-
-    found = map_rows(placed.select("leader", "v"), work, "a long, b long, n long")
-    return found.groupBy("a", "b").agg(F.sum("n").alias("n"))
+    placed = classes.join(members, "node").select("node", "least", F.col("leader").alias("key"), "v", F.lit(0.0).alias("radius"))
+    asked = placed.where(F.col("least") % AUDIT_EVERY == 0).orderBy(F.xxhash64("node")).limit(AUDIT_ROWS)
+    asked = materialise(asked, "nn-asked")
+    return _blocked(asked, placed, threshold, "nn-answers").groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
 def near_bundles(
     classes: DataFrame, members: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD, length: int = LIST
 ) -> tuple[DataFrame, float]:
-    """Pairs of bundles (a, b, cosine) that may hold links, and the audited recall of the search."""
+    """Pairs of bundles (a, b, cosine) that may hold links, and their audited recall, which is at least RECALL.
+
+    Only pairs that share a list with an entry of the last round meet in a round.
+    """
     total = nodes.count()
-    edges = materialise(_scored(_along(nodes, 0, PROJECTIONS, REACH, total), nodes, threshold), "nn-edges")
     truth = materialise(_audit(classes, members, threshold), "nn-audit")
     wanted = truth.agg(F.sum("n")).first()[0] or 0
-    recall = 1.0
-    for audit in range(AUDITS):
-        before = -1
-        for turn in range(MAX_ROUNDS):
-            now = edges.where("near").count()
-            if now <= before * 1.001:
-                break
-            before = now
-            lists = materialise(_lists(edges, length, length << (turn + 1)), "nn-lists")
-            step = lists.select(F.col("other").alias("via"), F.col("node").alias("x"))
-            onward = lists.select(F.col("node").alias("via"), F.col("other").alias("y"))
-            met = step.join(onward, "via").where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-            fresh = met.distinct().join(edges, ["a", "b"], "left_anti")
-            kept = lists.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-            listed = edges.where("NOT near").join(kept, ["a", "b"], "left_semi")
-            old = edges.where("near").unionByName(listed)
-            edges = materialise(old.unionByName(_scored(fresh, nodes, threshold)), "nn-edges")
-        near = edges.where("near").select("a", "b", "cosine")
+    edges = nodes.sparkSession.createDataFrame([], "a long, b long, cosine double, near boolean")
+    lists = nodes.sparkSession.createDataFrame([], "node long, other long")
+    phase, turn = 0, 0
+    while True:
+        projections = PROJECTIONS << phase
+        whole = 2 * REACH * projections >= total
+        if whole:
+            every = nodes.withColumnRenamed("node", "key")
+            near = _blocked(every, every, threshold, "nn-all", once=True)
+        else:
+            more = _along(nodes, phase, projections, REACH, total).join(edges, ["a", "b"], "left_anti")
+            edges = materialise(edges.unionByName(_scored(more, nodes, threshold)), "nn-edges")
+            while True:
+                turn += 1
+                before = lists.select("node", "other", F.lit(True).alias("old"))
+                lists = _lists(edges, length, length << min(turn, 30)).join(before, ["node", "other"], "left")
+                lists = materialise(lists.select("node", "other", F.col("old").isNull().alias("new")), "nn-lists")
+                entries, new = lists.agg(F.count("*"), F.count_if("new")).first()
+                if new <= CHANGED * entries:
+                    break
+                step = lists.select(F.col("other").alias("via"), F.col("node").alias("x"), F.col("new").alias("new_x"))
+                onward = lists.select(F.col("node").alias("via_y"), F.col("other").alias("y"), F.col("new").alias("new_y"))
+                meet = (F.col("via") == F.col("via_y")) & (F.col("x") != F.col("y")) & (F.col("new_x") | F.col("new_y"))
+                met = step.join(onward, meet).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+                fresh = met.distinct().join(edges, ["a", "b"], "left_anti")
+                kept = lists.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+                listed = edges.where("NOT near").join(kept, ["a", "b"], "left_semi")
+                old = edges.where("near").unionByName(listed)
+                edges = materialise(old.unionByName(_scored(fresh, nodes, threshold)), "nn-edges")
+            near = edges.where("near").select("a", "b", "cosine")
         found = truth.join(near, ["a", "b"], "left_semi").agg(F.sum("n")).first()[0] or 0
         recall = found / wanted if wanted else 1.0
         if recall >= RECALL:
-            break
-        more = _along(nodes, audit + 1, PROJECTIONS << (audit + 1), REACH, total).join(edges, ["a", "b"], "left_anti")
-        edges = materialise(edges.unionByName(_scored(more, nodes, threshold)), "nn-edges")
-    near = edges.where("near").select("a", "b", "cosine")
-    missed = _scored(truth.select("a", "b").join(near, ["a", "b"], "left_anti"), nodes, threshold)
-    return materialise(near.unionByName(missed.select("a", "b", "cosine")), "nn-near"), recall
+            missed = _scored(truth.select("a", "b").join(near, ["a", "b"], "left_anti"), nodes, threshold)
+            return materialise(near.unionByName(missed.select("a", "b", "cosine")), "nn-near"), recall
+        if whole:
+            raise RuntimeError(f"recall {recall} of an exact comparison")
+        phase += 1
 
 
 def _member_links(mixed: DataFrame, members: DataFrame, classes: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
