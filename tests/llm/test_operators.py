@@ -133,6 +133,15 @@ def test_op2_searches_until_the_recall_is_reached(spark, starved):
     assert found[1::2].sum() >= 0.85 * wanted[1::2].sum() > 100  # the rows that no audit asks
 
 
+def test_op2_audit_asks_rows_that_repeat_a_smaller_id(spark, starved):
+    x = np.concatenate([starved, starved[:100]])
+    ids = [*range(1, 4001, 2), *range(5000, 15000, 100)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in nn_descent.near_duplicates(df).collect()}
+    wanted, found = links(x), np.array([got[i].n_links for i in ids])
+    assert (found <= wanted).all() and found.sum() >= 0.85 * wanted.sum() > 100
+
+
 def packed_well(rows):
     by = {}
     for r in rows:

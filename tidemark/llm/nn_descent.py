@@ -6,7 +6,7 @@ projections, sorted by range. A round joins neighbours of neighbours (through a
 pairs by exact cosine and keeps the best few of each node and all pairs of bundles that may hold links. A node whose list
 is saturated with those gets a longer list. Rounds go on until list entries stop changing, and the recall of a stated query
 set against all classes is audited by blocked products; a failing audit doubles the projections and continues. Where those
-would score as many pairs as there are, all bundles are compared by blocks instead. What the audit itself finds is
+would score as many pairs as there are, all bundles are compared by blocks instead. What the audit itself finds is not
 kept. Members of two bundles are compared by blocks, which give counts per member and never pairs.
 """
 
@@ -27,7 +27,7 @@ from tidemark.session import materialise, scratch
 #: Parameters: link threshold, list length, projections to start from, neighbours along each, share of new list entries
 #: that ends the rounds, audit, vectors of a broadcast and rows of a product.
 THRESHOLD, LIST, PROJECTIONS, REACH, CHANGED = 0.9, 10, 8, 6, 0.001
-AUDIT_EVERY, AUDIT_ROWS, RECALL, ASKED, PRODUCT_ROWS = 100, 2000, 0.9, 2000, 1024
+AUDIT_EVERY, RECALL, ASKED, PRODUCT_ROWS = 100, 0.9, 2000, 1024
 #: Rows of a range of a projection, rounds of bundling, members of a block, and what rounding may do to an angle.
 RANGE_ROWS, MIN_RANGES, BUNDLE_ROUNDS, BLOCK, SLACK = 50_000, 8, 10, 128, 1e-6
 
@@ -220,27 +220,26 @@ def _blocked(asked: DataFrame, rows: DataFrame, threshold: float, label: str, on
     return spark.read.schema("a long, b long, cosine double").parquet(path)
 
 
-def _audit(classes: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
+def _audit(rows: DataFrame, classes: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     """(a, b, n): links of the query set between different bundles, counted by pair of bundles.
 
-    The query set are the classes whose smallest id is divisible by AUDIT_EVERY, at most AUDIT_ROWS of them by hash; it is
-    compared with all classes.
+    The query set are all rows whose id is divisible by AUDIT_EVERY, equal ones once; they are compared with all classes.
     """
-    placed = classes.join(members, "node").select("node", "least", F.col("leader").alias("key"), "v", F.lit(0.0).alias("radius"))
-    asked = placed.where(F.col("least") % AUDIT_EVERY == 0).orderBy(F.xxhash64("node")).limit(AUDIT_ROWS)
-    asked = materialise(asked, "nn-asked")
+    placed = classes.join(members, "node").select("node", F.col("leader").alias("key"), "v", F.lit(0.0).alias("radius"))
+    asked = rows.where(F.col("vec_id") % AUDIT_EVERY == 0).select(F.col("h").alias("node")).distinct()
+    asked = materialise(placed.join(asked, "node", "left_semi"), "nn-asked")
     return _blocked(asked, placed, threshold, "nn-answers").groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
 def near_bundles(
-    classes: DataFrame, members: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD, length: int = LIST
+    rows: DataFrame, classes: DataFrame, members: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD, length: int = LIST
 ) -> tuple[DataFrame, float]:
     """Pairs of bundles (a, b, cosine) that may hold links, and their audited recall, which is at least RECALL.
 
     Only pairs that share a list with an entry of the last round meet in a round.
     """
     total = nodes.count()
-    truth = materialise(_audit(classes, members, threshold), "nn-audit")
+    truth = materialise(_audit(rows, classes, members, threshold), "nn-audit")
     wanted = truth.agg(F.sum("n")).first()[0] or 0
     edges = nodes.sparkSession.createDataFrame([], "a long, b long, cosine double, near boolean")
     lists = nodes.sparkSession.createDataFrame([], "node long, other long")
@@ -275,8 +274,7 @@ def near_bundles(
         found = truth.join(near, ["a", "b"], "left_semi").agg(F.sum("n")).first()[0] or 0
         recall = found / wanted if wanted else 1.0
         if recall >= RECALL:
-            missed = _scored(truth.select("a", "b").join(near, ["a", "b"], "left_anti"), nodes, threshold)
-            return materialise(near.unionByName(missed.select("a", "b", "cosine")), "nn-near"), recall
+            return near, recall
         if whole:
             raise RuntimeError(f"recall {recall} of an exact comparison")
         phase += 1
@@ -331,7 +329,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     radius = F.when(F.col("n") > 1, F.acos(F.least(F.col("cosine"), F.lit(1.0))) + SLACK).otherwise(F.lit(0.0))
     nodes = materialise(grouped.select("node", "rows", "n", radius.alias("radius")).join(classes.select("node", "v"), "node"), "nn-nodes")
 
-    near, recall = near_bundles(classes, members, nodes, threshold)
+    near, recall = near_bundles(live, classes, members, nodes, threshold)
     sizes = nodes.select("node", "rows", "n", "radius")
     sided = near.join(sizes.toDF("a", "rows_a", "n_a", "radius_a"), "a").join(sizes.toDF("b", "rows_b", "n_b", "radius_b"), "b")
     wide = F.col("radius_a") + F.col("radius_b")
