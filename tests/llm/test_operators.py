@@ -331,6 +331,30 @@ def test_op7_names_families(spark, odd, none):
     assert license_scan.scan(none, model).count() == 0
 
 
+WRAPPED = {
+    "Apache-2.0": "# you may not use this file except in\n# compliance with the License. You may obtain\n# a copy of the License at",
+    "BSD": " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the",
+    "CC-BY": "licensed under a Creative Commons\n\nAttribution 4.0 International License",
+    "CC-BY-NC": "licensed under a Creative Commons\nAttribution-NonCommercial 4.0 International License",
+    "CC-BY-SA": "licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License",
+    "GPL": "# you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n",
+    "LGPL": "# you can redistribute it and/or modify it under the terms of the GNU\n# Lesser General Public License as published\n# by the Free Software Foundation",
+    "MIT": "Permission is hereby granted, free of\ncharge, to any person obtaining a copy\nof this software",
+    "MPL-2.0": "This Source Code Form is subject to\nthe terms of the Mozilla Public\nLicense, v. 2.0",
+}
+
+
+def test_op7_names_notices_across_line_ends(spark, none):
+    assert list(WRAPPED) == license_scan.FAMILIES[1:]
+    wrapped = list(WRAPPED.values())
+    rows = [*wrapped, "\n".join(wrapped), "\n".join(f"a b {w}\nc\n" for w in wrapped), "word\n" * 30 + wrapped[7], "Released under the MIT License.\n" + wrapped[7]]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: [f.family for f in r.found] for r in license_scan.scan(df, license_scan.fit(none)).collect()}
+    assert [got[i] for i in range(9)] == [[f] for f in WRAPPED]
+    assert sorted(got[9]) == sorted(got[10]) == sorted(WRAPPED)
+    assert got[11] == ["MIT"] and got[12] == ["MIT", "MIT"]
+
+
 def test_op8_held_out_accuracy(spark):
     sf = SF.replace("sf0.001", "sf0.01")
     rows = queries.op8_knn_quality(spark, sf).join(read(spark, sf, "labels"), "doc_id").where("held_out").collect()

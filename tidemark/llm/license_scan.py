@@ -51,6 +51,7 @@ FAMILIES = ["unknown", *TEMPLATES]
 #: Parameters: words of a window and its step, examples of a template, sampled documents, acceptance, training.
 WINDOW, STEP, COPIES, SAMPLE_DOCS, MIN_PROBABILITY, MIN_TEMPLATE = 48, 24, 40, 1000, 0.5, 0.7
 ROUNDS, RATE, DECAY = 400, 2.0, 1e-4
+SPARE = 4  # words that a notice may have beyond its template
 WORD, KEY_LETTERS = re.compile(r"[^\W_]+"), 5
 FOUND = "struct<start_word:long,n_words:long,family:string,probability:double,template:double>"
 SCANNED = f"doc_id long, n_words long, n_windows long, found array<{FOUND}>"
@@ -84,6 +85,39 @@ class Model:
         pairs = set(zip(words, words[1:]))
         return max(len(t & pairs) / len(t) for t in self.templates[family])
 
+    def place(self, words: list[str], family: str) -> list[int]:
+        """Where the words hold the template that ``match`` rates: its pairs in the shortest stretch with most of them."""
+        pairs = list(zip(words, words[1:]))
+        template = max(self.templates[family], key=lambda t: len(t.intersection(pairs)) / len(t))
+        at = [i for i, pair in enumerate(pairs) if pair in template]
+        inside = lambda s: [i for i in at if s <= i < s + len(template) + SPARE]
+        best = max(map(inside, at), key=lambda some: (len({pairs[i] for i in some}), some[0] - some[-1]))
+        return sorted({k for i in best for k in (i, i + 1)})
+
+    def notices(self, words: list[str]) -> list[tuple[str, float, float, list[int]]]:
+        """(family, probability, template share, places) of every confirmed notice, the best template first.
+
+        The classifier must name the family from all words or from the stretch that holds the template. A found notice is
+        taken out and the rest read again, so notices side by side do not hide each other.
+        """
+        out, left, refused = [], list(words), set()
+        while True:
+            shares = {f: self.match(left, f) for f in self.templates if f not in refused}
+            family = max(shares, key=shares.get, default=None)
+            if family is None or shares[family] < MIN_TEMPLATE:
+                return out
+            places = self.place(left, family)
+            stretch = left[places[0] : places[-1] + 1]
+            p = self.probabilities(np.array([self.vector(left), self.vector(stretch)]))
+            named = p[p.argmax(axis=1) == FAMILIES.index(family), FAMILIES.index(family)]
+            if named.max(initial=0) < MIN_PROBABILITY:
+                refused.add(family)
+                continue
+            out.append((family, float(named.max()), shares[family], places))
+            for i in places:
+                left[i] = ""
+            refused.clear()
+
 
 def _softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=1, keepdims=True))
@@ -138,30 +172,43 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCS, seed: int = 7) -> Model:
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """Confirmed notices of every whole text: (doc_id, n_words, n_windows, found).
 
-    Lines are paragraphs; a long one is read in overlapping windows. A paragraph without any long word of the templates is unknown.
+    A line is read in overlapping windows; then windows over the whole text read what crosses line ends, without the notices
+    that were found before. A window without any long word of the templates is unknown.
     A null or empty text has no words; null ids and repeated rows stay; further columns are left out.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    def starts(n: int) -> range:
+        return range(0, max(n - WINDOW, 0) + STEP, STEP)
+
     def work(batch: pa.RecordBatch):
         m, counts, windows, out = shared.value, [], [], []
         for text in batch.column(1):
-            at, n, found = 0, 0, []
-            for line in (text.as_py() or "").lower().split("\n"):
+            at, n, found, all_words, line_of = 0, 0, [], [], []
+            taken = set()
+
+            def read(part: list[str], start: int) -> None:
+                if not m.keys.isdisjoint(part):
+                    for family, probability, template, places in m.notices(part):
+                        found.append(dict(start_word=start, n_words=len(part), family=family, probability=probability, template=template))
+                        taken.update(start + i for i in places)
+
+            for number, line in enumerate((text.as_py() or "").lower().split("\n")):
                 words = WORD.findall(line)
                 n += max(1, -(-max(len(words) - WINDOW, 0) // STEP) + 1) if words else 0
                 if not m.keys.isdisjoint(words):
-                    for start in range(0, max(len(words) - WINDOW, 0) + STEP, STEP):
-                        part = words[start : start + WINDOW]
-                        if m.keys.isdisjoint(part):
-                            continue
-                        p = m.probabilities(m.vector(part)[None])[0]
-                        best = int(p.argmax())
-                        if best and p[best] >= MIN_PROBABILITY:
-                            same = m.match(part, FAMILIES[best])
-                            if same >= MIN_TEMPLATE:
-                                found.append(dict(start_word=at + start, n_words=len(part), family=FAMILIES[best], probability=float(p[best]), template=same))
+                    for start in starts(len(words)):
+                        read([w if at + start + i not in taken else "" for i, w in enumerate(words[start : start + WINDOW])], at + start)
+                all_words += words
+                line_of += [number] * len(words)
                 at += len(words)
+            for start in starts(at) if at else ():
+                end = min(start + WINDOW, at)
+                if line_of[start] != line_of[end - 1]:
+                    n += 1
+                    part = all_words[start:end]
+                    if not m.keys.isdisjoint(part):
+                        read([w if start + i not in taken else "" for i, w in enumerate(part)], start)
             counts.append(at)
             windows.append(n)
             out.append(found)
