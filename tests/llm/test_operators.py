@@ -321,6 +321,21 @@ def test_op6_discovers_and_redacts(spark, odd, none):
     assert pii_bootstrap.extract(odd).count() == len(ODD)
 
 
+def test_op6_discovers_groups_behind_and_before_patterns(spark):
+    rows = [f"please call me {'+4930' + str(10**7 + i)} soon" for i in range(6)]
+    cards = [f"4111 1111 1111 {1000 + i}" for i in range(200)]
+    right = [c for c in cards if luhn(re.sub(" ", "", c))]
+    wrong = [c for c in cards if c not in right]
+    rows += [f"{'abcdefgh'[i % 8]} {c} was charged" for i, c in enumerate([*right[:8], *wrong[:37]])]
+    rows += [f"please call me ({30 + i}) 555-{1000 + i} soon" for i in range(40)]
+    rows += ["ring me 030 123 4567 soon", "the part number 030 123 4567 is out", "please call me " + "7" * 70 + " soon"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = [r.text for r in sorted(pii_bootstrap.redact(df).collect(), key=lambda r: r.doc_id)]
+    assert all(x.endswith(" <CARD> was charged") for x in got[6:51])
+    assert got[51:91] == ["please call me (<PHONE> soon"] * 40
+    assert got[91] == "ring me <PHONE> soon" and got[92:] == rows[92:]
+
+
 def test_op7_names_families(spark, odd, none):
     notices = ["x y. Released under the MIT License.", "Licensed under CC BY-NC 4.0.", "the license of the work is free", LONG]
     df = spark.createDataFrame(list(enumerate(notices)), "doc_id long, text string")

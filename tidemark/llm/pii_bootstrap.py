@@ -1,9 +1,11 @@
 """Personal data by bootstrapped contextual extraction.
 
-Seeds are the matches of fixed rules (email, ip, card, phone). Every seed and every other identifier-like token is an
-instance with the two words before it, its lexical pattern. Patterns and instances form a bipartite graph, weighted by
-occurrence only through distinct pairs; confidence flows from seeds to patterns to unseen instances for a few
-rounds, each an aggregation in Spark. Patterns that stay above the threshold tag the unseen tokens they introduce.
+Seeds are the matches of fixed rules (email, ip, card, phone). Every seed and every other identifier-like token, or run
+of tokens written in groups, is an instance with the words beside it, its lexical patterns: two words before, one before
+and one after, two after, and one on either side alone. Patterns and instances form a bipartite graph, weighted by
+occurrence only through distinct pairs; confidence flows from seeds to patterns to unseen instances for a few rounds, each
+an aggregation in Spark. Patterns that stay above the threshold tag the unseen instances they introduce, where those have
+the shape of the kind.
 """
 
 from __future__ import annotations
@@ -26,12 +28,17 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Parameters of the method: rounds, least confidence, least number of distinct seeds under a pattern.
 ROUNDS, MIN_CONFIDENCE, MIN_SEEDS = 3, 0.9, 5
-CONTEXT_CHARS, MIN_TOKEN, MAX_TOKEN, MIN_DIGITS = 60, 6, 64, 5
+CONTEXT_CHARS, MIN_TOKEN, MIN_DIGITS = 60, 6, 5
+#: Least and most digits of an unseen instance by kind, and most letters; an email has an @ and no such bounds, an ip three
+#: separators.
+DIGITS = {"ip": (4, 32, 32), "card": (12, 24, 6), "phone": (7, 15, 3)}
+OPENING, CLOSING, EDGES = "([{\"'<", ")]}\"'>.,;:!?", ".,;:!?()[]{}\"'<>|*#$%&"
+GROUP = re.compile(r"[(+]*[A-Z]{0,2}[0-9][A-Z0-9()./-]*")
 TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
 SPAN = "struct<start:long,kind:int,end:long>"
 FOUND = (
     f"doc_id long, text_hash long, base array<{SPAN}>, "
-    "seen array<struct<start:long,end:long,kind:int,pattern:string,instance:string>>"
+    "seen array<struct<start:long,end:long,kind:int,patterns:array<string>,instance:string,shapes:array<int>>>"
 )
 
 
@@ -73,34 +80,71 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _pattern(text: str, start: int) -> str | None:
-    words = text[max(0, start - CONTEXT_CHARS) : start].split()[-2:]
-    clean = [re.sub(r"[0-9]+", "0", w.strip("()[]{}\"'").lower()) for w in words]
-    return " ".join(clean) if len(clean) == 2 and start and text[start - 1].isspace() else None
+def _words(words: list[str]) -> list[str]:
+    return [re.sub(r"[0-9]+", "0", w.strip("()[]{}\"'").lower()) for w in words]
 
 
-def _seen(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, str]]:
-    """Instances with a pattern: (start, end, kind or -1, pattern, instance)."""
-    out, taken = [], 0
-    for start, kind, end in base:
-        pattern = _pattern(text, start)
-        if pattern:
-            out.append((start, end, kind, pattern, text[start:end].lower()))
-    ahead = 0
+def _patterns(text: str, start: int, end: int) -> list[str]:
+    """The contexts of a span, where white space or the text's end bounds it behind brackets, quotes and stops."""
+    before = text[max(0, start - CONTEXT_CHARS) : start].rstrip(OPENING)
+    after = text[end : end + CONTEXT_CHARS].lstrip(CLOSING)
+    left = _words(before.split()[-2:]) if before[-1:].isspace() else []
+    right = _words(after.split()[:2]) if after[:1].isspace() else []
+    out = [f"{left[-1]} _"] if left else []
+    out += [f"{left[0]} {left[1]} _"] if len(left) == 2 else []
+    out += [f"_ {right[0]}"] if right else []
+    out += [f"_ {right[0]} {right[1]}"] if len(right) == 2 else []
+    return out + ([f"{left[-1]} _ {right[0]}"] if left and right else [])
+
+
+def _shapes(instance: str) -> list[int]:
+    """Numbers of the kinds whose shape an unseen instance has."""
+    if "@" in instance:
+        return [0]
+    digits, letters = sum(map(str.isdigit, instance)), sum(map(str.isalpha, instance))
+    of = [k for k, (low, high, most) in DIGITS.items() if low <= digits <= high and letters <= most]
+    return [KINDS.index(k) for k in of if k != "ip" or len(re.findall("[.:]", instance)) >= 3]
+
+
+def _candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Spans of tokens outside the seeds that have an @ or enough digits, and of runs of groups one blank apart."""
+    out, run, ahead, taken = set(), [], 0, 0
+
+    def close() -> None:
+        if len(run) > 1:
+            out.add((run[0][0], run[-1][1]))
+        run.clear()
+
     for m in TOKEN.finditer(text):
-        token = m[0].strip(".,;:!?()[]{}\"'<>|*#$%&")
-        if not MIN_TOKEN <= len(token) <= MAX_TOKEN or not ("@" in token or sum(c.isdigit() for c in token) >= MIN_DIGITS):
-            continue
+        token = m[0].strip(EDGES)
         start = m.start() + m[0].index(token)
         end = start + len(token)
         while ahead < len(base) and base[ahead][0] < end:
             taken = max(taken, base[ahead][2])
             ahead += 1
-        if taken <= start:
-            pattern = _pattern(text, start)
-            if pattern:
-                out.append((start, end, -1, pattern, token.lower()))
-    return out
+        if not token or taken > start:
+            close()
+            continue
+        if len(token) >= MIN_TOKEN:
+            out.add((start, end))
+        if not (run and run[-1][2] + 1 == m.start() and text[m.start() - 1] == " "):
+            close()
+        if GROUP.fullmatch(m[0].rstrip(CLOSING + "|")):
+            run.append((start, end, m.end()))
+            if m[0][-1] in ".,;:!?|":
+                close()
+        else:
+            close()
+    close()
+    fit = lambda x: "@" in x or sum(c.isdigit() for c in x) >= MIN_DIGITS
+    return sorted(x for x in out if fit(text[slice(*x)]))
+
+
+def _seen(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, list[str], str, list[int]]]:
+    """Instances with a pattern: (start, end, kind or -1, patterns, instance, kinds of its shape)."""
+    spans = [(start, end, kind) for start, kind, end in base] + [(*x, -1) for x in _candidates(text, base)]
+    out = [(a, b, k, _patterns(text, a, b), text[a:b].lower(), _shapes(text[a:b]) if k < 0 else []) for a, b, k in spans]
+    return [x for x in out if x[3]]
 
 
 def _docs(docs: DataFrame) -> DataFrame:
@@ -116,9 +160,12 @@ def scan(docs: DataFrame) -> DataFrame:
         for text in batch.column(2).to_pylist():
             spans = base_spans(text)
             base.append([{"start": s, "kind": k, "end": e} for s, k, e in spans])
-            seen.append([dict(zip(("start", "end", "kind", "pattern", "instance"), x)) for x in _seen(text, spans)])
+            seen.append([dict(zip(("start", "end", "kind", "patterns", "instance", "shapes"), x)) for x in _seen(text, spans)])
         span = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
-        one = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.int32()), ("pattern", pa.string()), ("instance", pa.string())])
+        one = pa.struct([
+            ("start", pa.int64()), ("end", pa.int64()), ("kind", pa.int32()), ("patterns", pa.list_(pa.string())),
+            ("instance", pa.string()), ("shapes", pa.list_(pa.int32())),
+        ])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(base, pa.list_(span)), pa.array(seen, pa.list_(one))],
             names=["doc_id", "text_hash", "base", "seen"],
@@ -132,14 +179,16 @@ def patterns(
 ) -> DataFrame:
     """(pattern, kind, confidence, n_seeds) of the trusted patterns, the best kind of each.
 
-    A seed has belief 1 in its kind. A pattern's confidence in a kind is the mean belief of its distinct instances; an
-    unseen instance believes the mean of its patterns. The edges are distinct pairs, so a frequent pair counts once.
+    A seed has belief 1 in its kind. A pattern's confidence in a kind is the share of that kind in the belief of its distinct
+    instances, so an unseen one counts against it only as far as it is believed to be of another kind; an unseen instance
+    believes the mean of its patterns. The edges are distinct pairs, so a frequent pair counts once.
     """
     edges = materialise(
-        found.select(F.inline("seen")).select("pattern", F.xxhash64("instance").alias("instance"), "kind").distinct(),
+        found.select(F.inline("seen"))
+        .select(F.explode("patterns").alias("pattern"), F.xxhash64("instance").alias("instance"), "kind")
+        .distinct(),
         "pii-edges",
     )
-    degree = edges.groupBy("pattern").agg(F.count("*").alias("n"))
     known = edges.where("kind >= 0")
     unseen = edges.where("kind < 0").select("pattern", "instance")
     seeds = known.groupBy("pattern", "kind").agg(F.count("*").alias("n_seeds"))
@@ -150,7 +199,8 @@ def patterns(
             more = unseen.join(belief, "instance").groupBy("pattern", "kind").agg(F.sum("belief").alias("mass"))
             mass = mass.unionByName(more.withColumn("n_seeds", F.lit(0).cast("long")))
         rated = mass.groupBy("pattern", "kind").agg(F.sum("mass").alias("mass"), F.sum("n_seeds").alias("n_seeds"))
-        rated = rated.join(degree, "pattern").select(
+        total = rated.groupBy("pattern").agg(F.sum("mass").alias("n")).where("n > 0")
+        rated = rated.join(total, "pattern").select(
             "pattern", "kind", (F.col("mass") / F.col("n")).alias("confidence"), "n_seeds"
         )
         rated = materialise(rated, "pii-patterns")
@@ -167,8 +217,10 @@ def patterns(
 def discovered(found: DataFrame, trusted: DataFrame) -> DataFrame:
     """(doc_id, text_hash, more): spans of unseen tokens behind trusted patterns; equal rows share one result."""
     tokens = found.select("doc_id", "text_hash", F.inline("seen")).where("kind < 0").drop("kind", "instance")
+    tokens = tokens.withColumn("pattern", F.explode("patterns")).drop("patterns")
     span = F.struct("start", "kind", "end").cast(SPAN).alias("span")
-    return tokens.join(trusted.select("pattern", "kind"), "pattern").groupBy("doc_id", "text_hash").agg(
+    meant = tokens.join(trusted.select("pattern", "kind"), "pattern").where(F.array_contains("shapes", F.col("kind")))
+    return meant.groupBy("doc_id", "text_hash").agg(
         F.sort_array(F.collect_set(span)).alias("more")  # spans of one text
     )
 
