@@ -120,3 +120,13 @@ def test_failure_is_recorded(spark, lake):
         runs.run_day(spark, lake, broken, {}, D1, CONTRACTS, salt="s", manifests=path)
     row = runs.read_manifests(spark, path).first()
     assert row.status == "failed" and row.stages["extract"] == "failed" and row.audit[0].outcome == "error"
+
+
+def test_run_stores_every_unexpected_value(spark, lake):
+    df = spark.range(60).select(F.col("id").cast("string").alias("kind"), F.lit(D1).cast("date").alias("d"))
+    source = bronze.SourceConfig("x", "x", lambda: df, "full", "d", "bronze.x", (), "x")
+    for _ in range(2):  # a second run of a day changes nothing
+        run = runs.run_day(spark, lake, [source], {}, D1, {"x": {"allowed_values": {"kind": ["7"]}}}, salt="s")
+        assert run.status == "failed" and "more than 50 values" in run.qa[0][2]
+        rows = lake.scan("ops.unexpected_values")
+        assert pairs(rows.select("source_id", "column", "value", "n")) == sorted(("x", "kind", str(i), 1) for i in range(60) if i != 7)

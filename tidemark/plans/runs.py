@@ -19,6 +19,7 @@ from tidemark.session import materialise
 from tidemark.sources.bronze import SourceConfig, land
 from tidemark.sources.lake import BATCH, Lake
 
+UNEXPECTED = "ops.unexpected_values"  # table of every value outside its allowed set
 MANIFEST = (
     "run_id string, trigger string, window_from string, window_to string, sources array<string>, "
     "stages map<string,string>, "
@@ -77,13 +78,20 @@ class Run:
         spark.createDataFrame([row], MANIFEST).coalesce(1).write.mode("overwrite").json(folder)
 
 
-def bronze_gate(lake: Lake, sources: list[SourceConfig], contracts: dict) -> DataFrame:
-    """(stage, outcome, details): one row per source with a contract, over the whole bronze table."""
+def bronze_gate(lake: Lake, sources: list[SourceConfig], contracts: dict, day: str) -> DataFrame:
+    """(stage, outcome, details): one row per source with a contract, over the whole bronze table.
+
+    Every unexpected value goes to UNEXPECTED, a batch per source and day.
+    """
     out = None
     for cfg in sources:
         if not cfg.contract:
             continue
-        checks = quality.validate(lake.scan(cfg.target), contracts[cfg.contract])
+        landed, contract = lake.scan(cfg.target), contracts[cfg.contract]
+        if set(contract.get("allowed_values", {})) & set(landed.columns):
+            values = quality.unexpected_values(landed, contract).select(F.lit(cfg.source_id).alias("source_id"), "*")
+            lake.write(UNEXPECTED, values, "append", f"{cfg.source_id}:{day}")
+        checks = quality.validate(landed, contract)
         failed = F.when(F.col("outcome") == "fail", F.concat("check", F.lit(": "), "detail"))
         row = checks.agg(
             quality.worst(F.col("outcome")).alias("outcome"),
@@ -205,7 +213,7 @@ def run_day(
         return False
 
     try:
-        if guarded("extract", "extraction", extract, lambda: bronze_gate(lake, sources, contracts)) and guarded(
+        if guarded("extract", "extraction", extract, lambda: bronze_gate(lake, sources, contracts, day)) and guarded(
             "transform", "transformation", lambda: write_silver(lake, run, salt, txn_batch),
             lambda: quality.silver_checks(stored_star(lake, day)),
         ):
