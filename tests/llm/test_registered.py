@@ -12,7 +12,7 @@ from tidemark.llm.common import read
 
 def test_all_are_registered():
     names = entry.queries()
-    assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.queries()) | {"pipeline"} <= set(names)
 
 

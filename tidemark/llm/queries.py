@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat, golay_simhash, knn_quality, license_scan, nn_descent, packing, pii_bootstrap, repetition, zip_warc
+from tidemark.llm import byte_bpe, chat, fill_in_middle, golay_simhash, knn_quality, license_scan, nn_descent, packing
+from tidemark.llm import pii_bootstrap, piece_bpe, ranked_search, repetition, zip_warc
 from tidemark.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -85,6 +86,24 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_conversations(chat.format_turns(turns, vocabulary), vocabulary).drop("n_tokens", "n_loss_tokens")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(read(spark, sf_dir, "documents"))
+    text = fill_in_middle.restored(F.col("form"), F.col("output"))
+    return made.select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piece_bpe.share_model(spark, public_tokenizers.path("piece_bpe_32k.model"))
+    return piece_bpe.digests(piece_bpe.decode(piece_bpe.encode(read(spark, sf_dir, "documents"), model), model))
+
+
 def queries() -> dict:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
@@ -97,6 +116,12 @@ f AS (SELECT b, min(page_id) AS first FROM p GROUP BY b)
 """
 
 
+_TERMS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+
 def oracle_sql() -> dict[str, str]:
     escaped = f"len(regexp_extract_all(t, '{_CONTROL_SEARCH}'))"
     return {
@@ -112,4 +137,37 @@ def oracle_sql() -> dict[str, str]:
               CAST(3 + sum(length(t) + {escaped} + CASE r WHEN 'user' THEN 13 WHEN 'system' THEN 15
                 WHEN 'assistant' THEN 4 ELSE 23 + length(r) END) AS BIGINT) AS formatted_chars
             FROM rows GROUP BY conv_id""",
+        "op11_fill_in_middle": """
+            WITH d AS (
+              SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || doc_id) AS s,
+                regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u FROM documents),
+            h AS (
+              SELECT *, len(u) AS n, CAST('0x' || s[1:8] AS BIGINT) % (len(u) + 1) AS h1,
+                CAST('0x' || s[9:16] AS BIGINT) % (len(u) + 1) AS h2, CAST('0x' || s[25:32] AS BIGINT) AS h4 FROM d),
+            c AS (
+              SELECT doc_id, t, n, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                  THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+                array_to_string(u[1:least(h1, h2)], '') AS p,
+                array_to_string(u[least(h1, h2) + 1:greatest(h1, h2)], '') AS m,
+                array_to_string(u[greatest(h1, h2) + 1:n], '') AS s FROM h)
+            SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+              CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+              sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+              sha256(t) AS restored_sha256 FROM c""",
+        "op12_ranked_search": f"""
+            WITH t AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+            l AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+            g AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM l),
+            p AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+            f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+            w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM f, g),
+            q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+            s AS (
+              SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total))))::BIGINT
+                AS score FROM q JOIN w USING (term) JOIN p USING (term) JOIN l USING (doc_id), g GROUP BY item_id, doc_id),
+            r AS (
+              SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id,
+                score FROM s WHERE score > 0)
+            SELECT * FROM r WHERE rank <= 50""",
     }
