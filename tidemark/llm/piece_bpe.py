@@ -28,7 +28,7 @@ SPACE, BROKEN = "▁", "�"
 #: Fixed values of the model format: kinds of pieces.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 MEMORY_UNITS, SLICE_CHARS, SHORT = 400_000, 2_000_000, 48
-CODED = "id long, ids array<int>, starts array<int>, ends array<int>"
+CODED, DECODED = "id long, ids array<int>, starts array<int>, ends array<int>", "id long, ids array<int>, text string"
 _FAR = 1 << 60
 
 codecs.register_error("bytewise", lambda e: (BROKEN, e.start + 1))
@@ -126,7 +126,9 @@ class Model:
     def _prepare(self) -> None:
         """The unit pattern: cuts that no piece of the vocabulary reaches over."""
         pairs = {(a, b) for p in self.ids for a, b in zip(p, p[1:])}
-        behind = {b: {a for a, c in pairs if c == b} for b in {c for _, c in pairs}}
+        behind: dict[str, set[str]] = {}
+        for a, b in pairs:
+            behind.setdefault(b, set()).add(a)
         spaced, lined = behind.get(SPACE, set()) <= {SPACE}, not any("\n" in pair for pair in pairs)
         self.freeze = re.compile("|".join(map(re.escape, self.frozen))) if self.frozen else None
         if self.frozen or not spaced:
@@ -136,10 +138,22 @@ class Model:
         letters = set("abcdefghijklmnopqrstuvwxyz")
         self.marks = {m for m in ",.;:!?" if not self.frozen and not behind.get(m, set()) & letters}
         self.letters = letters
+        #: Pieces that stand for themselves, as encode_unit writes them.
+        self.written = {p: struct.pack("<2i", i, len(p)) for p, i in self.ids.items() if p not in self.unused}
+        #: What each id stands for in a text, those that stand for nothing, and those that lose a leading space sign.
+        plain = {CONTROL: lambda p: b"", UNKNOWN: lambda p: utf8(self.unknown_text), BYTE: lambda p: bytes([int(p[3:5], 16)])}
+        spaced = lambda p: utf8(p.replace(SPACE, " "))
+        self.tokens = pa.array([plain.get(k, spaced)(p) for p, k in zip(self.pieces, self.kinds)], pa.binary())
+        self.silent = np.array([k == CONTROL for k in self.kinds])
+        lead = self.dummy or self.squeeze
+        self.drops = [lead and k not in plain and p.startswith(SPACE) for p, k in zip(self.pieces, self.kinds)]
+        #: Units met lately, and those met before them.
         self.memory: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("memory", "unit", "freeze")}
+        made = ("memory", "older", "unit", "freeze", "written", "tokens", "silent", "drops")
+        return {k: v for k, v in self.__dict__.items() if k not in made}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -202,22 +216,19 @@ class Model:
 
     def _merged(self, parts: list[str], free: list[bool] | None = None) -> list[str]:
         """Pieces of a unit: the pair with the best score first, the leftmost of equals."""
-        place = self.place.get
         if free is None and len(parts) <= SHORT:
+            place = self.place.get
             found = [place(a + b, _FAR) for a, b in zip(parts, parts[1:])]
-            while found:
-                best = min(found)
-                if best == _FAR:
-                    break
+            while found and (best := min(found)) != _FAR:
                 at = found.index(best)
-                parts[at : at + 2] = [parts[at] + parts[at + 1]]
                 del found[at]
+                parts[at] = new = parts[at] + parts.pop(at + 1)
                 if at:
-                    found[at - 1] = place(parts[at - 1] + parts[at], _FAR)
+                    found[at - 1] = place(parts[at - 1] + new, _FAR)
                 if at < len(found):
-                    found[at] = place(parts[at] + parts[at + 1], _FAR)
+                    found[at] = place(new + parts[at + 1], _FAR)
             return parts
-        n = len(parts)
+        place, n = self.place.get, len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap: list[tuple[int, int, str, str]] = []
 
@@ -274,8 +285,13 @@ class Model:
                 at += len(parts[-1])
         else:
             parts, free = list(unit), None
+        merged = self._merged(parts, free)
+        try:
+            return b"".join(map(self.written.__getitem__, merged))
+        except KeyError:  # an unused piece or a character without one
+            pass
         out: list[int] = []
-        for piece in self._merged(parts, free):
+        for piece in merged:
             for one in self._reused(piece):
                 number = self.ids.get(one)
                 if number is not None:
@@ -304,9 +320,10 @@ class Model:
             coded = b"".join(map(memory.__getitem__, units))
         except KeyError:
             if len(memory) > MEMORY_UNITS:
-                memory.clear()
+                self.older, self.memory = memory, (memory := {})
+            older = self.older.get
             for unit in {u for u in units if u not in memory}:
-                memory[unit] = self.encode_unit(unit)
+                memory[unit] = older(unit) or self.encode_unit(unit)
             coded = b"".join(map(memory.__getitem__, units))
             if len(memory) > 2 * MEMORY_UNITS:  # one text with very many units
                 memory.clear()
@@ -325,19 +342,6 @@ class Model:
             starts, ends = origin[starts], origin[ends]
         return pairs[:, 0], starts, ends
 
-    def decode_bytes(self) -> list[bytes]:
-        """What each id stands for; the leading space sign is the caller's."""
-        out = []
-        for piece, kind in zip(self.pieces, self.kinds):
-            plain = utf8(piece.replace(SPACE, " "))
-            out.append(b"" if kind == CONTROL else utf8(self.unknown_text) if kind == UNKNOWN else bytes([int(piece[3:5], 16)]) if kind == BYTE else plain)
-        return out
-
-    def drops_space(self) -> list[bool]:
-        """Whether an id at the start of a text loses its leading space sign."""
-        lead = self.dummy or self.squeeze
-        return [lead and kind not in (CONTROL, UNKNOWN, BYTE) and p.startswith(SPACE) for p, kind in zip(self.pieces, self.kinds)]
-
 
 def share_model(spark: SparkSession, path: str) -> Broadcast:
     """The model of a file, once per executor; its size is that of the vocabulary."""
@@ -345,22 +349,45 @@ def share_model(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast(Model(file.read()))
 
 
+def _coded(own: Model, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+    for some, part in text_slices(keys, texts, SLICE_CHARS):
+        coded = [own.encode(t or "") for t in part]
+        ends = pa.array(np.cumsum([0, *(len(c[0]) for c in coded)]), pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([c[i] for c in coded]).astype(np.int32))) for i in range(3)]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), *lists], names=["id", "ids", "starts", "ends"])
+
+
+def _decoded(own: Model, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, 256):
+        part = batch.slice(at, 256)
+        ids = pc.fill_null(part.column(1), pa.scalar([], part.column(1).type))
+        flat = pc.list_flatten(ids)
+        ends = np.cumsum(np.r_[0, pc.list_value_length(ids).to_numpy(zero_copy_only=False)])
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), own.tokens.take(flat)), b"").to_pylist()
+        numbers, texts = flat.to_numpy(), []
+        for row, data in enumerate(joined):
+            for k in range(ends[row], ends[row + 1]):
+                if own.silent[numbers[k]]:
+                    continue
+                if own.drops[numbers[k]]:
+                    data = data[1:]
+                    if own.squeeze and len(own.pieces[numbers[k]]) == 1:
+                        continue  # nothing is written yet: the next piece is still the first
+                break
+            mine = numbers[ends[row] : ends[row + 1]]
+            runs = _runs(own, mine, len(data)) if own.silent[mine].any() else [data]
+            texts.append("".join(r.decode("utf-8", "bytewise") for r in runs))
+        yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(texts, pa.string())], names=["id", "ids", "text"])
+
+
 def encode(docs: DataFrame, model: Broadcast, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids, starts, ends) of every row: the library's ids without begin and end, and the source bytes of each.
 
     A null or empty text has no ids. Repeated rows and null keys stay as they are; other columns stay out; an empty table
     gives an empty result; a text is encoded whole, whatever its length.
     """
-
-    def work(batch: pa.RecordBatch):
-        keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for some, part in text_slices(keys, texts, SLICE_CHARS):
-            coded = [model.value.encode(t or "") for t in part]
-            ends = pa.array(np.cumsum([0, *(len(c[0]) for c in coded)]), pa.int32())
-            lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([c[i] for c in coded]).astype(np.int32))) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), *lists], names=["id", "ids", "starts", "ends"])
-
-    return map_rows(doc_columns(docs, id_col, text_col), work, CODED)
+    return map_rows(doc_columns(docs, id_col, text_col), lambda batch: _coded(model.value, batch), CODED)
 
 
 def decode(coded: DataFrame, model: Broadcast) -> DataFrame:
@@ -368,30 +395,26 @@ def decode(coded: DataFrame, model: Broadcast) -> DataFrame:
 
     Bytes that are no UTF-8 become one replacement character each. The space sign put before a text is taken off again.
     """
+    return map_rows(coded.select("id", "ids"), lambda batch: _decoded(model.value, batch), DECODED)
+
+
+def round_trip(docs: DataFrame, model: Broadcast, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, ids, text) of :func:`encode` and then :func:`decode`, in one pass over the rows."""
 
     def work(batch: pa.RecordBatch):
-        own = model.value
-        tokens, drops, silent = pa.array(own.decode_bytes(), pa.binary()), own.drops_space(), [k == CONTROL for k in own.kinds]
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            ids = pc.fill_null(part.column(1), pa.scalar([], part.column(1).type))
-            flat = pc.list_flatten(ids)
-            ends = np.cumsum(np.r_[0, pc.list_value_length(ids).to_numpy(zero_copy_only=False)])
-            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tokens.take(flat)), b"").to_pylist()
-            numbers, texts = flat.to_numpy(), []
-            for row, data in enumerate(joined):
-                for k in range(ends[row], ends[row + 1]):
-                    if silent[numbers[k]]:
-                        continue
-                    if drops[numbers[k]]:
-                        data = data[1:]
-                        if own.squeeze and len(own.pieces[numbers[k]]) == 1:
-                            continue  # nothing is written yet: the next piece is still the first
-                    break
-                texts.append(data.decode("utf-8", "bytewise"))
-            yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(texts, pa.string())], names=["id", "ids", "text"])
-
-    return map_rows(coded.select("id", "ids"), work, "id long, ids array<int>, text string")
+        for coded in _coded(model.value, batch):
+            yield from _decoded(model.value, coded)
+
+    return map_rows(doc_columns(docs, id_col, text_col), work, DECODED)
+
+
+def _runs(own: Model, ids: np.ndarray, kept: int) -> list[bytes]:
+    """Bytes of the stretches between control ids, over which no character reaches; ``kept`` bytes are left of them all."""
+    parts = [b"".join(own.tokens.take(pa.array(p)).to_pylist()) for p in np.split(ids, np.flatnonzero(own.silent[ids]))]
+    lost = sum(map(len, parts)) - kept
+    for i, part in enumerate(parts):  # what was taken off stood at the start
+        parts[i], lost = part[lost:], max(0, lost - len(part))
+    return parts
 
 
 def digests(decoded: DataFrame) -> DataFrame:

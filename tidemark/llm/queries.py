@@ -101,7 +101,7 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = piece_bpe.share_model(spark, public_tokenizers.path("piece_bpe_32k.model"))
-    return piece_bpe.digests(piece_bpe.decode(piece_bpe.encode(read(spark, sf_dir, "documents"), model), model))
+    return piece_bpe.digests(piece_bpe.round_trip(read(spark, sf_dir, "documents"), model))
 
 
 def queries() -> dict:
