@@ -8,6 +8,11 @@ Pigeonhole for at most four errors: either a segment is exact and another has at
 of another), or all three have errors and then two of them have a single one, so one half of each of these is exact,
 and the third has at most two (keys: two halves, index of the third). Every link shares a key, and a verified distance
 follows. Fingerprints are reduced to distinct ones first, so copies are never paired.
+
+Groups are found without writing the pairs of a key. In a round every key names one pivot, the smallest fingerprint outside
+the key's largest group, and all its fingerprints are compared with that pivot alone; groups that a verified link joins
+become one. Keys whose fingerprints are all in one group are done. When no pivot joins anything more, what is left in the
+mixed keys is compared outright: the fingerprints outside the largest group with all others of other groups.
 """
 
 from __future__ import annotations
@@ -17,7 +22,7 @@ from itertools import combinations, permutations, product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import components, doc_columns, map_rows, utf8
@@ -115,13 +120,62 @@ def fuzzy_keys(prints: DataFrame) -> DataFrame:
 
 
 def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(a, b), a < b: distinct fingerprints at most ``max_bits`` (up to 4) bits apart."""
+    """(a, b), a < b: all pairs of distinct fingerprints at most ``max_bits`` (up to 4) bits apart.
+
+    A group of near copies has as many as the square of its size; where groups are enough, :func:`groups` writes none.
+    """
     if not 0 <= max_bits <= 4:
         raise ValueError("the keys cover distances up to 4")
     keys = fuzzy_keys(prints)
     left, right = keys.select("key", F.col("fp").alias("a")), keys.select("key", F.col("fp").alias("b"))
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    return left.join(right, "key").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    return left.join(right, "key").where((F.col("a") < F.col("b")) & (_apart("a", "b") <= max_bits)).select("a", "b").distinct()
+
+
+def _shared(prints: DataFrame) -> DataFrame:
+    """(key, fp) for the keys of two fingerprints or more; a key's rows pass one sorted window, which can spill."""
+    keys = fuzzy_keys(prints).withColumn("n", F.count("*").over(Window.partitionBy("key")))
+    return keys.where("n > 1").select("key", "fp")
+
+
+def _apart(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
+
+
+def groups(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(fp, root) of the distinct fingerprints that link with another: root is the smallest fingerprint links lead to.
+
+    Two fingerprints link at most ``max_bits`` (up to 4) bits apart. Every link is verified and none is missed.
+    """
+    if not 0 <= max_bits <= 4:
+        raise ValueError("the keys cover distances up to 4")
+    shared = materialise(_shared(prints), "simhash-shared")
+    rooted = materialise(shared.select("fp").distinct().withColumn("root", F.col("fp")), "simhash-rooted")
+    outright = False
+    while True:
+        placed = shared.join(rooted, "fp")
+        sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"), F.min("fp").alias("low"))
+        largest = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"))
+        mixed = sizes.join(largest.where("roots > 1").select("key", "main"), "key").where("root <> main")
+        if outright:
+            mains = mixed.select("key", "main").distinct()
+            placed = placed.join(mains, "key")
+            few = placed.where("root <> main").select("key", F.col("fp").alias("pivot"), F.col("root").alias("other"))
+        else:
+            pivot = F.min_by(F.struct(F.col("low").alias("pivot"), F.col("root").alias("other")), "low")
+            few = mixed.groupBy("key").agg(pivot.alias("p")).select("key", "p.pivot", "p.other")
+        met = placed.join(few, "key").where((F.col("root") != F.col("other")) & (_apart("fp", "pivot") <= max_bits))
+        joined = met.select(F.least("root", "other").alias("a"), F.greatest("root", "other").alias("b")).distinct()
+        joined = materialise(joined, "simhash-joined")
+        if joined.isEmpty():
+            if outright:
+                return rooted
+            outright = True
+            continue
+        found = components(joined, "simhash-links").select(F.col("node").alias("root"), F.col("root").alias("new"))
+        rooted = rooted.join(found, "root", "left").select("fp", F.coalesce("new", "root").alias("root"))
+        rooted = materialise(rooted, "simhash-rooted")
+        if outright:
+            return rooted
 
 
 def near_duplicates(
@@ -133,10 +187,8 @@ def near_duplicates(
     """
     prints = materialise(fingerprints(docs, shingle, id_col, text_col), "simhash")
     classes = materialise(prints.groupBy("fp").agg(F.min("id").alias("least")), "simhash-classes")
-    roots = components(links(classes, max_bits), "simhash-links")
-    rooted = classes.join(roots, classes.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    roots = groups(classes, max_bits)
+    rooted = classes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return prints.join(named, "fp").select(
