@@ -88,9 +88,9 @@ def members(source, size: int) -> dict[str, tuple[int, int]]:
     return out
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """One WARC record; a revisit carries the HTTP head alone."""
-    http = utf8(f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n")
+def record(page_id: int | None, url: str | None, payload: bytes, n_bytes: int, digest: str, refers_to: int | None) -> bytes:
+    """One WARC record of a payload of ``n_bytes``; a revisit carries the HTTP head alone."""
+    http = utf8(f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n_bytes}\r\n\r\n")
     block = http if refers_to is not None else http + payload
     head = [
         "WARC/1.1",
@@ -131,25 +131,35 @@ def base32_sha1(payload: bytes) -> str:
 
 
 def with_references(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(page_id, url, html, refers_to): the smallest page of equal payloads, for the others of them.
+    """(page_id, url, html, sha1, n_bytes, refers_to): the smallest page of equal payloads, for the others of them.
 
-    Payloads under ``min_bytes`` refer to nothing. A null html is empty. Rows that repeat the smallest page_id are
-    responses like it; a null page_id refers to a page that has one, if any.
+    Payloads are told apart by digest and length, and only these meet by payload; the payload itself goes with its page,
+    and not at all with a page that refers to another. Payloads under ``min_bytes`` refer to nothing. A null html is empty.
+    Rows that repeat the smallest page_id are responses like it; a null page_id refers to a page that has one, if any.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
-    ).withColumn("digest", F.sha1(F.encode("html", "UTF-8")))
-    first = rows.groupBy("digest").agg(F.min("page_id").alias("first"))
-    other = (F.octet_length("html") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return rows.join(first, "digest").select("page_id", "url", "html", F.when(other, F.col("first")).alias("refers_to"))
+    ).withColumns({"sha1": F.sha1(F.encode("html", "UTF-8")), "n_bytes": F.octet_length("html").cast("long")})
+    digests = rows.groupBy("sha1", "n_bytes", "page_id").agg(F.count("*").alias("n"))
+    first = digests.groupBy("sha1", "n_bytes").agg(F.min("page_id").alias("first"), F.sum("n").alias("n"))
+    # most payloads stand alone: only those that do not are looked up
+    repeated = first.where("n > 1").select("sha1", "n_bytes", "first")
+    other = (F.col("n_bytes") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first"))
+    refers = digests.join(repeated, ["sha1", "n_bytes"]).where(other).select("page_id", "sha1", "n_bytes", "first")
+    refers = materialise(refers, "warc-refers").toDF("page_id", "sha1", "n_bytes", "refers_to")
+    same = rows.page_id.eqNullSafe(refers.page_id) & (rows.sha1 == refers.sha1) & (rows.n_bytes == refers.n_bytes)
+    payload = F.when(refers.refers_to.isNull(), F.col("html"))
+    return rows.join(refers, same, "left").select(
+        rows.page_id, "url", payload.alias("html"), rows.sha1, rows.n_bytes, "refers_to"
+    )
 
 
 def write_packages(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES) -> DataFrame:
-    """Packages of the records of ``pages`` (page_id, url, html, refers_to) below ``folder``; returns their manifest.
+    """Packages of the records of ``pages`` (as :func:`with_references` gives them) below ``folder``; returns their manifest.
 
-    Each package is written by one task as a stream, member by member. An empty table writes none.
+    Each package is written by one task as a stream, member by member, a record at a time. An empty table writes none.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,15 +178,16 @@ def write_packages(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_B
             return pa.RecordBatch.from_pydict({"path": [name], "n_records": [len(index)], "n_bytes": [offset]})
 
         for batch in batches:
-            for page_id, url, html, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
+            for row in range(batch.num_rows):
+                page_id, url, html, sha1, n_bytes, refers_to = (c[row].as_py() for c in batch.columns)
                 if package is None:
                     name = f"{root}/{uuid.uuid4().hex}.zip"
                     raw = store.open_output_stream(name)
                     package = zipfile.ZipFile(_Stream(raw), "w", zipfile.ZIP_STORED)
                     member = package.open(ARCHIVE, "w", force_zip64=True)
                     index, offset = [], 0
-                payload = utf8(html)
-                data = gzip.compress(record(page_id, url, payload, base32_sha1(payload), refers_to), mtime=0)
+                digest = base64.b32encode(bytes.fromhex(sha1)).decode()
+                data = gzip.compress(record(page_id, url, utf8(html or ""), n_bytes, digest, refers_to), mtime=0)
                 member.write(data)
                 index.append(json.dumps({"page": page_id, "offset": offset, "length": len(data)}))
                 offset += len(data)
@@ -186,7 +197,8 @@ def write_packages(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_B
         if package is not None:
             yield close()
 
-    return materialise(pages.select("page_id", "url", "html", "refers_to").mapInArrow(run, MANIFEST), "manifest")
+    columns = ["page_id", "url", "html", "sha1", "n_bytes", "refers_to"]
+    return materialise(pages.select(*columns).mapInArrow(run, MANIFEST), "manifest")
 
 
 class _Stream:
