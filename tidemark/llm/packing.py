@@ -24,7 +24,7 @@ from tidemark.session import materialise
 CAPACITY, END_ID = 4096, 1
 #: Rows that one task ranks at a time, on average; and the least number of parts a length is dealt to.
 RANKED_ROWS, MIN_PARTS = 100_000, 64
-MEMORY_UNITS = 400_000
+MEMORY_UNITS, WORDS = 400_000, 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
 _ENCODERS: dict[str, Encoder] = {}
@@ -34,22 +34,36 @@ class Encoder:
     """Ids of texts; what stands between ASCII white space is encoded apart and remembered, within a bound.
 
     The tokenizer lower-cases and gives letters and marks ids of their own, so units are told apart by their lower case
-    only, and a mark behind a letter is taken off before a unit is encoded.
+    only, and a mark behind a letter is taken off before a unit is encoded. Added tokens are matched and combining marks
+    composed before lower-casing: a unit that holds one, the token in any case, is told apart as it stands. Units met
+    lately, and those met before them, are two memories; the older one is dropped when the newer one is full.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.odd = [utf8(t.content).lower() for t in self.tokenizer.get_added_tokens_decoder().values()] + _COMBINING
         self.memory: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _units(self, text: str) -> list[bytes]:
+        data = utf8(text)
+        lower = data.lower()
+        if not any(t in lower for t in self.odd):
+            return lower.split()
+        return [u if any(t in low for t in self.odd) else low for u, low in zip(data.split(), lower.split())]
 
     def encode(self, text: str) -> bytes:
-        units = utf8(text).lower().split()
+        units = self._units(text)
         try:
             return b"".join(map(self.memory.__getitem__, units))
         except KeyError:
             if len(self.memory) > MEMORY_UNITS:
-                self.memory.clear()
-            memory = self.memory
-            fresh = {u for u in units if u not in memory}
+                self.older, self.memory = self.memory, {}
+            memory, older = self.memory, self.older
+            fresh = set(units).difference(memory)
+            if older:
+                memory.update((u, older[u]) for u in fresh if u in older)
+                fresh = fresh.difference(memory)
             marked = [u for u in fresh if len(u) > 1 and u[-1] in _MARKS and 97 <= u[-2] <= 122]
             self._learn([w for w in fresh.difference(marked).union(u[:-1] for u in marked).union(_ENDS) if w not in memory])
             for unit in marked:
@@ -57,19 +71,24 @@ class Encoder:
             return b"".join(map(memory.__getitem__, units))
 
     def _learn(self, words: list[bytes]) -> None:
-        if not words:
-            return
-        coded = self.tokenizer.encode([w.decode() for w in words], is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(coded.ids, "<u4").tobytes()
-        ends = np.searchsorted(np.array(coded.word_ids, np.int64), np.arange(len(words)), "right") * 4
-        start = 0
-        for word, end in zip(words, ends.tolist()):
-            self.memory[word] = ids[start:end]
-            start = end
+        """Ids of words, WORDS at a time as one text; a token belongs to the word in which it starts."""
+        for at in range(0, len(words), WORDS):
+            some = words[at : at + WORDS]
+            plain = [w.decode() for w in some]
+            coded = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
+            ids = np.array(coded.ids, "<u4").tobytes()
+            starts = np.fromiter((first for first, _ in coded.offsets), np.int64, len(coded.ids))
+            ends = np.searchsorted(starts, np.cumsum([len(w) + 1 for w in plain]), "left") * 4
+            start = 0
+            for word, end in zip(some, ends.tolist()):
+                self.memory[word] = ids[start:end]
+                start = end
 
 
 #: Marks that may stand behind a word.
 _MARKS = b",.;:!?"
+#: First bytes of the combining marks that compose with ASCII letters.
+_COMBINING = [b"\xcc", b"\xcd"]
 _ENDS = [_MARKS[i : i + 1] for i in range(len(_MARKS))]
 
 
