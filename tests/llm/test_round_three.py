@@ -1,5 +1,6 @@
 """Fill-in-middle, ranked search and piece encoding against brute force and the public library, with odd rows."""
 
+import base64
 import hashlib
 import math
 import random
@@ -15,8 +16,9 @@ from hypothesis import strategies as st
 from sentencepiece import sentencepiece_model_pb2
 
 from conftest import SF
-from tidemark.llm import fill_in_middle, piece_bpe, queries, ranked_search
+from tidemark.llm import fill_in_middle, golay_simhash, packing, piece_bpe, queries, ranked_search, zip_warc
 from tidemark.llm.common import read
+from tidemark.session import scratch
 
 DOCS = "doc_id long, text string, id long, terms string, n int, output string"
 LONG = "wörd one\n" * 40_000
@@ -247,3 +249,69 @@ def test_op13_decodes_any_ids(spark, blob):
     got = {r.id: r.text for r in piece_bpe.decode(frame, piece_bpe.share_model(spark, PATH)).collect()}
     assert got.pop(-1) == ""
     assert got == {i: sp.decode(x) for i, x in enumerate(lists)}
+
+
+# mended operators ----------------------------------------------------------------------------------------
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(
+    ["<|ENDOFTEXT|>", "<|endoftext|>", "<|StartOfText|>", "T̈", "ẖ", "é", "don't", "a.", "x", "Y", " ", "\n", "\xa0", "<|"]), max_size=9))
+def test_op3_ids_of_hostile_texts(parts):
+    path, text = public_tokenizers.path("word_bpe_49k.json"), "".join(parts)
+    if path not in packing._ENCODERS:
+        packing._ENCODERS[path] = packing.Encoder(path)
+    encoder = packing._ENCODERS[path]
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_op4_near_copies_make_few_rows(spark):
+    """A large group of near copies is joined by pivots: the edges between groups stay fewer than the fingerprints."""
+    rng = np.random.default_rng(8)
+    centre = int(rng.integers(2**63))
+    near = {centre ^ sum(1 << int(b) for b in rng.choice(63, rng.integers(0, 4), replace=False)) for _ in range(3000)}
+    chain = [int(rng.integers(2**62))]
+    for _ in range(60):  # each within four bits of the one before, the ends far apart
+        chain.append(chain[-1] ^ sum(1 << int(b) for b in rng.choice(63, 4, replace=False)))
+    alone = [int(x) for x in rng.integers(2**63, size=500)]
+    prints = sorted({*near, *chain, *alone})
+    got = {r.fp: r.root for r in golay_simhash.groups(spark.createDataFrame([(p,) for p in prints], "fp long")).collect()}
+    root = {p: p for p in prints}
+
+    def find(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    x = np.array(prints, np.uint64)
+    for i in range(len(x)):
+        for j in np.flatnonzero(np.bitwise_count(x[i] ^ x[i + 1 :]) <= 4).tolist():
+            a, b = sorted((find(prints[i]), find(prints[i + 1 + j])))
+            root[b] = a
+    assert {p: got.get(p, p) for p in prints} == {p: find(p) for p in prints}
+
+
+def test_op5_repeated_and_large_records(spark, monkeypatch):
+    """Repeated rows, null ids, one payload on most rows, a record beyond the bytes read at once, several packages."""
+    monkeypatch.setattr(zip_warc, "READ_BYTES", 4096)
+    big = "".join(random.Random(1).choice("abcdefghij") for _ in range(200_000))
+    rows = [(i, "u", "hot") for i in range(10, 400)] + [(5, "u", "hot"), (5, "u", "hot"), (5, "v", "other")]
+    rows += [(None, "u", "lone"), (None, "u", "lone"), (2, None, big), (1, "w", big), (7, "u", None), (8, "u", "")]
+    frame = spark.createDataFrame([(*r, 0) for r in rows], "page_id long, url string, html string, sha1 int")
+    pages = zip_warc.with_references(frame)
+    folder = scratch(spark, "warc-test")
+    manifest = zip_warc.write_packages(pages.repartition(3), folder, package_bytes=2000)
+    assert manifest.count() > 3
+    got = zip_warc.read_records(zip_warc.locate(manifest, folder), folder).collect()
+    first = {}
+    for page, _, html in rows:
+        if page is not None:
+            first[html or ""] = min(first.get(html or "", page), page)
+    want = []
+    for page, _, html in rows:
+        data, refers = (html or "").encode(), first.get(html or "")
+        refers = None if refers == page else refers
+        digest = base64.b32encode(hashlib.sha1(data).digest()).decode()
+        want.append((page, len(data), digest, "response" if refers is None else "revisit", refers))
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert pages.where("refers_to IS NOT NULL AND html IS NOT NULL").isEmpty()
