@@ -24,7 +24,7 @@ from tidemark.session import materialise
 CAPACITY, END_ID = 4096, 1
 #: Rows that one task ranks at a time, on average; and the least number of parts a length is dealt to.
 RANKED_ROWS, MIN_PARTS = 100_000, 64
-MEMORY_UNITS, WORDS = 400_000, 64
+MEMORY_UNITS, WORDS = 800_000, 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
 _ENCODERS: dict[str, Encoder] = {}
