@@ -15,7 +15,7 @@ from pyspark.sql import types as T  # noqa: E402
 from oracle import sql as oracle  # noqa: E402
 from tidemark import fixed  # noqa: E402
 from tidemark.functions import columns as c  # noqa: E402
-from tidemark.operators import history, profile, quality, slices  # noqa: E402
+from tidemark.operators import fx, history, keys, profile, quality, slices  # noqa: E402
 from tidemark.operators import star as st  # noqa: E402
 from tidemark.plans import kpi, measures, reports, runs  # noqa: E402
 from tidemark.session import materialise, scratch  # noqa: E402
@@ -347,13 +347,64 @@ def orphan_keys(spark, sf):
     return out
 
 
+def _first_orders(spark, sf):
+    """Every customer with the key of a first order; a customer without orders has a gap there."""
+    orders = bank.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min("o_orderkey").alias("order_sk"))
+    return bank.table(spark, sf, "customer").select("c_custkey", "c_name").join(orders, "c_custkey", "left")
+
+
 def unresolved_fk(spark, sf):
-    """Parts of lines looked up among the parts up to size 25."""
-    lines = bank.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
-    parts = bank.table(spark, sf, "part").where("p_size <= 25").select(
-        F.col("p_partkey").alias("l_partkey"), F.col("p_partkey").alias("part_sk")
-    )
-    return st.unresolved_fk(lines.join(parts, "l_partkey", "left"), "part_sk")
+    """Customers whose key finds no order."""
+    return st.unresolved_fk(_first_orders(spark, sf), "order_sk")
+
+
+def stable_keys(spark, sf):
+    """Customers by the month of their orders, one run a month of the last year: they come, leave and come back.
+
+    Every run looks its customers up and gives keys to new ones; what is returned is the key that each run used.
+    """
+    box, month = _lake(spark), F.date_format("o_orderdate", "yyyy-MM")
+    orders = bank.table(spark, sf, "orders").select(F.col("o_custkey").alias("customer_id"), month.alias("month")).distinct()
+    runs_of = [r[0] for r in orders.select("month").distinct().orderBy(F.desc("month")).limit(6).collect()]
+    book, out = keys.Registry(box, "keys.customer_sk", "customer_id", "customer_sk"), None
+    book.allocate(orders.where(F.col("month") < min(runs_of)))
+    for run in sorted(runs_of):
+        used = materialise(book.assign(orders.where(F.col("month") == run)), "used-keys")
+        out = used if out is None else out.unionByName(used)
+    return out.select("month", "customer_id", "customer_sk")
+
+
+def fx_daily(spark, sf):
+    """Postings at daily rates. The rate of a currency is quoted on the days on which it has a posting of over 100, by the
+    largest of them; between quotes the last one holds."""
+    rows = bank.transactions(spark, sf)
+    quoted = rows.where((F.col("currency") != "EUR") & (F.abs("amount") > 100))
+    rates = quoted.groupBy("currency", F.to_date("posting_ts").alias("date")).agg((F.max(F.abs("amount")) / 100).alias("rate"))
+    rated = fx.with_rate(rows, "currency", "posting_ts", rates)
+    eur = c.money(F.col("amount") * F.col(fx.RATE))
+    return rated.select("txn_id", "currency", F.col(fx.RATE).cast("double").alias("rate"), eur.alias("amount_eur"))
+
+
+LATE, AFTER = "1996-07-01", "1996-07-02"
+
+
+def scd2_splice(spark, sf):
+    """The order priorities of customers as versions, and a snapshot of their segments that comes late."""
+    late = bank.customers(spark, sf).select("customer_id", F.col("segment").alias("priority"))
+    out = history.scd2_splice(_versions(spark, sf), late, "customer_id", ["priority"], LATE, AFTER)
+    return out
+
+
+def kpi_pivot(spark, sf):
+    """KPIs as rows and the days of one month as columns."""
+    rows = kpi.kpi_transpose(gold(spark, sf, "gold.kpi_daily")["gold.kpi_daily"])
+    return rows.withColumnsRenamed({x: f"d{x.replace('-', '')}" for x in rows.columns if x != "kpi"})
+
+
+def active_bits(spark, sf):
+    """Distinct customers of all days by segment, and in total, from the stored bitmaps of the days."""
+    bits = materialise(runs.active_bits(star(spark, sf)), "active-bits")
+    return measures.count_bits(bits, ["segment"], "rollup")
 
 
 def _versions(spark, sf):
@@ -449,10 +500,8 @@ def _only(kind: str) -> dict:
 
 
 def dq_not_null(spark, sf):
-    """Missing values, on a table with gaps: parts of lines that are larger than 25 have no match."""
-    lines = bank.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
-    parts = bank.table(spark, sf, "part").where("p_size <= 25").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    return _counts(quality.count_broken(lines.join(parts, "l_partkey", "left"), {"not_null": ["l_orderkey", "p_brand"]}))
+    """Missing values, on a table with gaps: customers without an order."""
+    return _counts(quality.count_broken(_first_orders(spark, sf), {"not_null": ["c_name", "order_sk"]}))
 
 
 def dq_unique(spark, sf):
@@ -668,6 +717,11 @@ def _queries() -> dict[str, Query]:
         "orphan_keys": orphan_keys,
         "unresolved_fk": unresolved_fk,
         "scd2_asof": scd2_asof,
+        "scd2_splice": scd2_splice,
+        "stable_keys": stable_keys,
+        "fx_daily": fx_daily,
+        "kpi_pivot": kpi_pivot,
+        "active_bits": active_bits,
         "total_deposits": on_star(lambda s: kpi.total_deposits(s.fact_account_balance)),
         "net_loans": on_star(lambda s: kpi.net_loans(s.fact_loan)),
         "loan_to_deposit": on_star(lambda s: kpi.loan_to_deposit(s.fact_account_balance, s.fact_loan)),
@@ -715,6 +769,17 @@ def _queries() -> dict[str, Query]:
                 s, ["transaction_volume", "transaction_value", "active_customers"], ["channel", "segment"], "cube"
             )
         ),
+        "growth_by_segment": on_star(
+            lambda s: measures.evaluate(
+                s, ["total_deposits", "deposits_growth_pct", "loans_growth_pct", "active_customers", "net_new_customers"],
+                ["date", "segment"],
+            )
+        ),
+        "growth_by_channel": on_star(
+            lambda s: measures.evaluate(
+                s, ["deposits_growth_pct", "loans_growth_pct", "net_new_customers"], ["date", "channel"]
+            )
+        ),
         "txn_net_flow": on_star(kpi.txn_net_flow),
         "segment_growth": on_star(kpi.segment_growth),
         "npl_by_product": on_star(kpi.npl_by_product),

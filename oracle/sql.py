@@ -90,8 +90,11 @@ def _trailing(daily: str) -> str:
                CASE WHEN trailing_avg IS NULL THEN 'warn' WHEN round(dev, 2) > 40 THEN 'fail'
                     WHEN round(dev, 2) > 20 THEN 'warn' ELSE 'pass' END AS outcome
         FROM (SELECT *, abs((n - trailing_avg) / nullif(trailing_avg, 0) * 100) AS dev
-              FROM (SELECT *, avg(n) OVER (ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS trailing_avg
-                    FROM ({daily})))"""
+              FROM (SELECT *, avg(nullif(n, 0)) OVER (ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS trailing_avg
+                    FROM (SELECT strftime(day, '%Y-%m-%d') AS date, coalesce(n, 0) AS n
+                          FROM (SELECT unnest(generate_series(min(CAST(date AS DATE)), max(CAST(date AS DATE)), INTERVAL 1 DAY)) AS day
+                                FROM ({daily}))
+                          LEFT JOIN ({daily}) ON date = strftime(day, '%Y-%m-%d'))))"""
 
 
 def _check(source: str, view: str, name: str, bad: str, detail: str, fine: str) -> str:
@@ -253,8 +256,73 @@ def _statements() -> dict[str, str]:
          for name, child, key, parent, parent_key in relations]
     )
     s["unresolved_fk"] = """
-        SELECT count(*) FILTER (WHERE p_partkey IS NULL) AS unresolved, count(*) AS rows
-        FROM lineitem LEFT JOIN (SELECT p_partkey FROM part WHERE p_size <= 25) ON l_partkey = p_partkey"""
+        SELECT count(*) FILTER (WHERE o_custkey IS NULL) AS unresolved, count(*) AS rows
+        FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders) ON c_custkey = o_custkey"""
+    s["stable_keys"] = """
+        WITH o AS (SELECT DISTINCT o_custkey AS customer_id, strftime(CAST(o_orderdate AS DATE), '%Y-%m') AS month FROM orders),
+        r AS (SELECT DISTINCT month FROM o ORDER BY month DESC LIMIT 6),
+        f AS (SELECT customer_id, greatest(min(month), (SELECT min(month) FROM r)) AS wave,
+                     min(month) < (SELECT min(month) FROM r) AS early FROM o GROUP BY customer_id),
+        k AS (SELECT customer_id, row_number() OVER (ORDER BY NOT early, wave, customer_id) AS customer_sk FROM f)
+        SELECT month, customer_id, customer_sk FROM o JOIN k USING (customer_id) WHERE month IN (SELECT month FROM r)"""
+    s["fx_daily"] = """
+        SELECT * FROM (WITH q AS (SELECT currency, CAST(posting_ts AS DATE) AS d, CAST(max(abs(amount)) / 100 AS DECIMAL(9,4)) AS rate
+                   FROM src_transactions WHERE currency <> 'EUR' AND abs(amount) > 100 GROUP BY 1, 2),
+        t AS (SELECT txn_id, currency, amount, CAST(posting_ts AS DATE) AS d FROM src_transactions)
+        SELECT txn_id, t.currency, CAST(coalesce(rate, 1) AS DOUBLE) AS rate,
+               CAST(CAST(round(amount * coalesce(rate, CAST(1 AS DECIMAL(9,4))), 2) AS DECIMAL(18,2)) AS DOUBLE) AS amount_eur
+        FROM t ASOF LEFT JOIN q ON t.currency = q.currency AND t.d >= q.d)"""
+    s["scd2_splice"] = """
+        SELECT * FROM (WITH late AS (SELECT customer_id, segment AS priority FROM src_customers),
+        log AS (
+          SELECT customer_id, valid_from AS as_of, priority, 0 AS rank FROM versions
+          UNION ALL SELECT customer_id, DATE '1996-07-01', priority, 2 FROM late
+          UNION ALL SELECT v.customer_id, DATE '1996-07-02', v.priority, 1 FROM versions v JOIN late USING (customer_id)
+            WHERE valid_from < DATE '1996-07-02' AND coalesce(valid_to, DATE '9999-12-31') > DATE '1996-07-02'),
+        one AS (SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY customer_id, as_of ORDER BY rank DESC) = 1),
+        cut AS (SELECT * FROM one
+                QUALIFY lag(priority) OVER (PARTITION BY customer_id ORDER BY as_of) IS DISTINCT FROM priority)
+        SELECT customer_id, priority, CAST(as_of AS VARCHAR) AS valid_from,
+               CAST(lead(as_of) OVER w AS VARCHAR) AS valid_to, lead(as_of) OVER w IS NULL AS is_current
+        FROM cut WINDOW w AS (PARTITION BY customer_id ORDER BY as_of))"""
+    s["kpi_pivot"] = "PIVOT (SELECT kpi, 'd' || replace(date, '-', '') AS day, value FROM kpi_long) ON day USING first(value) GROUP BY kpi"
+    s["active_bits"] = """
+        SELECT segment, CAST(grouping(segment) AS INTEGER) AS level, CAST(count(DISTINCT a.customer_sk) AS BIGINT) AS active
+        FROM fact_transaction f JOIN dim_account a ON f.account_sk = a.account_sk
+             JOIN dim_customer c ON a.customer_sk = c.customer_sk GROUP BY ROLLUP (segment)"""
+    cell_txn = f"""SELECT {ISO_SK} AS date, {{0}}, count(DISTINCT a.customer_sk) AS active
+        FROM fact_transaction f LEFT JOIN dim_account a ON f.account_sk = a.account_sk
+             LEFT JOIN dim_customer c ON a.customer_sk = c.customer_sk
+             LEFT JOIN dim_channel h ON f.channel_sk = h.channel_sk GROUP BY date_sk, {{0}}"""
+    growth = "(CAST(n.{0} AS DOUBLE) - CAST(p.{0} AS DOUBLE)) / nullif(CAST(p.{0} AS DOUBLE), 0) * 100"
+    s["growth_by_segment"] = f"""
+        SELECT * FROM (WITH b AS (SELECT {ISO_SK} AS date, segment, coalesce(sum(balance_eur) FILTER (WHERE is_deposit), 0) AS deposits
+                   FROM fact_account_balance f LEFT JOIN dim_account a ON f.account_sk = a.account_sk
+                        LEFT JOIN dim_customer c ON a.customer_sk = c.customer_sk GROUP BY date_sk, segment),
+        l AS (SELECT {ISO_SK} AS date, segment, sum(principal_outstanding_eur) AS loans
+              FROM fact_loan f LEFT JOIN dim_account a ON f.account_sk = a.account_sk
+                   LEFT JOIN dim_customer c ON a.customer_sk = c.customer_sk GROUP BY date_sk, segment),
+        t AS ({cell_txn.format('segment')}),
+        s AS (SELECT date, segment FROM b UNION SELECT date, segment FROM l UNION SELECT date, segment FROM t),
+        g AS (SELECT d.date, e.segment FROM (SELECT DISTINCT date FROM s) d, (SELECT DISTINCT segment FROM s) e),
+        n AS (SELECT g.date, g.segment, deposits, loans, active FROM g
+              LEFT JOIN b ON g.date = b.date AND g.segment IS NOT DISTINCT FROM b.segment
+              LEFT JOIN l ON g.date = l.date AND g.segment IS NOT DISTINCT FROM l.segment
+              LEFT JOIN t ON g.date = t.date AND g.segment IS NOT DISTINCT FROM t.segment)
+        SELECT n.date, n.segment, CAST(n.deposits AS DOUBLE) AS total_deposits,
+               {growth.format('deposits')} AS deposits_growth_pct, {growth.format('loans')} AS loans_growth_pct,
+               n.active AS active_customers, coalesce(n.active, 0) - coalesce(p.active, 0) AS net_new_customers
+        FROM n LEFT JOIN n p ON CAST(p.date AS DATE) = CAST(n.date AS DATE) - 1 AND p.segment IS NOT DISTINCT FROM n.segment)"""
+    s["growth_by_channel"] = f"""
+        SELECT * FROM (WITH t AS ({cell_txn.format('channel')}),
+        g AS (SELECT d.date, e.channel FROM (SELECT DISTINCT date FROM t) d, (SELECT DISTINCT channel FROM t) e),
+        n AS (SELECT g.date, g.channel, active, CASE WHEN t.date IS NOT NULL THEN deposits END AS deposits,
+                     CASE WHEN t.date IS NOT NULL THEN loans END AS loans
+              FROM g LEFT JOIN t ON g.date = t.date AND g.channel IS NOT DISTINCT FROM t.channel
+              LEFT JOIN d_dep ON g.date = d_dep.date LEFT JOIN d_loan ON g.date = d_loan.date)
+        SELECT n.date, n.channel, {growth.format('deposits')} AS deposits_growth_pct,
+               {growth.format('loans')} AS loans_growth_pct, coalesce(n.active, 0) - coalesce(p.active, 0) AS net_new_customers
+        FROM n LEFT JOIN n p ON CAST(p.date AS DATE) = CAST(n.date AS DATE) - 1 AND p.channel IS NOT DISTINCT FROM n.channel)"""
     s["scd2_asof"] = """
         SELECT f.*, v.priority, CAST(v.valid_from AS VARCHAR) AS valid_from
         FROM (SELECT l_orderkey AS o_orderkey, l_linenumber, l_partkey, o_custkey AS customer_id,
@@ -445,9 +513,9 @@ def _statements() -> dict[str, str]:
 
     # quality
     s["dq_not_null"] = """
-        SELECT 'not_null[l_orderkey]' AS "check", count(*) FILTER (WHERE l_orderkey IS NULL) AS n FROM lineitem
-        UNION ALL SELECT 'not_null[p_brand]', count(*) FILTER (WHERE p_brand IS NULL)
-        FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size <= 25) ON l_partkey = p_partkey"""
+        SELECT 'not_null[c_name]' AS "check", count(*) FILTER (WHERE c_name IS NULL) AS n FROM customer
+        UNION ALL SELECT 'not_null[order_sk]', count(*) FILTER (WHERE o_custkey IS NULL)
+        FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders) ON c_custkey = o_custkey"""
     s["dq_unique"] = """
         SELECT 'unique[line_key]' AS "check", count(*) - count(DISTINCT line_key)
                - CAST(count(*) > count(line_key) AS INTEGER) AS n FROM src_lines"""

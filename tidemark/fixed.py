@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 # EUR per unit of currency. A currency that is not listed counts as EUR.
+BASE_CURRENCY = "EUR"
 FX_RATES = {"EUR": "1.00", "GBP": "1.17", "USD": "0.92", "CHF": "1.04"}
 
 # Product groups and lookups.

@@ -64,6 +64,30 @@ def scd2_apply(dim: DataFrame, snapshot: DataFrame, key: str, attrs: list[str],
     return closed.unionByName(live)
 
 
+def scd2_splice(
+    dim: DataFrame, snapshot: DataFrame, key: str, attrs: list[str], as_of: str, next_day: str | None = None
+) -> DataFrame:
+    """Put a snapshot between the stored versions: the newest one, one that is corrected, or one that comes late.
+
+    ``next_day`` is the first day after ``as_of`` that was observed already, if any: an entity goes back to its stored
+    state there. What starts later stays as it is, and entities absent from the snapshot keep all their versions. The
+    versions are read as a log of states, one per key and day, and cut anew; so a repeated call changes nothing.
+    """
+    day, state = F.lit(as_of).cast("date"), F.struct(*attrs)
+    stored = dim.select(key, F.col("valid_from").alias("_on"), "valid_to", state.alias("_s"))
+    now = dedup_latest(snapshot.select(key, *attrs), [key], attrs).select(key, state.alias("_s"))
+    log = stored.select(key, "_on", "_s", F.lit(0).alias("_rank")).unionByName(
+        now.select(key, day.alias("_on"), "_s", F.lit(2).alias("_rank"))
+    )
+    if next_day:
+        later = F.lit(next_day).cast("date")
+        covers = (F.col("_on") < later) & (F.col("valid_to").isNull() | (F.col("valid_to") > later))
+        back = stored.where(covers).join(now.select(F.col(key).alias("_key")), F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+        log = log.unionByName(back.select(key, later.alias("_on"), "_s", F.lit(1).alias("_rank")))
+    flat = log.select(key, "_on", *[F.col(f"_s.{a}").alias(a) for a in attrs], "_rank")
+    return scd2_history(flat, key, "_on", attrs, "_rank")
+
+
 def scd2_asof(facts: DataFrame, dim: DataFrame, key: str, day: str, attrs: list[str]) -> DataFrame:
     """Join each fact with the version of its dimension row that is valid on the fact's day.
 

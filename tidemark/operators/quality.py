@@ -9,8 +9,6 @@ from pyspark.sql import types as T
 from tidemark import fixed
 from tidemark.session import literal_rows
 
-LISTED = 50  # a detail text spells out so many unexpected values; ``unexpected_values`` has them all
-
 
 def _fractional(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType))
@@ -85,11 +83,8 @@ def unexpected_values(df: DataFrame, contract: dict) -> DataFrame:
 
 
 def _value_lists(df: DataFrame, contract: dict) -> DataFrame:
-    """(check, listed): the first unexpected values per column. The rank is cut map-side, so a column full of
-    unexpected values sends LISTED + 1 of them per task."""
-    rank = F.row_number().over(Window.partitionBy("column").orderBy("value"))
-    first = unexpected_values(df, contract).withColumn("_r", rank).where(F.col("_r") <= LISTED + 1)
-    lists = first.groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("listed"))
+    """(check, listed): the distinct unexpected values per column, counted map-side before they meet."""
+    lists = unexpected_values(df, contract).groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("listed"))
     return lists.select(F.concat(F.lit("allowed_values["), F.col("column"), F.lit("]")).alias("check"), "listed")
 
 
@@ -102,17 +97,21 @@ def _text(template: str, *parts: Column) -> Column:
     return F.concat(*out)
 
 
-def validate(df: DataFrame, contract: dict) -> DataFrame:
+def validate(
+    df: DataFrame, contract: dict, repeats: dict[str, DataFrame] | None = None, row_count: tuple[str, str] | None = None
+) -> DataFrame:
     """(ord, check, outcome, detail): one row per check of the contract.
 
-    Row rules share one scan, each unique key is one aggregate, and only rows per check are put together.
+    Row rules share one scan, each unique key is one aggregate, and only rows per check are put together. ``repeats`` may
+    hold the repeats of unique columns, as :func:`count_repeats` gives them, where history counts too; ``row_count`` is the
+    (outcome, detail) of the row-count rule, which a table alone cannot tell.
     """
     spark, names = df.sparkSession, check_names(contract)
     absent = [x for x in contract.get("required_columns", []) if x not in df.columns]
-    counted = count_broken(df, contract)
+    counted, known = count_broken(df, contract), repeats or {}
     for column in contract.get("unique", []):
         if column in df.columns:
-            counted = counted.unionByName(count_repeats(df, column))
+            counted = counted.unionByName(known[column] if column in known else count_repeats(df, column))
     has_values = [x for x in contract.get("allowed_values", {}) if x in df.columns]
     if has_values:
         counted = counted.unionByName(_value_lists(df, contract), allowMissingColumns=True)
@@ -127,7 +126,6 @@ def validate(df: DataFrame, contract: dict) -> DataFrame:
     for x, b in contract.get("ranges", {}).items():
         limits = F.when(check == f"range[{x}]", f"[{b.get('min')},{b.get('max')}]").otherwise(limits)
     values = F.concat(F.lit("['"), F.array_join("listed", "', '"), F.lit("']"))
-    values = F.when(F.size("listed") <= LISTED, values).otherwise(f"more than {LISTED} values")
     n = F.col("n").cast("string")
     whole, broken = F.lit(""), F.lit("")
     for kind, parts in [("not_null", (n,)), ("unique", (n,)), ("allowed_values", (values,)), ("range", (n, limits))]:
@@ -154,7 +152,7 @@ def validate(df: DataFrame, contract: dict) -> DataFrame:
         if column and column not in df.columns:
             fixed_rows.append((i, name, "fail", fixed.COLUMN_ABSENT))
     if "row_count" in contract:
-        fixed_rows.append((len(names) - 1, "row_count_tolerance", "warn", fixed.NO_HISTORY))
+        fixed_rows.append((len(names) - 1, "row_count_tolerance", *(row_count or ("warn", fixed.NO_HISTORY))))
     return data.unionByName(literal_rows(spark, fixed_rows, "ord int, check string, outcome string, detail string"))
 
 

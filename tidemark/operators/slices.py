@@ -69,16 +69,17 @@ def day_key(df: DataFrame, order: list[str | Column], name: str, slices: int | N
     """Key of a fact stored day by day: its date key in front, its position in the day behind.
 
     Unique over all days without a look at the others, and the same again when a day is rebuilt.
-    ``df`` holds one day.
+    ``df`` holds one day, of fewer than DAY_KEYS rows; a longer one is an error.
     """
-    keyed = dense_key(df, order, name, slices)
-    return keyed.withColumn(name, F.col("date_sk").cast("bigint") * DAY_KEYS + F.col(name))
+    place = F.col(name)
+    sound = F.when(place < DAY_KEYS, place).otherwise(F.raise_error(F.lit(f"a day of {DAY_KEYS} rows or more")))
+    return dense_key(df, order, name, slices).withColumn(name, F.col("date_sk").cast("bigint") * DAY_KEYS + sound)
 
 
 def running_sum(
     df: DataFrame, key: str, order: list[str], value: str, name: str, slices: int | None = None
 ) -> DataFrame:
-    """Running total of ``value`` per key in ``order``; a key may span any number of slices."""
+    """Running total of ``value`` per key in ``order``; a key may span any number of slices, the null key too."""
     rows = ordered_slices(df, [key, *order], slices)
     kind = "decimal(38,2)"
     parts = rows.groupBy(key, SLICE).agg(F.sum(value).cast(kind).alias("_part"))
@@ -91,4 +92,6 @@ def running_sum(
     )
     within = Window.partitionBy(SLICE, key).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
     total = F.sum(value).over(within).cast(kind) + F.coalesce("_carry", F.lit(0).cast(kind))
-    return rows.join(F.broadcast(carries), [key, SLICE], "left").select(*df.columns, total.cast(kind).alias(name))
+    carries = carries.toDF("_key", "_at", "_carry")
+    same = rows[key].eqNullSafe(carries["_key"]) & (rows[SLICE] == carries["_at"])
+    return rows.join(F.broadcast(carries), same, "left").select(*df.columns, total.cast(kind).alias(name))

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as c
+from tidemark.operators import fx
 from tidemark.operators.history import dedup_latest
-from tidemark.operators.slices import stable_key
+from tidemark.operators.keys import Keys, dense
 from tidemark.session import materialise
 
 
@@ -19,8 +20,8 @@ class Star:
     their dimensions: surrogate keys in stored silver, natural keys in facts not joined yet. A dimension has
     both, so a plan over unjoined facts can aggregate first and look up a key once per group.
 
-    ``lookup_first`` says that the account dimension was counted and is small enough to be broadcast: then
-    facts take its attributes as they are scanned, and only a few rows per result group are shuffled.
+    ``lookup_first`` says that the account dimension is below the session's broadcast threshold: then facts take its
+    attributes as they are scanned, and only a few rows per result group are shuffled. It picks the plan only.
     """
 
     dim_customer: DataFrame
@@ -35,27 +36,25 @@ class Star:
     lookup_first: bool = False
 
     def owners(self, *columns: str) -> DataFrame:
-        """Attributes of accounts and their customers by ``account_key``. Broadcast only where the accounts were
-        counted as few; otherwise the join is left to the optimizer."""
+        """Attributes of accounts and their customers by ``account_key``. No hint: Spark broadcasts by measured size."""
         key = self.account_key
         mine = [x for x in columns if x in self.dim_account.columns and x != key]
         other = [x for x in columns if x not in self.dim_account.columns]
         out = self.dim_account.select(key, *dict.fromkeys([*mine, *(["customer_sk"] if other else [])]))
         if other:
             out = out.join(self.dim_customer.select("customer_sk", *other), "customer_sk", "left")
-        out = out.select(key, *columns)
-        return F.broadcast(out) if self.lookup_first else out
+        return out.select(key, *columns)
 
     @property
     def dim_date(self) -> DataFrame:
         return dim_date([self.fact_transaction, self.fact_account_balance, self.fact_loan])
 
 
-SMALL_DIM_ROWS = 400_000  # two or three narrow columns of so many rows stay below the broadcast threshold
-
-
-def is_small(dim: DataFrame) -> bool:
-    return dim.limit(SMALL_DIM_ROWS + 1).count() <= SMALL_DIM_ROWS
+def below_broadcast(dim: DataFrame) -> bool:
+    """Whether a stored dimension has fewer bytes than Spark broadcasts by itself; a threshold of -1 is never met."""
+    size = int(str(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    limit = dim.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return size <= limit
 
 
 def by_keys(star: Star, facts: DataFrame, keys: list[str], parts: dict[str, Column]) -> DataFrame:
@@ -85,7 +84,7 @@ def _stamp(df: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def dim_customer(customers: DataFrame, salt: str, as_of: str, stored: DataFrame | None = None) -> DataFrame:
+def dim_customer(customers: DataFrame, salt: str, as_of: str, keys: Keys = dense) -> DataFrame:
     """One row per customer, the newest if a source repeats one; the name only as a token."""
     safe = dedup_latest(
         customers.select(
@@ -94,7 +93,7 @@ def dim_customer(customers: DataFrame, salt: str, as_of: str, stored: DataFrame
         ),
         ["customer_id"], ["onboarded_date"],
     ).drop("onboarded_date")
-    return _stamp(stable_key(safe, stored, "customer_id", "customer_sk"), as_of)
+    return _stamp(keys(safe, "customer_id", "customer_sk"), as_of)
 
 
 def dim_account_customer(accounts: DataFrame, customers: DataFrame) -> DataFrame:
@@ -102,31 +101,31 @@ def dim_account_customer(accounts: DataFrame, customers: DataFrame) -> DataFrame
     return accounts.join(customers.select("customer_id", "customer_sk"), "customer_id", "left")
 
 
-def dim_account(
-    accounts: DataFrame, customers: DataFrame, as_of: str, stored: DataFrame | None = None
-) -> DataFrame:
+def dim_account(accounts: DataFrame, customers: DataFrame, as_of: str, keys: Keys = dense) -> DataFrame:
     """One row per account, the newest snapshot if a source repeats one, so that no fact is multiplied."""
     base = dedup_latest(
         accounts.select("account_id", "customer_id", "product_type", "status", "snapshot_date"),
         ["account_id"], ["snapshot_date"],
     ).drop("snapshot_date")
-    keyed = stable_key(base, stored, "account_id", "account_sk")
-    return _stamp(dim_account_customer(keyed, customers), as_of)
+    return _stamp(dim_account_customer(keys(base, "account_id", "account_sk"), customers), as_of)
 
 
-def lookup_dim(df: DataFrame, natural: str, key: str) -> DataFrame:
-    """Key of a lookup table, which is a handful of rows by definition."""
+def lookup_dim(df: DataFrame, natural: str, key: str, keys: Keys | None = None) -> DataFrame:
+    """Key of a lookup table, which is a handful of rows by definition; from a registry where one is kept."""
+    if keys:
+        return keys(df, natural, key)
     return df.select(F.row_number().over(Window.orderBy(natural)).alias(key), *df.columns)
 
 
-def txn_values(txns: DataFrame) -> DataFrame:
+def txn_values(txns: DataFrame, rates: DataFrame | None = None) -> DataFrame:
     """EUR amount, flags and date key of each posting; natural keys are still there, personal columns not."""
     kind = F.col("txn_type")
+    txns = fx.with_rate(txns, "currency", "posting_ts", rates)
     return txns.select(
         "txn_id",
         "account_id",
         "channel",
-        c.to_eur(F.col("amount"), F.col("currency")).alias("amount_eur"),
+        c.money(F.col("amount") * F.col(fx.RATE)).alias("amount_eur"),
         "txn_type",
         c.is_fee(kind).alias("is_fee"),
         c.is_interest(kind).alias("is_interest"),
@@ -134,11 +133,12 @@ def txn_values(txns: DataFrame) -> DataFrame:
     )
 
 
-def balance_values(snapshots: DataFrame) -> DataFrame:
+def balance_values(snapshots: DataFrame, rates: DataFrame | None = None) -> DataFrame:
     product = F.col("product_type")
+    snapshots = fx.with_rate(snapshots, "currency", "snapshot_date", rates)
     return snapshots.select(
         "account_id",
-        c.to_eur(F.col("balance"), F.col("currency")).alias("balance_eur"),
+        c.money(F.col("balance") * F.col(fx.RATE)).alias("balance_eur"),
         c.is_deposit(product).alias("is_deposit"),
         c.is_loan(product).alias("is_loan"),
         c.date_sk(F.col("snapshot_date")).alias("date_sk"),
@@ -209,28 +209,29 @@ def build(
     products: DataFrame,
     salt: str,
     as_of: str,
-    stored_customers: DataFrame | None = None,
-    stored_accounts: DataFrame | None = None,
+    keys: Keys | None = None,
+    rates: DataFrame | None = None,
 ) -> Star:
     """The star of the given sources: dimensions stored, facts lazy and by natural key.
 
-    Keys already given out in stored dimensions are kept.
+    ``keys`` gives the surrogate keys, as :func:`tidemark.operators.keys.registered` does from what it gave out before;
+    without it they count from 1. ``rates`` are daily rates (currency, date, rate); without them the fixed ones hold.
     """
-    customer_dim = dim_customer(customers, salt, as_of, stored_customers)
-    if stored_customers is not None:
+    customer_dim = dim_customer(customers, salt, as_of, keys or dense)
+    if keys:
         customer_dim = materialise(customer_dim, "dim-customer")
-    account_dim = materialise(dim_account(accounts, customer_dim, as_of, stored_accounts), "dim-account")
+    account_dim = materialise(dim_account(accounts, customer_dim, as_of, keys or dense), "dim-account")
     return Star(
         dim_customer=customer_dim,
         dim_account=account_dim,
-        dim_channel=lookup_dim(channels, "channel", "channel_sk"),
-        dim_product=lookup_dim(products, "product_type", "product_sk"),
-        fact_transaction=txn_values(transactions),
-        fact_account_balance=balance_values(account_snapshots),
+        dim_channel=lookup_dim(channels, "channel", "channel_sk", keys),
+        dim_product=lookup_dim(products, "product_type", "product_sk", keys),
+        fact_transaction=txn_values(transactions, rates),
+        fact_account_balance=balance_values(account_snapshots, rates),
         fact_loan=loan_values(loan_snapshots),
         account_key="account_id",
         channel_key="channel",
-        lookup_first=is_small(account_dim),
+        lookup_first=below_broadcast(account_dim),
     )
 
 

@@ -64,8 +64,9 @@ def active_daily(star: s.Star, approximate: bool = False) -> DataFrame:
     return seen.groupBy("date_sk").agg(count("customer_sk").alias("active"))
 
 
-def kpi_base(star: s.Star) -> DataFrame:
-    """One row per run day. A run day has a balance or loan snapshot; its transactions may be missing.
+def kpi_base(star: s.Star, days: DataFrame | None = None) -> DataFrame:
+    """One row per run day. A run day has a balance or loan snapshot, or is one of ``days`` (date_sk); whatever else is
+    missing on it counts as nothing.
 
     The daily rows of the facts are stacked and folded by day: no join and no further pass.
     """
@@ -75,6 +76,8 @@ def kpi_base(star: s.Star) -> DataFrame:
         .unionByName(txns_daily(star), allowMissingColumns=True)
         .unionByName(active_daily(star), allowMissingColumns=True)
     )
+    if days is not None:
+        stacked = stacked.unionByName(days.select("date_sk", F.lit(True).alias("run_day")), allowMissingColumns=True)
     zero = F.lit(0)
     return (
         stacked.groupBy("date_sk")
@@ -89,16 +92,17 @@ def kpi_base(star: s.Star) -> DataFrame:
     )
 
 
-def kpi_daily(star: s.Star, prior: DataFrame | None = None) -> DataFrame:
+def kpi_daily(star: s.Star, prior: DataFrame | None = None, days: DataFrame | None = None) -> DataFrame:
     """The daily KPI mart. Growth is against the last earlier run day, whatever the gap.
 
-    ``prior`` is the newest stored KPI row before the days of ``star``, if there is one.
+    ``prior`` is the newest stored KPI row before the days of ``star``, if there is one; ``days`` are run days that get a
+    row whatever the facts hold.
     """
     by_day = Window.orderBy("date")
     deposits, loans, active = F.col("deposits"), F.col("loans"), F.col("active")
     npl_rate = c.safe_div(F.col("npl"), loans)
     nim = c.safe_div(F.col("interest"), loans)
-    base = kpi_base(star)
+    base = kpi_base(star, days)
     if prior is not None:
         before = prior.select(
             "date",
@@ -155,14 +159,19 @@ def fee_income(txns: DataFrame) -> DataFrame:
 
 
 def net_interest_margin(txns: DataFrame, loans: DataFrame) -> DataFrame:
+    """Net interest over loans for every day with a loan snapshot; a day without postings has no interest.
+
+    The daily rows of both facts are stacked and folded by day.
+    """
     amount = F.col("amount_eur")
-    interest = F.col("is_interest")
-    flow = txns.groupBy("date_sk").agg(
-        c.sum_where(interest & (amount > 0), amount).alias("income"),
-        c.sum_where(interest & (amount < 0), amount).alias("expense"),
-    )
-    nim = c.safe_div(F.col("income") + F.col("expense"), F.col("loans"))
-    return _named(loans_daily(loans).join(flow, "date_sk")).select("date", F.round(nim * 100, 4).alias("nim_pct"))
+    flow = txns.groupBy("date_sk").agg(c.sum_where(F.col("is_interest"), amount).alias("interest"))
+    stacked = loans_daily(loans).withColumn("snapshot", F.lit(True)).unionByName(flow, allowMissingColumns=True)
+    daily = stacked.groupBy("date_sk").agg(
+        F.max("snapshot").alias("snapshot"), F.sum("loans").alias("loans"),
+        F.coalesce(F.sum("interest"), F.lit(0)).alias("interest"),
+    ).where("snapshot")
+    nim = c.safe_div(F.col("interest"), F.col("loans"))
+    return _named(daily).select("date", F.round(nim * 100, 4).alias("nim_pct"))
 
 
 def npl_rate(loans: DataFrame) -> DataFrame:
@@ -370,10 +379,24 @@ def last_of_day(df: DataFrame, day: str, order: list[str]) -> DataFrame:
     return best.select(day, *[F.col(f"_b.{x}").alias(x) for x in df.columns if x != day])
 
 
-def trailing_row_count(rows: DataFrame, day: str, tolerance_pct: float = 40, warn_pct: float = 20, days: int = 7):
-    """Rows of a day against the mean of the days before it: outside the tolerance fails, near it warns."""
-    daily = rows.groupBy(F.col(day).alias("date")).agg(F.count(F.lit(1)).alias("n"))
-    before = F.avg("n").over(Window.orderBy("date").rowsBetween(-days, -1))
+def dense_days(daily: DataFrame, day: str = "date") -> DataFrame:
+    """``daily`` (one row per day) with a row for every calendar day from its first to its last."""
+    on = F.col(day).cast("date")
+    span = daily.agg(F.min(on).alias("lo"), F.max(on).alias("hi")).where("lo IS NOT NULL")
+    spine = span.select(F.explode(F.sequence("lo", "hi")).alias("_day"))
+    kept = daily.withColumn("_on", on).drop(day)
+    out = spine.join(kept, F.col("_day") == F.col("_on"), "left").drop("_on")
+    back = F.col("_day") if dict(daily.dtypes)[day] == "date" else c.iso(F.col("_day"))
+    return out.withColumn("_day", back).withColumnRenamed("_day", day)
+
+
+def trailing_counts(daily: DataFrame, tolerance_pct: float = 40, warn_pct: float = 20, days: int = 7) -> DataFrame:
+    """(date, n) on the calendar against the mean of the ``days`` before: outside the tolerance fails, near it warns.
+
+    A calendar day without a row has n = 0 and so fails; it does not pull down the mean of the days after it.
+    """
+    dense = dense_days(daily).withColumn("n", F.coalesce("n", F.lit(0)))
+    before = F.avg(F.when(F.col("n") > 0, F.col("n"))).over(Window.orderBy("date").rowsBetween(-days, -1))
     dev = F.abs(F.try_divide(F.col("n") - F.col("trailing_avg"), F.col("trailing_avg")) * 100)
     outcome = (
         F.when(F.col("trailing_avg").isNull(), "warn")
@@ -382,12 +405,18 @@ def trailing_row_count(rows: DataFrame, day: str, tolerance_pct: float = 40, war
         .otherwise("pass")
     )
     return (
-        daily.withColumn("trailing_avg", before)
+        dense.withColumn("trailing_avg", before)
         .withColumn("deviation_pct", F.round(dev, 2))
         .withColumn("outcome", outcome)
     )
 
 
+def trailing_row_count(rows: DataFrame, day: str, tolerance_pct: float = 40, warn_pct: float = 20, days: int = 7):
+    """Rows of every calendar day against the mean of the days before it; see :func:`trailing_counts`."""
+    daily = rows.where(F.col(day).isNotNull()).groupBy(F.col(day).alias("date")).agg(F.count(F.lit(1)).alias("n"))
+    return trailing_counts(daily, tolerance_pct, warn_pct, days)
+
+
 def kpi_long(kpi: DataFrame, columns: list[str] = fixed.KPI_COLUMNS) -> DataFrame:
     """KPIs as rows: (date, kpi, value)."""
     wide = kpi.select("date", *[F.col(x).cast("double").alias(x) for x in columns])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,13 +12,17 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.functions import columns as c
-from tidemark.operators import quality, star as s
+from tidemark.operators import history, quality, star as s
+from tidemark.operators.keys import registered
 from tidemark.operators.slices import day_key
 from tidemark.plans import kpi as k
+from tidemark.plans import measures
 from tidemark.session import materialise
+from tidemark.sources import stats
 from tidemark.sources.bronze import SourceConfig, land
 from tidemark.sources.lake import BATCH, Lake
 
+ACTIVE_BITS = "gold.active_customer_bits"  # the active customers of each day and cell, as bitmaps
 UNEXPECTED = "ops.unexpected_values"  # table of every value outside its allowed set
 MANIFEST = (
     "run_id string, trigger string, window_from string, window_to string, sources array<string>, "
@@ -29,6 +33,12 @@ MANIFEST = (
 )
 LOOKUP_BATCH = "current"
 DIMS = ("dim_customer", "dim_account", "dim_channel", "dim_product")
+DIM_KEYS = {"dim_customer": "customer_sk", "dim_account": "account_sk", "dim_channel": "channel_sk", "dim_product": "product_sk"}
+#: Dimensions that keep versions: their key and the attributes that make a version.
+VERSIONED = {
+    "dim_customer": ("customer_sk", ["customer_id", "customer_token", "segment", "country"]),
+    "dim_account": ("account_sk", ["account_id", "customer_sk", "product_type", "status"]),
+}
 FACTS = ("fact_transaction", "fact_account_balance", "fact_loan")
 
 
@@ -78,20 +88,38 @@ class Run:
         spark.createDataFrame([row], MANIFEST).coalesce(1).write.mode("overwrite").json(folder)
 
 
+def row_count_rule(lake: Lake, source: str, day: str, rule: dict) -> tuple[str, str] | None:
+    """(outcome, detail) of the row-count rule from the kept counts; None while there is no earlier day."""
+    known = stats.counts(lake, source).where(F.col("date") <= day)
+    today = k.trailing_counts(known, rule["tolerance_pct"], rule["tolerance_pct"]).where(F.col("date") == day).first()
+    if today is None or today.trailing_avg is None:
+        return None
+    text = f"{today.n} rows, {today.deviation_pct} % from the mean {today.trailing_avg:.1f} of the days before"
+    return today.outcome, text
+
+
 def bronze_gate(lake: Lake, sources: list[SourceConfig], contracts: dict, day: str) -> DataFrame:
-    """(stage, outcome, details): one row per source with a contract, over the whole bronze table.
+    """(stage, outcome, details): one row per source with a contract, over the batch that the run landed.
 
-    Every unexpected value goes to UNEXPECTED, a batch per source and day.
+    Keys are unique over all batches: those of an incremental source are looked up in the index of the others. Rows per
+    day are held against the kept counts. Every unexpected value goes to UNEXPECTED, a batch per source and day.
     """
     out = None
     for cfg in sources:
         if not cfg.contract:
             continue
-        landed, contract = lake.scan(cfg.target), contracts[cfg.contract]
+        batch, contract = f"{cfg.source_id}:{day}", contracts[cfg.contract]
+        landed = lake.scan(cfg.target, keep_batch=True).where(F.col(BATCH) == batch).drop(BATCH)
         if set(contract.get("allowed_values", {})) & set(landed.columns):
             values = quality.unexpected_values(landed, contract).select(F.lit(cfg.source_id).alias("source_id"), "*")
-            lake.write(UNEXPECTED, values, "append", f"{cfg.source_id}:{day}")
-        checks = quality.validate(landed, contract)
+            lake.write(UNEXPECTED, values, "append", batch)
+        repeats = {}
+        if cfg.read_mode == "incremental":
+            for column in set(contract.get("unique", [])) & set(landed.columns):
+                stats.keep_keys(lake, cfg.source_id, column, landed, batch)
+                repeats[column] = stats.repeats(lake, cfg.source_id, cfg.target, column, batch)
+        counted = row_count_rule(lake, cfg.source_id, day, contract["row_count"]) if "row_count" in contract else None
+        checks = quality.validate(landed, contract, repeats, counted)
         failed = F.when(F.col("outcome") == "fail", F.concat("check", F.lit(": "), "detail"))
         row = checks.agg(
             quality.worst(F.col("outcome")).alias("outcome"),
@@ -108,74 +136,126 @@ def bronze_gate(lake: Lake, sources: list[SourceConfig], contracts: dict, day: s
     return out
 
 
-def write_silver(lake: Lake, run: Run, salt: str, txn_batch: str) -> int:
-    """Dimensions anew with the keys they already have; facts of the run's day replace that day only.
+def _sk(day: str) -> int:
+    return int(day.replace("-", ""))
 
-    Of the postings only the folder of ``txn_batch`` is read, and of the stored facts only those of the day.
-    """
 
-    def stored(name: str) -> DataFrame | None:
-        return lake.scan(name) if lake.exists(name) else None
-
-    star = s.keyed(
-        s.build(
-            customers=lake.scan("bronze.customers"),
-            accounts=lake.scan("bronze.accounts"),
-            account_snapshots=lake.scan("bronze.accounts"),
-            loan_snapshots=lake.scan("bronze.loans"),
-            transactions=lake.scan("bronze.transactions", keep_batch=True).where(F.col(BATCH) == txn_batch),
-            channels=lake.scan("bronze.reference_channels").select("channel", "is_digital"),
-            products=lake.scan("bronze.reference_products").select("product_type", "product_name"),
-            salt=salt,
-            as_of=run.day,
-            stored_customers=stored("silver.dim_customer"),
-            stored_accounts=stored("silver.dim_account"),
-        )
+def _with_departed(lake: Lake, name: str, today: DataFrame, key: str, day: str) -> DataFrame:
+    """Today's rows of a dimension, and the rows of entities that left, closed on the first day without them.
+
+    So every key that a stored fact holds still reaches its row.
+    """
+    if not lake.exists(name):
+        return today
+    old = lake.scan(name).join(today.select(key), key, "left_anti")
+    gone = F.coalesce("valid_to", F.lit(day).cast("date"))
+    old = old.withColumns({"valid_to": gone, "is_current": F.lit(False)})
+    return materialise(today.unionByName(old.select(*today.columns)), name.partition(".")[2])
+
+
+def write_history(lake: Lake, name: str, today: DataFrame, key: str, attrs: list[str], day: str) -> int:
+    """The versions of a dimension with the state of a day in its place, also when the day comes late or again."""
+    table, later = f"{name}_history", None
+    if not lake.exists(table):
+        first = today.select(key, *attrs, F.lit(day).cast("date").alias("_on"), F.lit(0).alias("_rank"))
+        return lake.write(table, history.scd2_history(first, key, "_on", attrs, "_rank"), "overwrite", LOOKUP_BATCH)
+    if lake.exists("silver.dim_date"):
+        later = lake.scan("silver.dim_date").where(F.col("date_sk") > _sk(day)).agg(c.iso(F.min("date"))).first()[0]
+    versions = history.scd2_splice(lake.scan(table), today, key, attrs, day, later)
+    return lake.write(table, materialise(versions, "versions"), "overwrite", LOOKUP_BATCH)
+
+
+def write_silver(lake: Lake, run: Run, salt: str, txn_batch: str, rates: DataFrame | None = None) -> int:
+    """Dimensions with the keys they have for good, their versions, and the facts of the run's day by ``date_sk``.
+
+    Of the postings only the folder of ``txn_batch`` is read, and of the stored facts only those of the day. Entities
+    that are absent today keep their rows in the dimensions.
+    """
+    today = s.build(
+        customers=lake.scan("bronze.customers"),
+        accounts=lake.scan("bronze.accounts"),
+        account_snapshots=lake.scan("bronze.accounts"),
+        loan_snapshots=lake.scan("bronze.loans"),
+        transactions=lake.scan("bronze.transactions", keep_batch=True).where(F.col(BATCH) == txn_batch),
+        channels=lake.scan("bronze.reference_channels").select("channel", "is_digital"),
+        products=lake.scan("bronze.reference_products").select("product_type", "product_name"),
+        salt=salt,
+        as_of=run.day,
+        keys=registered(lake),
+        rates=rates,
     )
-    rows = sum(lake.write(f"silver.{n}", getattr(star, n), "overwrite", LOOKUP_BATCH) for n in DIMS)
+    later = newer_day(lake, run.day)
+    dims = {n: getattr(today, n) for n in DIMS}
+    rows = 0
+    for name, (key, attrs) in VERSIONED.items():
+        rows += write_history(lake, f"silver.{name}", dims[name], key, attrs, run.day)
+    if later:  # a late or corrected day leaves the newest state of the dimensions, and adds what only it knows
+        for name, key in DIM_KEYS.items():
+            if lake.exists(f"silver.{name}"):
+                newest = lake.scan(f"silver.{name}")
+                dims[name] = materialise(
+                    newest.unionByName(dims[name].join(newest.select(key), key, "left_anti").select(*newest.columns)), name
+                )
+    else:
+        dims = {n: _with_departed(lake, f"silver.{n}", d, DIM_KEYS[n], run.day) if n in VERSIONED else d for n, d in dims.items()}
+    star = s.keyed(replace(today, **dims))
     facts = {
         "fact_transaction": day_key(star.fact_transaction, ["txn_id"], "txn_sk"),
         "fact_account_balance": star.fact_account_balance,
         "fact_loan": day_key(star.fact_loan, ["loan_id"], "loan_sk"),
     }
-    rows += sum(lake.write(f"silver.{n}", fact, "append", run.day) for n, fact in facts.items())
-    today, known = stored_star(lake, run.day), stored("silver.dim_date")
-    dates = today.dim_date
-    if known is not None:
-        dates = materialise(known.unionByName(dates).distinct(), "dim-date")
+    rows += sum(lake.write_days(f"silver.{n}", fact, "date_sk", _sk(run.day)) for n, fact in facts.items())
+    rows += sum(lake.write(f"silver.{n}", d, "overwrite", LOOKUP_BATCH) for n, d in dims.items())
+    dates = stored_star(lake, run.day).dim_date
+    if lake.exists("silver.dim_date"):
+        dates = materialise(lake.scan("silver.dim_date").unionByName(dates).distinct(), "dim-date")
     return rows + lake.write("silver.dim_date", dates, "overwrite", LOOKUP_BATCH)
 
 
+def newer_day(lake: Lake, day: str) -> bool:
+    """Whether a later day than this is stored already."""
+    return lake.exists("silver.dim_date") and not lake.scan("silver.dim_date").where(F.col("date_sk") > _sk(day)).isEmpty()
+
+
 def stored_star(lake: Lake, day: str | None = None) -> s.Star:
     """The silver tables; with a day, the facts of that day only, by folder."""
 
     def fact(name: str) -> DataFrame:
-        df = lake.scan(f"silver.{name}", keep_batch=True)
-        return (df.where(F.col(BATCH) == day) if day else df).drop(BATCH)
+        df = lake.scan(f"silver.{name}")
+        return df.where(F.col("date_sk") == _sk(day)) if day else df
 
     dims = {n: lake.scan(f"silver.{n}") for n in DIMS}
-    return s.Star(**dims, **{n: fact(n) for n in FACTS}, lookup_first=s.is_small(dims["dim_account"]))
+    return s.Star(**dims, **{n: fact(n) for n in FACTS}, lookup_first=s.below_broadcast(dims["dim_account"]))
 
 
 def write_gold(lake: Lake, day: str) -> int:
-    """KPI row and marts of one day, each replacing that day's batch."""
+    """KPI row and marts of one day, each replacing that day's batch. The day gets its KPI row whatever the facts hold."""
     star, prior = stored_star(lake, day), None
     if lake.exists("gold.kpi_daily"):
         prior = k.latest_row(lake.scan("gold.kpi_daily").where(F.col("date") < day))
-    rows = lake.write("gold.kpi_daily", k.kpi_daily(star, prior).where(F.col("date") == day), "append", day)
+    days = lake.spark.range(1, numPartitions=1).select(F.lit(_sk(day)).alias("date_sk"))
+    rows = lake.write("gold.kpi_daily", k.kpi_daily(star, prior, days).where(F.col("date") == day), "append", day)
     lake.write("gold.deposits_by_segment", k.deposits_by_segment(star), "append", day)
     lake.write("gold.txn_by_channel", k.txn_by_channel(star), "append", day)
     lake.write("gold.loans_by_status", k.loans_by_status(star.fact_loan), "append", day)
+    lake.write(ACTIVE_BITS, active_bits(star), "append", day)
     return rows
 
 
+def active_bits(star: s.Star) -> DataFrame:
+    """(date, segment, country, channel, bucket, bits): who was active, so that any days and cells count exactly later."""
+    facts = star.fact_transaction.select("date_sk", star.account_key, star.channel_key).distinct()
+    rows = facts.join(star.owners("customer_sk", "segment", "country"), star.account_key, "left")
+    rows = s.txn_channel(rows, star.dim_channel, star.channel_key).withColumn("date", c.iso(c.sk_to_date(F.col("date_sk"))))
+    return measures.customer_bits(rows, ["date", "segment", "country", "channel"])
+
+
 def gold_gate(lake: Lake) -> DataFrame:
+    """(stage, outcome, details) of the KPIs of the newest day against their bounds."""
     checks = quality.gold_checks(k.latest_row(lake.scan("gold.kpi_daily")))
-    return checks.select(
-        F.lit("gold").alias("stage"),
-        "outcome",
-        F.format_string("%s=%s in [%.0f,%.0f]", "kpi", F.col("value").cast("string"), "low", "high").alias("details"),
-    )
+    word = F.when(F.col("outcome") == "fail", "OUT OF").otherwise("in")
+    text = F.format_string("%s=%s %s [%.0f,%.0f]", "kpi", F.col("value").cast("string"), word, "low", "high")
+    return checks.select(F.lit("gold").alias("stage"), "outcome", text.alias("details"))
 
 
 def run_day(
@@ -189,36 +269,44 @@ def run_day(
     manifests: str | None = None,
     retry: bool = False,
     trigger: str = "schedule",
+    rates: DataFrame | None = None,
 ) -> Run:
-    """Land, check, conform, check, aggregate, check one day. A failed bronze or silver gate stops the run;
-    with ``retry`` the stage is done once more first, and a second failure escalates."""
+    """Land, check, conform, check, aggregate, check one day. What follows a gate is the decision of
+    :func:`tidemark.operators.quality.gate_decision`: a failed bronze or silver gate stops the run; with ``retry`` the
+    stage is done once more first, and a second failure escalates; gold never blocks. ``rates`` are daily rates."""
     salt = salt or c.pii_salt(spark)
     run = Run(f"{day}T00:00Z-{trigger}-{uuid.uuid4().hex[:6]}", day, [cfg.source_id for cfg in sources], trigger)
 
     txn_batch = next((f"{cfg.source_id}:{day}" for cfg in sources if cfg.target == "bronze.transactions"), "")
 
     def extract() -> int:
-        return sum(land(lake, sources, lookups, run.run_id, day).values())
-
-    def guarded(stage: str, actor: str, work, gate) -> bool:
-        for attempt in (0, 1):
+        landed = land(lake, sources, lookups, run.run_id, day)
+        for cfg in sources:
+            stats.keep_counts(lake, cfg.source_id, day, landed[cfg.target])
+        return sum(landed.values())
+
+    def guarded(layer: str, stage: str, actor: str, work, gate) -> bool:
+        attempt, action = 0, "retry"
+        while action == "retry":
             run.step(stage, actor, work)
-            if run.check(gate(), attempt) != "fail":
-                return True
-            if not retry:
-                break
-        action = "escalate" if retry else "halt"
+            asked = [(layer, run.check(gate(), attempt), attempt, "retry" if retry else None)]
+            frame = spark.createDataFrame(asked, "layer string, outcome string, retries int, requested string")
+            action, attempt = quality.gate_decision(frame).first().action, attempt + 1
+        if action == "proceed":
+            return True
         run.audit.append(("gate", f"decide:{stage}", None, None, action, "", _now()))
         run.stages[stage], run.status = "failed", "failed"
         return False
 
     try:
-        if guarded("extract", "extraction", extract, lambda: bronze_gate(lake, sources, contracts, day)) and guarded(
-            "transform", "transformation", lambda: write_silver(lake, run, salt, txn_batch),
-            lambda: quality.silver_checks(stored_star(lake, day)),
+        if (
+            guarded("bronze", "extract", "extraction", extract, lambda: bronze_gate(lake, sources, contracts, day))
+            and guarded(
+                "silver", "transform", "transformation", lambda: write_silver(lake, run, salt, txn_batch, rates),
+                lambda: quality.silver_checks(stored_star(lake, day)),
+            )
+            and guarded("gold", "aggregate", "aggregation", lambda: write_gold(lake, day), lambda: gold_gate(lake))
         ):
-            run.step("aggregate", "aggregation", lambda: write_gold(lake, day))
-            run.check(gold_gate(lake), 0)
             run.status = "success"
     finally:
         if manifests:

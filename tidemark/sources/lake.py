@@ -77,6 +77,22 @@ class Lake:
             df.limit(0).write.mode("overwrite").parquet(self._folder(table, batch))
         return rows
 
+    def write_days(self, table: str, df: DataFrame, column: str, day: int) -> int:
+        """Write rows in folders by their day key ``column`` and return how many; every day with rows is replaced.
+
+        ``day`` is replaced also where it has none. A filter on the column then reads the folders of its days only.
+        """
+        seen = Observation()
+        out = df.observe(seen, F.count_if(F.col(column) == day).alias("today"), F.count(F.lit(1)).alias("rows"))
+        (
+            out.hint("rebalance", F.col(column)).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(self.path(table))
+        )
+        found = seen.get
+        if not found["today"]:  # the folder keeps the columns
+            df.limit(0).drop(column).write.mode("overwrite").parquet(f"{self.path(table)}/{column}={day}")
+        return found["rows"]
+
     def _folder(self, table: str, batch: str) -> str:
         """Folder of one batch, escaped as Spark escapes partition values."""
         return f"{self.path(table)}/{BATCH}={''.join(f'%{ord(x):02X}' if x in ESCAPED else x for x in batch)}"
