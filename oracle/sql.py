@@ -42,12 +42,12 @@ def _resolve() -> str:
             kind, view = v[0], KPI_TABLES.get(v[1])
             head = f"'{t['id']}' AS template, CAST({i} AS BIGINT) AS visual"
             known = MART_COLUMNS.get(view)
-            wanted = v[2] if kind == "cards" else v[3] if kind == "line" else [v[3]]
+            wanted = v[2] if kind == "kpi_cards" else v[3] if kind == "line" else [v[3]]
             if view is None or (known and not known & set(wanted)):
                 parts.append(f"SELECT {head}, 'empty' AS type, '{v[1]}' AS series, NULL AS x, NULL AS value")
                 continue
             scope = "source = 'loans'" if v[-1] is True else "TRUE"
-            if kind == "cards":
+            if kind == "kpi_cards":
                 body = _values(view, v[2], _latest(view, scope), "CAST(NULL AS VARCHAR) AS x")
             elif kind == "line":
                 body = _values(view, v[3], scope, f"{v[2]} AS x")

@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF, pairs
 from tidemark import fixed
+from tidemark.operators import quality
 from tidemark.plans import reports
 
 
@@ -35,7 +36,7 @@ def test_source_only_where_the_template_takes_one(spark):
 
 def test_template(gold):
     rows = reports.resolve(gold, fixed.TEMPLATES[3])
-    assert {(r.visual, r.type) for r in rows.collect()} == {(1, "cards"), (2, "line"), (3, "bar")}
+    assert {(r.visual, r.type) for r in rows.collect()} == {(1, "kpi_cards"), (2, "line"), (3, "bar")}
     assert rows.where("visual = 2").count() == 30
 
 
@@ -68,3 +69,15 @@ def test_dashboard_json(gold):
     assert set(docs["series"]) == set(fixed.DASHBOARD_SERIES)
     assert len(docs["series"]["total_deposits_eur"]) == 30
     assert docs["series"]["txn_count"][0]["x"] == "2024-01-01"
+
+
+def test_newest_row_among_ties_is_one_and_the_same(spark):
+    df = spark.createDataFrame([("d1", 9, 9), ("d2", 1, 5), ("d2", 2, 3), ("d2", 2, 4)], "date string, a int, b int")
+    for n in (1, 3, 7):
+        assert pairs(reports.cards(df.repartition(n), ["a", "b", "none"])) == [("a", 2.0), ("b", 4.0)]
+
+
+def test_personal_columns_in_silver_fail(spark):
+    tables = {"dim": spark.createDataFrame([], "id int, full_name string"), "fact": spark.createDataFrame([], "id int")}
+    got = {r.details: r.outcome for r in quality.personal_checks(tables, {"customers": ("full_name",), "t": ("x",)}).collect()}
+    assert got == {"customers: personal columns left: ['dim.full_name']": "fail", "t: no personal columns left": "pass"}

@@ -85,3 +85,21 @@ def test_closed_days_are_written_once(spark):
     days = [("2024-01-01", "a", 2, 12), ("2024-01-02", "b", 1, 1)]
     assert run() == days
     assert run() == days
+
+
+def test_a_second_call_counts_nothing_twice(spark):
+    folder, table, target = (scratch(spark, x) for x in ("in", "daily", "folded"))
+    aggs = {"n": F.count(F.lit(1)), "v": F.sum("v")}
+    drop(spark, folder, FIRST)
+    once = pairs(ingest.daily_stream(stream(spark, folder), table, ["ch"], aggs, "ts"))
+    assert pairs(ingest.daily_stream(stream(spark, folder), table, ["ch"], aggs, "ts")) == once
+    drop(spark, folder, LATE)
+    twice = pairs(ingest.daily_stream(stream(spark, folder), table, ["ch"], aggs, "ts"))
+    assert ingest.compact(spark, table, target, ["ch"], aggs) == 2
+    folded = spark.read.parquet(target)
+    assert pairs(folded.select("date", "ch", "n", "v")) == twice
+    drop(spark, folder, [(9, at(0), "a", 100)])
+    last = ingest.daily_stream(stream(spark, folder), target, ["ch"], aggs, "ts", ingest.ledger(table))
+    batch = spark.read.schema(SCHEMA).parquet(folder).groupBy(F.to_date("ts").alias("date"), "ch").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("v").alias("v"))
+    assert pairs(last) == pairs(batch)

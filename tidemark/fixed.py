@@ -111,7 +111,7 @@ GATE_ACTIONS = ["retry", "halt", "escalate", "proceed"]
 KNOWN_SOURCES = ["trades", "loans", "deposits", "cards", "payments", "transfers"]
 
 # Report templates in order of preference. A visual is
-# ("cards", table, fields) | ("line", table, x, series) | ("bar", table, x, y);
+# ("kpi_cards", table, fields) | ("line", table, x, series) | ("bar", table, x, y);
 # a trailing True scopes the visual to the requested source.
 TEMPLATES = [
     {
@@ -119,7 +119,7 @@ TEMPLATES = [
         "domain": "finance",
         "keywords": ["finance", "executive", "overview", "summary", "headline", "kpi", "board"],
         "visuals": [
-            ("cards", "gold.kpi_daily", ["total_deposits_eur", "net_loans_eur", "loan_to_deposit_ratio",
+            ("kpi_cards", "gold.kpi_daily", ["total_deposits_eur", "net_loans_eur", "loan_to_deposit_ratio",
                                          "nim_pct", "fee_income_eur", "npl_rate_pct"]),
             ("line", "gold.kpi_daily", "date", ["total_deposits_eur", "net_loans_eur"]),
             ("line", "gold.kpi_daily", "date", ["loan_to_deposit_ratio", "npl_rate_pct"]),
@@ -130,7 +130,7 @@ TEMPLATES = [
         "domain": "finance",
         "keywords": ["finance", "deposits", "funding", "liquidity", "segment", "growth"],
         "visuals": [
-            ("cards", "gold.kpi_daily", ["total_deposits_eur", "deposits_growth_pct", "loan_to_deposit_ratio"]),
+            ("kpi_cards", "gold.kpi_daily", ["total_deposits_eur", "deposits_growth_pct", "loan_to_deposit_ratio"]),
             ("line", "gold.kpi_daily", "date", ["total_deposits_eur"]),
             ("bar", "gold.deposits_by_segment", "segment", "deposits_eur"),
         ],
@@ -140,7 +140,7 @@ TEMPLATES = [
         "domain": "finance",
         "keywords": ["finance", "credit", "risk", "loans", "npl", "delinquency", "default", "arrears"],
         "visuals": [
-            ("cards", "gold.kpi_daily", ["net_loans_eur", "loans_growth_pct", "npl_rate_pct"]),
+            ("kpi_cards", "gold.kpi_daily", ["net_loans_eur", "loans_growth_pct", "npl_rate_pct"]),
             ("line", "gold.kpi_daily", "date", ["npl_rate_pct"]),
             ("bar", "gold.loans_by_status", "status", "principal_outstanding_eur"),
         ],
@@ -150,7 +150,7 @@ TEMPLATES = [
         "domain": "finance",
         "keywords": ["finance", "revenue", "income", "fee", "commission", "margin", "nim", "profitability"],
         "visuals": [
-            ("cards", "gold.kpi_daily", ["fee_income_eur", "nim_pct", "txn_value_eur", "txn_count"]),
+            ("kpi_cards", "gold.kpi_daily", ["fee_income_eur", "nim_pct", "txn_value_eur", "txn_count"]),
             ("line", "gold.kpi_daily", "date", ["fee_income_eur"]),
             ("bar", "gold.txn_by_channel", "channel", "txn_value_eur"),
         ],
@@ -160,7 +160,7 @@ TEMPLATES = [
         "domain": "hr",
         "keywords": ["hr", "workforce", "headcount", "employees", "people", "staffing", "overview"],
         "visuals": [
-            ("cards", "gold.hr_headcount_daily", ["headcount", "hires", "attrition_rate_pct",
+            ("kpi_cards", "gold.hr_headcount_daily", ["headcount", "hires", "attrition_rate_pct",
                                                   "avg_tenure_years", "open_positions"]),
             ("line", "gold.hr_headcount_daily", "date", ["headcount"]),
             ("bar", "gold.hr_by_department", "department", "headcount"),
@@ -171,7 +171,7 @@ TEMPLATES = [
         "domain": "hr",
         "keywords": ["hr", "attrition", "retention", "turnover", "churn", "leavers"],
         "visuals": [
-            ("cards", "gold.hr_headcount_daily", ["attrition_rate_pct", "attrition_count", "avg_tenure_years"]),
+            ("kpi_cards", "gold.hr_headcount_daily", ["attrition_rate_pct", "attrition_count", "avg_tenure_years"]),
             ("line", "gold.hr_headcount_daily", "date", ["attrition_rate_pct"]),
             ("bar", "gold.hr_by_department", "department", "attrition_rate_pct"),
         ],
@@ -181,7 +181,7 @@ TEMPLATES = [
         "domain": "hr",
         "keywords": ["hr", "cost", "payroll", "compensation", "salary", "budget", "spend"],
         "visuals": [
-            ("cards", "gold.hr_headcount_daily", ["payroll_cost_eur", "cost_per_head_eur", "headcount"]),
+            ("kpi_cards", "gold.hr_headcount_daily", ["payroll_cost_eur", "cost_per_head_eur", "headcount"]),
             ("bar", "gold.hr_by_department", "department", "payroll_cost_eur"),
         ],
     },
@@ -190,7 +190,7 @@ TEMPLATES = [
         "domain": "operations",
         "keywords": ["operations", "ops", "processing", "throughput", "stp", "exceptions", "overview"],
         "visuals": [
-            ("cards", "gold.ops_processing_daily", ["txn_processed", "stp_rate_pct", "exceptions",
+            ("kpi_cards", "gold.ops_processing_daily", ["txn_processed", "stp_rate_pct", "exceptions",
                                                     "avg_processing_ms", "sla_adherence_pct"]),
             ("line", "gold.ops_processing_daily", "date", ["txn_processed"]),
             ("line", "gold.ops_processing_daily", "date", ["stp_rate_pct"]),
@@ -201,7 +201,7 @@ TEMPLATES = [
         "domain": "operations",
         "keywords": ["operations", "ops", "channel", "uptime", "availability", "sla", "performance", "latency"],
         "visuals": [
-            ("cards", "gold.ops_processing_daily", ["sla_adherence_pct", "avg_processing_ms", "exceptions"]),
+            ("kpi_cards", "gold.ops_processing_daily", ["sla_adherence_pct", "avg_processing_ms", "exceptions"]),
             ("bar", "gold.ops_by_channel", "channel", "volume"),
             ("bar", "gold.ops_by_channel", "channel", "uptime_pct"),
         ],
@@ -211,7 +211,7 @@ TEMPLATES = [
         "domain": "operations",
         "keywords": ["operations", "ops", "exceptions", "failures", "errors", "sla", "incidents", "risk"],
         "visuals": [
-            ("cards", "gold.ops_processing_daily", ["exceptions", "sla_adherence_pct", "stp_rate_pct"]),
+            ("kpi_cards", "gold.ops_processing_daily", ["exceptions", "sla_adherence_pct", "stp_rate_pct"]),
             ("line", "gold.ops_processing_daily", "date", ["exceptions"]),
             ("line", "gold.ops_processing_daily", "date", ["sla_adherence_pct"]),
         ],
@@ -223,7 +223,7 @@ TEMPLATES = [
                      "payments", "transfers", "business line"],
         "by_source": True,
         "visuals": [
-            ("cards", "gold.activity_by_source", ["volume", "value_eur"], True),
+            ("kpi_cards", "gold.activity_by_source", ["volume", "value_eur"], True),
             ("line", "gold.activity_by_source", "date", ["volume"], True),
             ("bar", "gold.activity_by_source", "source", "value_eur"),
         ],

@@ -197,6 +197,16 @@ def silver_checks(star) -> DataFrame:
     )
 
 
+def personal_checks(tables: dict[str, DataFrame], personal: dict[str, tuple[str, ...]]) -> DataFrame:
+    """(stage, outcome, details) per source with personal columns: none of them may be left in any of the tables."""
+    rows = []
+    for source, columns in personal.items():
+        left = sorted(f"{t}.{x}" for t, df in tables.items() for x in set(columns) & set(df.columns))
+        rows.append(("silver", "fail" if left else "pass", f"{source}: personal columns left: {left}" if left else f"{source}: no personal columns left"))
+    spark = next(iter(tables.values())).sparkSession
+    return literal_rows(spark, rows, "stage string, outcome string, details string")
+
+
 def gold_checks(kpi: DataFrame, bounds: dict[str, tuple] = fixed.GOLD_BOUNDS) -> DataFrame:
     """(kpi, value, low, high, outcome) of every KPI row in ``kpi``: missing passes, not-a-number fails."""
     cells = [

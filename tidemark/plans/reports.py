@@ -31,9 +31,13 @@ def sum_by_dim(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def cards(df: DataFrame, fields: list[str]) -> DataFrame:
-    """(series, value) of the newest row; fields that the table lacks are skipped."""
+    """(series, value) of the newest row; fields that the table lacks are skipped.
+
+    Of several rows of the newest date, or of a table without dates, the one with the greatest values counts, field by field.
+    """
     present = [f for f in fields if f in df.columns]
-    newest = df.select("date", *present).orderBy(F.desc("date")).limit(1) if "date" in df.columns else df.limit(1)
+    order = [F.desc(x) for x in dict.fromkeys([*(["date"] if "date" in df.columns else []), *present])]
+    newest = df.orderBy(*order).limit(1)
     return newest.select(*[F.col(f).cast("double").alias(f) for f in present]).unpivot(
         [], present, "series", "value"
     )
@@ -49,7 +53,7 @@ def line(df: DataFrame, x: str, series: list[str]) -> DataFrame:
 def _visual(df: DataFrame, visual: tuple) -> DataFrame | None:
     """(type, series, x, value) of one visual; None when none of its columns is there."""
     kind, none = visual[0], F.lit(None).cast("string")
-    if kind == "cards":
+    if kind == "kpi_cards":
         if not any(f in df.columns for f in visual[2]):
             return None
         out = cards(df, visual[2]).withColumn("x", none)
@@ -80,11 +84,12 @@ def resolve(gold: dict[str, DataFrame], template: dict, source: str | None = Non
         if df is not None:
             scoped = template.get("by_source") and visual[-1] is True
             df = source_filter(df, source) if scoped else df
-            body = None if df.isEmpty() else _visual(df, visual)
+            body = _visual(df, visual)
+        empty = literal_rows(spark, [("empty", name, None, None)], "type string, series string, x string, value double")
         if body is None:
-            body = literal_rows(
-                spark, [("empty", name, None, None)], "type string, series string, x string, value double"
-            )
+            body = empty
+        else:  # decided when the plan runs: one job for all visuals
+            body = body.unionByName(empty.where(df.limit(1).agg(F.count(F.lit(1)).alias("n")).scalar() == 0))
         rows = body.select(F.lit(template["id"]).alias("template"), F.lit(i).alias("visual"), "*")
         out = rows if out is None else out.unionByName(rows)
     return out

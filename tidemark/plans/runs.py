@@ -212,6 +212,16 @@ def write_silver(lake: Lake, run: Run, salt: str, txn_batch: str, rates: DataFra
     return rows + lake.write("silver.dim_date", dates, "overwrite", LOOKUP_BATCH)
 
 
+def silver_gate(lake: Lake, sources: list[SourceConfig], day: str) -> DataFrame:
+    """The checks of the day's star, and that no column that a source names as personal is left in silver."""
+    star, personal = stored_star(lake, day), {cfg.source_id: cfg.pii for cfg in sources if cfg.pii}
+    checks = quality.silver_checks(star)
+    if personal:
+        tables = {n: getattr(star, n) for n in (*DIMS, *FACTS)}
+        checks = checks.unionByName(quality.personal_checks(tables, personal))
+    return checks
+
+
 def newer_day(lake: Lake, day: str) -> bool:
     """Whether a later day than this is stored already."""
     return lake.exists("silver.dim_date") and not lake.scan("silver.dim_date").where(F.col("date_sk") > _sk(day)).isEmpty()
@@ -303,7 +313,7 @@ def run_day(
             guarded("bronze", "extract", "extraction", extract, lambda: bronze_gate(lake, sources, contracts, day))
             and guarded(
                 "silver", "transform", "transformation", lambda: write_silver(lake, run, salt, txn_batch, rates),
-                lambda: quality.silver_checks(stored_star(lake, day)),
+                lambda: silver_gate(lake, sources, day),
             )
             and guarded("gold", "aggregate", "aggregation", lambda: write_gold(lake, day), lambda: gold_gate(lake))
         ):

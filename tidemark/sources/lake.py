@@ -85,8 +85,8 @@ class Lake:
         seen = Observation()
         out = df.observe(seen, F.count_if(F.col(column) == day).alias("today"), F.count(F.lit(1)).alias("rows"))
         (
-            out.hint("rebalance", F.col(column)).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(self.path(table))
+            out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(column).parquet(self.path(table))
         )
         found = seen.get
         if not found["today"]:  # the folder keeps the columns

@@ -1,15 +1,22 @@
-"""The daily batch as streams: landing, exact daily totals, and totals of closed days."""
+"""The daily batch as streams: landing, exact daily totals, and totals of closed days.
+
+A table brings its own ledger of the epochs and files it has taken: the stream's checkpoint, in a folder beside the table.
+So a further call goes on where the last one ended, and nothing counts twice.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch
-
 DAY, EPOCH = "_day", "_epoch"
 
 
+def ledger(path: str) -> str:
+    """The checkpoint of the stream that writes a table."""
+    return f"{path.rstrip('/')}-ledger"
+
+
 def file_stream(spark: SparkSession, path: str, schema=None, **options: str) -> DataFrame:
     """New files of a folder (or the one file that ``path`` is), each delivered once.
 
@@ -57,7 +64,7 @@ def land_stream(stream: DataFrame, path: str, key: str, ts: str, checkpoint: str
     def land(batch: DataFrame, epoch: int) -> None:
         _replace(fresh_rows(batch, epoch, path, key, ts).hint("rebalance", F.col(DAY)), path, DAY, EPOCH)
 
-    _drain(stream.writeStream.foreachBatch(land), checkpoint or scratch(spark, "checkpoint"))
+    _drain(stream.writeStream.foreachBatch(land), checkpoint or ledger(path))
     return spark.read.parquet(path)
 
 
@@ -74,10 +81,23 @@ def daily_stream(
         daily = batch.groupBy(F.to_date(ts).alias("date"), *by).agg(*[a.alias(n) for n, a in aggs.items()])
         _replace(daily.withColumn(EPOCH, F.lit(epoch)).hint("rebalance", F.col(EPOCH)), path, EPOCH)
 
-    _drain(stream.writeStream.foreachBatch(partial), checkpoint or scratch(spark, "checkpoint"))
+    _drain(stream.writeStream.foreachBatch(partial), checkpoint or ledger(path))
     return spark.read.parquet(path).groupBy("date", *by).agg(*[F.sum(n).alias(n) for n in aggs])
 
 
+def compact(spark: SparkSession, path: str, target: str, by: list[str], aggs: dict) -> int:
+    """Fold the partial results of all epochs of :func:`daily_stream` into one epoch of a new table; returns the epochs read.
+
+    The old table stays as it is until the caller has moved on: the stream then writes to ``target`` with
+    ``checkpoint=ledger(path)``, and its next epochs add to the folded one. The stream must not run meanwhile.
+    """
+    table = spark.read.parquet(path)
+    epochs = sorted(r[0] for r in table.select(EPOCH).distinct().collect())  # one number per epoch
+    total = table.groupBy("date", *by).agg(*[F.sum(n).alias(n) for n in aggs])
+    total.withColumn(EPOCH, F.lit(epochs[-1])).write.mode("overwrite").partitionBy(EPOCH).parquet(target)
+    return len(epochs)
+
+
 def closed_days(
     stream: DataFrame, path: str, by: list[str], aggs: dict, key: str, ts: str, delay: str,
     checkpoint: str | None = None,
@@ -98,7 +118,7 @@ def closed_days(
         .select(F.expr("date_from_unix_date(cast(unix_seconds(_w.start) div 86400 as int))").alias("date"), *by, *aggs)
     )
     writer = totals.writeStream.outputMode("append").format("parquet").option("path", path)
-    _drain(writer, checkpoint or scratch(spark, "checkpoint"))
+    _drain(writer, checkpoint or ledger(path))
     return spark.read.parquet(path)
 
 
