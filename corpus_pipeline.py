@@ -12,34 +12,49 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import golay_simhash, knn_quality, packing, pii_bootstrap, repetition
 from tidemark.llm.common import read
-from tidemark.session import scratch
+from tidemark.session import materialise, scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+ROW = "_row"
 
 
-def _keep(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id may stay; rows that share an id stay together if any of them may."""
-    return docs.join(verdicts.distinct(), docs.doc_id.eqNullSafe(verdicts.kept_id), "left_semi").select(*COLUMNS)
+def _numbered(docs: DataFrame, label: str) -> DataFrame:
+    """The columns of documents with a number per row, written once: repeated and null ids are rows of their own."""
+    return materialise(docs.select(*COLUMNS).withColumn(ROW, F.monotonically_increasing_id()), label)
+
+
+def _by_row(rows: DataFrame) -> DataFrame:
+    """The texts under their row numbers, as the operators take documents."""
+    return rows.select(F.col(ROW).alias("doc_id"), "text")
+
+
+def _keep(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows whose number is in ``kept`` (doc_id)."""
+    kept = kept.select(F.col("doc_id").alias("_kept"))
+    return rows.join(kept, rows[ROW] == kept["_kept"], "left_semi").select(*COLUMNS)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents whose neighbours vote below the classifier's threshold."""
+    """Rejects rows whose neighbours vote below the classifier's threshold; each row by its own text."""
     model = knn_quality.fit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
-    scored = knn_quality.score(docs, model).where(F.col("score") >= knn_quality.REJECT_BELOW)
-    return _keep(docs, scored.select(F.col("doc_id").alias("kept_id")))
+    rows = _numbered(docs, "rows-classifier")
+    return _keep(rows, knn_quality.score(_by_row(rows), model).where(F.col("score") >= knn_quality.REJECT_BELOW))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that the repetition rules do not keep."""
-    judged = repetition.repetition_rules(docs).where("kept")
-    return _keep(docs, judged.select(F.col("doc_id").alias("kept_id")))
+    """Rejects rows that the repetition rules do not keep; each row by its own text."""
+    rows = _numbered(docs, "rows-rules")
+    return _keep(rows, repetition.repetition_rules(_by_row(rows)).where("kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest id of every group of near duplicates, once; a group without ids loses nothing."""
-    found = golay_simhash.near_duplicates(docs)
-    stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")) | F.col("component_id").isNull())
-    return _keep(docs, stays.select(F.col("doc_id").alias("kept_id")))
+    """Keeps one row of every group of near duplicates: that of the smallest id, a null id last, any one of equal ids."""
+    rows = _numbered(docs, "rows-duplicates")
+    found = golay_simhash.near_duplicates(_by_row(rows)).select("doc_id", "component_id")
+    ids = rows.select(F.col("doc_id").alias("own"), F.col(ROW).alias("doc_id"))
+    order = F.struct(F.col("own").isNull(), "own", "doc_id")
+    firsts = found.join(ids, "doc_id").groupBy("component_id").agg(F.min_by("doc_id", order).alias("doc_id"))
+    return _keep(rows, firsts)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
