@@ -47,11 +47,15 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends here and lost executors cost nothing."""
+def materialise(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: lineage ends here and lost executors cost nothing.
+
+    The session's compression is used unless another one is named, such as ``zstd`` for tables of whole texts.
+    """
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.parquet(path)
+    writer = df.write.option("compression", compression) if compression else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
