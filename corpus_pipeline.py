@@ -20,7 +20,7 @@ ROW = "_row"
 
 def _numbered(docs: DataFrame, label: str) -> DataFrame:
     """The columns of documents with a number per row, written once: repeated and null ids are rows of their own."""
-    return materialise(docs.select(*COLUMNS).withColumn(ROW, F.monotonically_increasing_id()), label)
+    return materialise(docs.select(*COLUMNS).withColumn(ROW, F.monotonically_increasing_id()), label, "zstd")
 
 
 def _by_row(rows: DataFrame) -> DataFrame:
