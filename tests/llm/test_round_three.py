@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 from sentencepiece import sentencepiece_model_pb2
 
 from conftest import SF
-from tidemark.llm import fill_in_middle, golay_simhash, packing, piece_bpe, queries, ranked_search, zip_warc
+from tidemark.llm import fill_in_middle, golay_simhash, license_scan, packing, piece_bpe, queries, ranked_search, zip_warc
 from tidemark.llm.common import read
 from tidemark.session import scratch
 
@@ -315,3 +315,55 @@ def test_op5_repeated_and_large_records(spark, monkeypatch):
         want.append((page, len(data), digest, "response" if refers is None else "revisit", refers))
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
     assert pages.where("refers_to IS NOT NULL AND html IS NOT NULL").isEmpty()
+
+
+UNSEEN = {
+    "Apache-2.0": ["This project is licensed under the Apache 2.0 license, see the file.", "code under Apache License, version 2.0"],
+    "BSD": ["The library comes with a BSD 3-Clause License.", "// SPDX-License-Identifier: BSD-2-Clause"],
+    "CC-BY": ["All figures are licensed under CC BY 4.0 unless noted."],
+    "CC-BY-NC": ["The data set is licensed under CC BY-NC 4.0 by its makers."],
+    "CC-BY-SA": ["Text of this page is licensed under CC BY-SA 4.0 since 2019."],
+    "GPL": ["you can redistribute it under the GNU General Public License version 2", "The program is covered by the GNU GPL v3.",
+            "# SPDX-License-Identifier: GPL-3.0-or-later"],
+    "LGPL": ["released to you under the GNU Lesser General Public License, any version", "/* SPDX-License-Identifier: LGPL-2.1-only */"],
+    "MIT": ["Copyright 2020 the makers. MIT License.", "* SPDX-License-Identifier: MIT"],
+    "MPL-2.0": ["covered by the Mozilla Public License Version 2.0", "SPDX-License-Identifier: MPL-2.0"],
+    "unknown": ["the driver's license of the public library", "a general public debate about free software and its terms",
+                "version 2 of the report is public", "the apache helicopter landed", "permission is granted to leave early",
+                "identifier of the clause in the form", "a copy of the notice was posted"],
+}
+
+
+def test_op7_held_out_wordings(spark):
+    """The classifier alone on wordings it has not seen: accuracy and calibration error; then with the templates."""
+    model = license_scan.fit(read(spark, SF.replace("sf0.001", "sf0.01"), "documents"))
+    cases = [(family, license_scan.WORD.findall(text.lower())) for family, texts in UNSEEN.items() for text in texts]
+    p = model.probabilities([words for _, words in cases])
+    truth = np.array([license_scan.FAMILIES.index(f) for f, _ in cases])
+    hit = p.argmax(axis=1) == truth
+    assert hit.mean() >= 0.85
+    assert abs(p.max(axis=1).mean() - hit.mean()) <= 0.2
+    named = [[n[0] for n in model.notices(words)] for _, words in cases]
+    assert np.mean([got == ([] if f == "unknown" else [f]) for got, (f, _) in zip(named, cases)]) >= 0.9
+    assert all(got == [] for got, (f, _) in zip(named, cases) if f == "unknown")
+
+
+def test_op7_the_classifier_decides(spark, odd):
+    """Without its name a template alone finds nothing, and its name alone is refused without a template."""
+    model = license_scan.fit(odd)
+    words = license_scan.WORD.findall("released under the mit license")
+    assert [n[0] for n in model.notices(words)] == ["MIT"]
+    weights, model.weights = model.weights, np.zeros_like(model.weights)
+    model.bias = np.eye(len(license_scan.FAMILIES))[0] * 50
+    assert model.match(words, "MIT") == 1 and model.notices(words) == []
+    model.weights, model.bias = weights, np.eye(len(license_scan.FAMILIES))[license_scan.FAMILIES.index("BSD")] * 50
+    assert model.notices(words) == []
+
+
+def test_op7_sample_is_taken_over_whole_texts(spark):
+    rows = [(i, "\n".join(f"line {i} {k} " + "x " * 60 for k in range(50))) for i in range(40)] + [(99, None), (100, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    some = license_scan.sampled(docs, 200)
+    places = {int(w[2]) for w in some if w[:1] == ["line"]}
+    assert 120 <= len(some) <= 300 and all(len(w) <= license_scan.WINDOW for w in some) and (not places or max(places) > 10)
+    assert license_scan.sampled(docs, 200) == some and license_scan.sampled(docs.limit(0)) == []
