@@ -110,10 +110,12 @@ def queries() -> dict:
 
 
 _CONTROL_SEARCH = r"<\\*s>|<\\*/s>|\[\\*INST\]|\[\\*/INST\]|<\\*<SYS>>|<\\*</SYS>>|<\\*\|role\|>|<\\*\|text\|>|<\\*\|end\|>"
-_PAYLOADS = """
-p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
-f AS (SELECT b, min(page_id) AS first FROM p GROUP BY b)
-"""
+#: Base32 of a hex digest: five hex digits are four letters.
+_BASE32 = (
+    "array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST("
+    "(CAST('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS INTEGER), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31"
+    " AS INTEGER) + 1, 1)), '')"
+)
 
 
 _TERMS = (
@@ -137,6 +139,13 @@ def oracle_sql() -> dict[str, str]:
               CAST(3 + sum(length(t) + {escaped} + CASE r WHEN 'user' THEN 13 WHEN 'system' THEN 15
                 WHEN 'assistant' THEN 4 ELSE 23 + length(r) END) AS BIGINT) AS formatted_chars
             FROM rows GROUP BY conv_id""",
+        "op5_zip_warc": f"""
+            WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+            f AS (SELECT t, min(page_id) AS first FROM p GROUP BY t),
+            h AS (SELECT page_id, first, strlen(t) AS payload_bytes, sha1(t) AS hex FROM p JOIN f USING (t))
+            SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+              CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+              CASE WHEN page_id <> first THEN first END AS refers_to FROM h""",
         "op11_fill_in_middle": """
             WITH d AS (
               SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || doc_id) AS s,
