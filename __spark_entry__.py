@@ -191,6 +191,15 @@ def land_bronze(spark, sf):
     return out.withColumnsRenamed({"_source_system": "source", "_batch_id": "batch_id", "_run_id": "run_id"})
 
 
+def land_since(spark, sf):
+    """Postings landed up to a mark and then from it on; the days of the lookback are met twice and written once."""
+    box, (_, last) = _lake(spark), _span(spark, sf)
+    cfg = next(x for x in _sources(spark, sf) if x.source_id == "core_transactions")
+    for run, day in enumerate(("2024-01-15", last, last)):
+        bronze.land_since(box, cfg, f"run-{run}", day)
+    return box.scan("bronze.transactions", keep_batch=True).select("txn_id", "amount", "_batch", F.col("_run_id").alias("run"))
+
+
 def add_lineage(spark, sf):
     rows = bronze.add_lineage(
         bank.table(spark, sf, "orders"), "orders", f"orders:{AS_OF}", "run-1", F.col("_metadata.file_path")
@@ -689,6 +698,7 @@ def _queries() -> dict[str, Query]:
         "merge_batch": merge_batch,
         "table_row_count": table_row_count,
         "land_bronze": land_bronze,
+        "land_since": land_since,
         "add_lineage": add_lineage,
         "incremental_window": incremental_window,
         "source_connectors": source_connectors,

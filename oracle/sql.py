@@ -169,6 +169,10 @@ def _statements() -> dict[str, str]:
     s["write_batch_replace"] = """
         SELECT txn_id, CAST(amount AS DOUBLE) AS amount,
                'core_transactions:' || strftime(posting_ts, '%Y-%m-%d') AS _batch FROM src_transactions"""
+    s["land_since"] = """
+        SELECT txn_id, CAST(amount AS DOUBLE) AS amount,
+               'core_transactions:' || strftime(posting_ts, '%Y-%m-%d') AS _batch,
+               CASE WHEN posting_ts < TIMESTAMP '2024-01-16' THEN 'run-0' ELSE 'run-1' END AS run FROM src_transactions"""
     s["merge_batch"] = """
         SELECT txn_id, CAST(CASE WHEN _batch = '2024-01-30' THEN amount * 2 ELSE amount END AS DOUBLE) AS amount, _batch
         FROM (SELECT txn_id, amount, strftime(posting_ts, '%Y-%m-%d') AS _batch FROM src_transactions)"""

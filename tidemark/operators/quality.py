@@ -98,21 +98,26 @@ def _text(template: str, *parts: Column) -> Column:
 
 
 def validate(
-    df: DataFrame, contract: dict, repeats: dict[str, DataFrame] | None = None, row_count: tuple[str, str] | None = None
+    df: DataFrame, contract: dict, repeats: dict[str, DataFrame] | None = None, row_count: tuple[str, str] | None = None,
+    broken: dict[str, int] | None = None,
 ) -> DataFrame:
     """(ord, check, outcome, detail): one row per check of the contract.
 
     Row rules share one scan, each unique key is one aggregate, and only rows per check are put together. ``repeats`` may
     hold the repeats of unique columns, as :func:`count_repeats` gives them, where history counts too; ``row_count`` is the
-    (outcome, detail) of the row-count rule, which a table alone cannot tell.
+    (outcome, detail) of the row-count rule, which a table alone cannot tell; ``broken`` the counts of the row rules
+    where they were taken already.
     """
     spark, names = df.sparkSession, check_names(contract)
     absent = [x for x in contract.get("required_columns", []) if x not in df.columns]
-    counted, known = count_broken(df, contract), repeats or {}
+    known = repeats or {}
+    counted = literal_rows(spark, list(broken.items()), "check string, n bigint") if broken else count_broken(df, contract)
     for column in contract.get("unique", []):
         if column in df.columns:
             counted = counted.unionByName(known[column] if column in known else count_repeats(df, column))
     has_values = [x for x in contract.get("allowed_values", {}) if x in df.columns]
+    if broken:  # values are listed where there are any
+        has_values = [x for x in has_values if broken.get(f"allowed_values[{x}]")]
     if has_values:
         counted = counted.unionByName(_value_lists(df, contract), allowMissingColumns=True)
     else:

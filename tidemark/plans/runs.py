@@ -98,11 +98,14 @@ def row_count_rule(lake: Lake, source: str, day: str, rule: dict) -> tuple[str,
     return today.outcome, text
 
 
-def bronze_gate(lake: Lake, sources: list[SourceConfig], contracts: dict, day: str) -> DataFrame:
+def bronze_gate(
+    lake: Lake, sources: list[SourceConfig], contracts: dict, day: str, broken: dict[str, dict[str, int]] | None = None
+) -> DataFrame:
     """(stage, outcome, details): one row per source with a contract, over the batch that the run landed.
 
     Keys are unique over all batches: those of an incremental source are looked up in the index of the others. Rows per
-    day are held against the kept counts. Every unexpected value goes to UNEXPECTED, a batch per source and day.
+    day are held against the kept counts. ``broken`` are the rows against each row rule that the landing counted as it
+    wrote; without them the batch is read for it. Every unexpected value goes to UNEXPECTED, a batch per source and day.
     """
     out = None
     for cfg in sources:
@@ -119,7 +122,7 @@ def bronze_gate(lake: Lake, sources: list[SourceConfig], contracts: dict, day: s
                 stats.keep_keys(lake, cfg.source_id, column, landed, batch)
                 repeats[column] = stats.repeats(lake, cfg.source_id, cfg.target, column, batch)
         counted = row_count_rule(lake, cfg.source_id, day, contract["row_count"]) if "row_count" in contract else None
-        checks = quality.validate(landed, contract, repeats, counted)
+        checks = quality.validate(landed, contract, repeats, counted, (broken or {}).get(cfg.source_id))
         failed = F.when(F.col("outcome") == "fail", F.concat("check", F.lit(": "), "detail"))
         row = checks.agg(
             quality.worst(F.col("outcome")).alias("outcome"),
@@ -289,11 +292,14 @@ def run_day(
 
     txn_batch = next((f"{cfg.source_id}:{day}" for cfg in sources if cfg.target == "bronze.transactions"), "")
 
+    broken: dict[str, dict[str, int]] = {}
+
     def extract() -> int:
-        landed = land(lake, sources, lookups, run.run_id, day)
+        landed = land(lake, sources, lookups, run.run_id, day, contracts=contracts)
         for cfg in sources:
-            stats.keep_counts(lake, cfg.source_id, day, landed[cfg.target])
-        return sum(landed.values())
+            stats.keep_counts(lake, cfg.source_id, day, landed.by_source[cfg.source_id])
+        broken.update(landed.broken)
+        return sum(landed.rows.values())
 
     def guarded(layer: str, stage: str, actor: str, work, gate) -> bool:
         attempt, action = 0, "retry"
@@ -310,7 +316,7 @@ def run_day(
 
     try:
         if (
-            guarded("bronze", "extract", "extraction", extract, lambda: bronze_gate(lake, sources, contracts, day))
+            guarded("bronze", "extract", "extraction", extract, lambda: bronze_gate(lake, sources, contracts, day, broken))
             and guarded(
                 "silver", "transform", "transformation", lambda: write_silver(lake, run, salt, txn_batch, rates),
                 lambda: silver_gate(lake, sources, day),

@@ -49,23 +49,27 @@ class Lake:
         df: DataFrame,
         mode: str = "append",
         batch: str | Column = "default",
+        watch: Observation | None = None,
+        *metrics: Column,
     ) -> int:
         """Write batches and return the rows written.
 
         ``overwrite`` drops the table first. ``append`` replaces only its own batch, also by no rows, so the
         same call twice leaves the table as after the first. ``batch`` may be a column: then one job writes
         every batch that has rows, rebalanced so that a small day is one file and a large day is many tasks.
+        ``watch`` then sees ``metrics`` over the rows written.
         """
         if mode not in ("append", "overwrite"):
             raise ValueError(f"mode must be 'append' or 'overwrite', got {mode!r}")
-        seen = Observation()
-        out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        seen, rows = Observation(), F.count(F.lit(1)).alias("rows")
         if isinstance(batch, str) and mode == "append":
-            out.write.mode("overwrite").parquet(self._folder(table, batch))
+            df.observe(seen, rows).write.mode("overwrite").parquet(self._folder(table, batch))
             return seen.get["rows"]
-        out = out.withColumn(BATCH, F.lit(batch) if isinstance(batch, str) else batch)
+        out = df.withColumn(BATCH, F.lit(batch) if isinstance(batch, str) else batch)
         if not isinstance(batch, str):
             out = out.hint("rebalance", F.col(BATCH))
+        out = out.observe(seen, rows)  # on top, so that an exchange without rows does not take the count with it
+        out = out.observe(watch, *metrics) if watch else out
         (
             out.write.mode("overwrite")
             .option("partitionOverwriteMode", "static" if mode == "overwrite" else "dynamic")
@@ -83,7 +87,8 @@ class Lake:
         ``day`` is replaced also where it has none. A filter on the column then reads the folders of its days only.
         """
         seen = Observation()
-        out = df.observe(seen, F.count_if(F.col(column) == day).alias("today"), F.count(F.lit(1)).alias("rows"))
+        today = F.count_if(F.col(column) == day).alias("today")
+        out = df.hint("rebalance", F.col(column)).observe(seen, today, F.count(F.lit(1)).alias("rows"))
         (
             out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(column).parquet(self.path(table))
