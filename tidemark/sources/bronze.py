@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, timedelta
@@ -106,7 +107,8 @@ def land_since(lake: Lake, cfg: SourceConfig, run_id: str, until: str, lookback:
     df, day = cfg.read(), F.date_format(cfg.watermark, "yyyy-MM-dd")
     known: dict[str, tuple] = {}
     if lake.exists(MARKS):
-        marks = lake.scan(MARKS).where(F.col("source_id") == cfg.source_id)
+        marks = lake.scan(MARKS).where(F.col("source_id") == cfg.source_id).groupBy("date")
+        marks = marks.agg(F.max_by(F.struct("n", "digest"), "at").alias("m")).select("date", "m.*")
         newest = marks.agg(F.max("date")).first()[0]
         if newest:
             first = (date.fromisoformat(newest) - timedelta(lookback)).isoformat()
@@ -123,9 +125,9 @@ def land_since(lake: Lake, cfg: SourceConfig, run_id: str, until: str, lookback:
     for gone in [d for d in changed if d not in seen]:  # every row of the day was taken back
         name = f"{cfg.source_id}:{gone}"
         lake.write(cfg.target, add_lineage(df.limit(0), cfg.source_id, name, run_id), "append", name)
-    rows = [(cfg.source_id, d, *seen.get(d, (0, None))) for d in changed]
-    frame = lake.spark.createDataFrame(rows, "source_id string, date string, n long, digest long")
-    lake.write(MARKS, frame, "append", F.concat_ws(":", "source_id", "date"))
+    rows = [(cfg.source_id, d, *seen.get(d, (0, None)), time.time_ns()) for d in changed]
+    frame = lake.spark.createDataFrame(rows, "source_id string, date string, n long, digest long, at long").coalesce(1)
+    lake.write(MARKS, frame, "append", f"{cfg.source_id}:{run_id}")  # the newest mark of a day counts
     return changed
 
 
