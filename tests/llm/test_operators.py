@@ -142,6 +142,32 @@ def test_op2_audit_asks_rows_that_repeat_a_smaller_id(spark, starved):
     assert (found <= wanted).all() and found.sum() >= 0.85 * wanted.sum() > 100
 
 
+def test_op2_recall_is_null_where_nothing_is_asked(spark, starved):
+    x = np.concatenate([starved[:120], starved[1000:1120]])
+    df = spark.createDataFrame([(100 * i + 1, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in nn_descent.near_duplicates(df).collect()}
+    wanted, found = links(x), np.array([got[100 * i + 1].n_links for i in range(len(x))])
+    assert all(r.recall is None for r in got.values())
+    assert (found <= wanted).all() and found.sum() >= 0.9 * wanted.sum() > 100
+
+
+def test_op2_compares_everything_after_the_last_doubling(spark, starved, monkeypatch):
+    monkeypatch.setattr(nn_descent, "PHASES", 0)
+    monkeypatch.setattr(nn_descent, "ASKED_BYTES", 1 << 20)  # several blocks
+    df = spark.createDataFrame([(i * 50, v.tolist()) for i, v in enumerate(starved)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in nn_descent.near_duplicates(df).collect()}
+    assert [got[i * 50].n_links for i in range(len(starved))] == links(starved).tolist()
+    assert got[0].recall == 1.0
+
+
+def test_op2_repeated_and_null_ids_and_mixed_lengths(spark):
+    rows = [(1, [1.0, 0.0], "x"), (1, [1.0, 0.0], "x"), (1, [0.0, 1.0], "x"), (None, [1.0, 0.0], "x"), (2, [1.0, 0.0, 0.0], "x")]
+    rows += [(3, [-0.0, 2.0], "x"), (4, [0.99, 0.01], "x")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, node string")
+    got = sorted((r.vec_id or 0, r.n_links, r.component_id) for r in nn_descent.near_duplicates(df).collect())
+    assert got == [(0, 3, 1), (1, 1, 1), (1, 3, 1), (1, 3, 1), (2, 0, 2), (3, 1, 1), (4, 3, 1)]
+
+
 def packed_well(rows):
     by = {}
     for r in rows:

@@ -1,19 +1,21 @@
 """Near-duplicate vectors by NN-descent over a neighbour graph kept in tables.
 
 Equal vectors are one class, and classes within half the link angle of a leader are one bundle, in which all link by the
-triangle inequality, so neither is ever paired out. The graph over bundles starts from neighbours along a few random
-projections, sorted by range. A round joins neighbours of neighbours (through a common node, both directions), scores new
-pairs by exact cosine and keeps the best few of each node and all pairs of bundles that may hold links. A node whose list
-is saturated with those gets a longer list. Rounds go on until list entries stop changing, and the recall of a stated query
-set against all classes is audited by blocked products; a failing audit doubles the projections and continues. Where those
-would score as many pairs as there are, all bundles are compared by blocks instead. What the audit itself finds is not
-kept. Members of two bundles are compared by blocks, which give counts per member and never pairs.
+triangle inequality, so neither is ever paired out. The graph over bundles starts from neighbours in a few random orders,
+sorted by range: a node's place in an order is the cell that random planes put it in, then its place along a direction.
+A round joins neighbours of neighbours (through a common node, both directions), scores new pairs by exact cosine and keeps
+the best few of each node and all pairs of bundles that may hold links. A node whose list is saturated with those gets a
+longer list. Rounds go on until list entries stop changing, and the recall of a stated query set against all classes is
+audited by blocked products; a failing audit of the links between bundles doubles the orders and continues. Where the query
+set has no link at all, nothing is measured: then the orders double until that finds no further pair. After PHASES doublings all bundles are
+compared by blocks instead. What the audit itself finds is not kept. Members of two bundles are compared by blocks, which
+give counts per member and never pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import acos, cos
+from math import acos, cos, log2
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +24,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import components, map_rows
+from tidemark.operators.slices import dense_key
 from tidemark.session import materialise, scratch
 
-#: Parameters: link threshold, list length, projections to start from, neighbours along each, share of new list entries
-#: that ends the rounds, audit, vectors of a broadcast and rows of a product.
-THRESHOLD, LIST, PROJECTIONS, REACH, CHANGED = 0.9, 10, 8, 6, 0.001
-AUDIT_EVERY, RECALL, ASKED, PRODUCT_ROWS = 100, 0.9, 2000, 1024
-#: Rows of a range of a projection, rounds of bundling, members of a block, and what rounding may do to an angle.
+#: Parameters: link threshold, list length, orders to start from, neighbours in each, nodes of a cell of an order, share
+#: of new list entries that ends the rounds, doublings of the orders before all bundles are compared.
+THRESHOLD, LIST, PROJECTIONS, REACH, CELL, CHANGED, PHASES = 0.9, 10, 8, 6, 24, 0.02, 4
+#: The query set of the audit, its least recall, bytes of vectors in a broadcast, sides of a product.
+AUDIT_EVERY, RECALL, ASKED_BYTES, PRODUCT_ROWS = 100, 0.9, 8 << 20, 1024
+#: Rows of a range of an order, rounds of bundling, members of a block, and what rounding may do to an angle.
 RANGE_ROWS, MIN_RANGES, BUNDLE_ROUNDS, BLOCK, SLACK = 50_000, 8, 10, 128, 1e-6
 
 
@@ -58,6 +62,7 @@ def _clean(vectors: DataFrame) -> DataFrame:
                 fine = np.isfinite(top) & (top > 0)
                 x = x[fine] / top[fine, None]
                 x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+                x += 0.0  # one zero only
                 yield pa.RecordBatch.from_arrays([ids.filter(pa.array(fine)), _lists_of(x)], names=["vec_id", "v"])
             rest = ids.filter(pa.array(~fine))
             yield pa.RecordBatch.from_arrays([rest, pa.nulls(len(rest), pa.list_(pa.float64()))], names=["vec_id", "v"])
@@ -66,15 +71,23 @@ def _clean(vectors: DataFrame) -> DataFrame:
     return map_rows(plain, work, "vec_id long, v array<double>")
 
 
-def _projected(nodes: DataFrame, seed: int, n: int) -> DataFrame:
-    """(node, p, x): the place of every node along ``n`` random directions."""
+def _projected(nodes: DataFrame, seed: int, n: int, total: int) -> DataFrame:
+    """(node, p, x): the place of every node in ``n`` random orders.
+
+    The whole part of x is the cell that random planes through zero put the node in, of about CELL nodes if those lie
+    evenly; the rest grows along a further direction. Near vectors share a cell more often than a place along one line.
+    """
+    planes = min(40, max(0, round(log2(max(total, 1) / CELL))))
 
     def work(batch: pa.RecordBatch):
         sizes = _sizes(batch.column(1))
         for size in np.unique(sizes).tolist():
             some = np.flatnonzero(sizes == size)
-            axes = np.random.default_rng((seed, size)).normal(size=(size, n))
-            x = _matrix(batch.column(1).take(pa.array(some)), size) @ axes
+            axes = np.random.default_rng((seed, size)).normal(size=(planes + 1, size, n))
+            v = _matrix(batch.column(1).take(pa.array(some)), size)
+            x = 0.5 + np.arctan(v @ axes[0]) / np.pi
+            for k in range(planes):
+                x += np.ldexp((v @ axes[k + 1]) > 0, k)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(np.repeat(some, n))), pa.array(np.tile(np.arange(n), len(some))), pa.array(x.ravel())],
                 names=["node", "p", "x"],
@@ -84,7 +97,7 @@ def _projected(nodes: DataFrame, seed: int, n: int) -> DataFrame:
 
 
 def _along(nodes: DataFrame, seed: int, n: int, reach: int, total: int) -> DataFrame:
-    """(a, b), a < b: nodes near each other along a direction. Ranges of places are dealt out, so equal places split too."""
+    """(a, b), a < b: nodes near each other in an order. Ranges of places are dealt out, so equal places split too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail = np.zeros((2, 0), np.int64)
@@ -98,7 +111,7 @@ def _along(nodes: DataFrame, seed: int, n: int, reach: int, total: int) -> DataF
             tail = rows[:, -reach:]
 
     ranges = max(MIN_RANGES, total * n // RANGE_ROWS)
-    placed = _projected(nodes, seed, n).repartitionByRange(ranges, "p", "x", "node").sortWithinPartitions("p", "x", "node")
+    placed = _projected(nodes, seed, n, total).repartitionByRange(ranges, "p", "x", "node").sortWithinPartitions("p", "x", "node")
     return placed.select("node", "p").mapInArrow(run, "a long, b long").where("a < b").distinct()
 
 
@@ -174,6 +187,7 @@ def _lists(edges: DataFrame, length: int, most: int) -> DataFrame:
     """(node, other): the best of each node; up to ``most`` where the list is full of near ones."""
     both = _both(edges, "cosine", "near")
     ranked = both.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("cosine"), "b")))
+    ranked = ranked.where(F.col("r") <= max(length, most))  # Spark cuts a hub's rows by this before they are shuffled
     full = (F.col("r") <= most) & F.col("near")
     return ranked.where((F.col("r") <= length) | full).select(F.col("a").alias("node"), F.col("b").alias("other"))
 
@@ -183,17 +197,20 @@ def _blocked(asked: DataFrame, rows: DataFrame, threshold: float, label: str, on
 
     ``once`` is for rows asked about themselves: each pair is met from its greater key only.
 
-    The asked are dealt into blocks of about ASKED by hash of the vector, each a broadcast that all rows are multiplied with.
+    The asked are dealt by hash of the vector into blocks of about ASKED_BYTES, each a broadcast that all rows are
+    multiplied with, a few of either at a time.
     """
     spark, path, angle = rows.sparkSession, scratch(rows.sparkSession, label), acos(threshold)
     asked = asked.select("key", "v", "radius")
-    blocks = max(1, -(-asked.count() // ASKED))
+    size_of = asked.agg(F.sum(F.size("v")).cast("long")).first()[0] or 0
+    blocks = max(1, -(-8 * size_of // ASKED_BYTES))
     for block in range(blocks):
-        held = asked.where(F.pmod(F.xxhash64("v", F.lit(11)), F.lit(blocks)) == block).collect()
+        held = asked.where(F.pmod(F.xxhash64("v", F.lit(11)), F.lit(blocks)) == block).toArrow().combine_chunks()
         by_size = {}
-        for size in {len(r["v"]) for r in held}:
-            some = [r for r in held if len(r["v"]) == size]
-            by_size[size] = tuple(np.array([r[c] for r in some]) for c in ("key", "v", "radius"))
+        for size in pc.unique(pc.list_value_length(held["v"])).to_pylist():
+            some = held.filter(pc.equal(pc.list_value_length(held["v"]), size)).combine_chunks()
+            keys, vectors, radii = (some[c].combine_chunks() for c in ("key", "v", "radius"))
+            by_size[size] = (keys.to_numpy(zero_copy_only=False), _matrix(vectors, size), radii.to_numpy(zero_copy_only=False))
         shared = spark.sparkContext.broadcast(by_size)
 
         def work(batch: pa.RecordBatch, shared=shared):
@@ -204,15 +221,20 @@ def _blocked(asked: DataFrame, rows: DataFrame, threshold: float, label: str, on
                 of_size, (ask, vectors, ask_radii) = np.flatnonzero(sizes == size), shared.value[size]
                 for at in range(0, len(of_size), PRODUCT_ROWS):
                     some = of_size[at : at + PRODUCT_ROWS]
-                    cosine = _matrix(batch.column(1).take(pa.array(some)), size) @ vectors.T
-                    wide = radii[some, None] + ask_radii
-                    widened = np.arccos(np.clip(cosine, -1, 1)) <= angle + wide + SLACK
-                    other = keys[some, None] < ask if once else keys[some, None] != ask
-                    i, j = np.nonzero(np.where(wide > 0, widened, cosine >= threshold) & other)
-                    ends = np.sort(np.stack([keys[some[i]], ask[j]]), axis=0)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ends[0]), pa.array(ends[1]), pa.array(cosine[i, j])], names=["a", "b", "cosine"]
-                    )
+                    v = _matrix(batch.column(1).take(pa.array(some)), size)
+                    for first in range(0, len(ask), PRODUCT_ROWS):
+                        to = slice(first, first + PRODUCT_ROWS)
+                        widest = angle + radii[some].max() + ask_radii[to].max() + SLACK
+                        product = v @ vectors[to].T
+                        i, j = np.nonzero(product >= min(threshold, cos(min(widest, np.pi)) - SLACK))
+                        cosine, j = product[i, j], j + first
+                        wide, one, two = radii[some[i]] + ask_radii[j], keys[some[i]], ask[j]
+                        widened = np.arccos(np.clip(cosine, -1, 1)) <= angle + wide + SLACK
+                        fine = np.where(wide > 0, widened, cosine >= threshold) & (one < two if once else one != two)
+                        ends = np.sort(np.stack([one[fine], two[fine]]), axis=0)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(ends[0]), pa.array(ends[1]), pa.array(cosine[fine])], names=["a", "b", "cosine"]
+                        )
 
         found = map_rows(rows.select("key", "v", "radius"), work, "a long, b long, cosine double")
         found.write.mode("append").parquet(path)
@@ -221,32 +243,37 @@ def _blocked(asked: DataFrame, rows: DataFrame, threshold: float, label: str, on
 
 
 def _audit(rows: DataFrame, classes: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, n): links of the query set between different bundles, counted by pair of bundles.
+    """(a, b, n): links of the query set with other classes, counted by pair of bundles; a = b within a bundle.
 
     The query set are all rows whose id is divisible by AUDIT_EVERY, equal ones once; they are compared with all classes.
     """
     placed = classes.join(members, "node").select("node", F.col("leader").alias("key"), "v", F.lit(0.0).alias("radius"))
-    asked = rows.where(F.col("vec_id") % AUDIT_EVERY == 0).select(F.col("h").alias("node")).distinct()
+    asked = rows.where(F.col("vec_id") % AUDIT_EVERY == 0).select("node").distinct()
     asked = materialise(placed.join(asked, "node", "left_semi"), "nn-asked")
-    return _blocked(asked, placed, threshold, "nn-answers").groupBy("a", "b").agg(F.count("*").alias("n"))
+    across = _blocked(asked, placed, threshold, "nn-answers").groupBy("a", "b").agg(F.count("*").alias("n"))
+    sizes = members.groupBy("leader").agg((F.count("*") - 1).alias("n")).where("n > 0")
+    inside = asked.join(sizes, F.col("key") == F.col("leader")).groupBy("leader").agg(F.sum("n").alias("n"))
+    return across.unionByName(inside.select(F.col("leader").alias("a"), F.col("leader").alias("b"), "n"))
 
 
 def near_bundles(
     rows: DataFrame, classes: DataFrame, members: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD, length: int = LIST
-) -> tuple[DataFrame, float]:
+) -> tuple[DataFrame, float | None]:
     """Pairs of bundles (a, b, cosine) that may hold links, and their audited recall, which is at least RECALL.
 
-    Only pairs that share a list with an entry of the last round meet in a round.
+    It counts links of the query set between different vectors, those in a bundle included, and has to reach RECALL between
+    bundles alone too. It is None where the query set has no link, so that nothing could be measured. Only pairs that share a list with an entry of the last round meet in a round.
     """
     total = nodes.count()
     truth = materialise(_audit(rows, classes, members, threshold), "nn-audit")
-    wanted = truth.agg(F.sum("n")).first()[0] or 0
+    across = F.col("a") != F.col("b")
+    wanted, inside = (x or 0 for x in truth.agg(F.sum(F.when(across, F.col("n"))), F.sum(F.when(~across, F.col("n")))).first())
     edges = nodes.sparkSession.createDataFrame([], "a long, b long, cosine double, near boolean")
     lists = nodes.sparkSession.createDataFrame([], "node long, other long")
-    phase, turn = 0, 0
+    phase, turn, before_that = 0, 0, -1
     while True:
         projections = PROJECTIONS << phase
-        whole = 2 * REACH * projections >= total
+        whole = phase > PHASES
         if whole:
             every = nodes.withColumnRenamed("node", "key")
             near = _blocked(every, every, threshold, "nn-all", once=True)
@@ -271,12 +298,19 @@ def near_bundles(
                 old = edges.where("near").unionByName(listed)
                 edges = materialise(old.unionByName(_scored(fresh, nodes, threshold)), "nn-edges")
             near = edges.where("near").select("a", "b", "cosine")
-        found = truth.join(near, ["a", "b"], "left_semi").agg(F.sum("n")).first()[0] or 0
-        recall = found / wanted if wanted else 1.0
-        if recall >= RECALL:
-            return near, recall
-        if whole:
-            raise RuntimeError(f"recall {recall} of an exact comparison")
+        if wanted:
+            found = truth.join(near, ["a", "b"], "left_semi").agg(F.sum("n")).first()[0] or 0
+            if found >= RECALL * wanted:
+                return near, (inside + found) / (inside + wanted)
+            if whole:
+                raise RuntimeError(f"recall {found / wanted} of an exact comparison")
+        elif inside:
+            return near, 1.0
+        else:
+            held = near.count()
+            if whole or held == before_that:
+                return near, None
+            before_that = held
         phase += 1
 
 
@@ -313,15 +347,18 @@ def _member_links(mixed: DataFrame, members: DataFrame, classes: DataFrame, node
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(vec_id, n_links, component_id, kept, class_id, recall) of every row.
 
+    ``recall`` is the audited one, null where the query set has no link.
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing. Rows with equal
     vectors link with each other, also when they repeat an id; a null id takes part but
     names no component.
     Further columns are left out. An empty table gives none.
     """
-    rows = materialise(_clean(vectors).withColumn("h", F.xxhash64("v")), "nn-vectors")
-    live = rows.where("v IS NOT NULL")
-    classes = live.groupBy("h").agg(F.min("vec_id").alias("least"), F.count("*").alias("size"), F.any_value("v").alias("v"))
-    classes = materialise(classes.withColumnRenamed("h", "node"), "nn-classes")
+    clean = materialise(_clean(vectors).withColumn("h", F.xxhash64("v")), "nn-vectors")
+    live = clean.where("v IS NOT NULL")
+    classes = live.groupBy("h", "v").agg(F.min("vec_id").alias("least"), F.count("*").alias("size"))
+    classes = dense_key(classes, ["h"], "node")
+    rows = materialise(live.join(classes.select("h", "v", "node"), ["h", "v"]).select("vec_id", "node"), "nn-rows")
+    classes = classes.drop("h")
     members = bundles(classes, classes.count(), threshold)
     grouped = members.join(classes.select("node", "size"), "node").groupBy(F.col("leader").alias("node")).agg(
         F.sum("size").alias("rows"), F.count("*").alias("n"), F.min("cosine").alias("cosine")
@@ -329,7 +366,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     radius = F.when(F.col("n") > 1, F.acos(F.least(F.col("cosine"), F.lit(1.0))) + SLACK).otherwise(F.lit(0.0))
     nodes = materialise(grouped.select("node", "rows", "n", radius.alias("radius")).join(classes.select("node", "v"), "node"), "nn-nodes")
 
-    near, recall = near_bundles(live, classes, members, nodes, threshold)
+    near, recall = near_bundles(rows, classes, members, nodes, threshold)
     sizes = nodes.select("node", "rows", "n", "radius")
     sided = near.join(sizes.toDF("a", "rows_a", "n_a", "radius_a"), "a").join(sizes.toDF("b", "rows_b", "n_b", "radius_b"), "b")
     wide = F.col("radius_a") + F.col("radius_b")
@@ -354,17 +391,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
         .join(all_of, "leader", "left")
         .join(some_of, "node", "left")
         .select(
-            F.col("node").alias("h"),
+            "node",
             F.col("least").alias("class_id"),
             (F.col("rows") - 1 + F.coalesce("all_of", none) + F.coalesce("some_of", none)).alias("n_links"),
             "component_id",
         )
     )
-    found = live.select("vec_id", "h").join(named, "h").select("vec_id", "n_links", "component_id", "class_id")
-    alone = rows.where("v IS NULL").select(
+    found = rows.join(named, "node").select("vec_id", "n_links", "component_id", "class_id")
+    alone = clean.where("v IS NULL").select(
         "vec_id", none.alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").alias("class_id")
     )
     return found.unionByName(alone).select(
         "vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"), "class_id",
-        F.lit(float(recall)).alias("recall"),
+        F.lit(recall).cast("double").alias("recall"),
     )
