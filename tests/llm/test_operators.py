@@ -71,6 +71,52 @@ def test_op1_equals_brute_force(spark):
         assert not (r.base_failed and r.kept)
 
 
+def brute_maximal_repeats(words, least):
+    out = set()
+    for n in range(least, len(words)):
+        at = {}
+        for i in range(len(words) - n + 1):
+            at.setdefault(tuple(words[i : i + n]), []).append(i)
+        for places in at.values():
+            left = {words[i - 1] if i else None for i in places}
+            right = {words[i + n] if i + n < len(words) else None for i in places}
+            if len(places) > 1 and len(left) > 1 and len(right) > 1:
+                out.add((n, tuple(places)))
+    return out
+
+
+def test_op1_maximal_repeats_equal_brute_force():
+    rng = np.random.default_rng(17)
+    for turn in range(200):
+        texts = [" ".join(rng.choice(["a", "b", "c"][: 1 + turn % 3], rng.integers(0, 30))) for _ in range(3)]
+        symbols, n_words = repetition._word_symbols(texts)
+        got = repetition.maximal_repeats(*repetition.intervals(symbols), symbols, 2)
+        of_text = np.searchsorted(np.cumsum(n_words), got[:, 0], "right")
+        for k, text in enumerate(texts):
+            wanted = brute_maximal_repeats(text.split(), 2)
+            assert sorted((n, len(p)) for n, p in wanted) == sorted(map(tuple, got[of_text == k, 1:].tolist()))
+
+
+def test_op1_spans_are_the_union_of_maximal_repeats(spark):
+    rng = np.random.default_rng(19)
+    texts = [" ".join(rng.choice(["a", "b", "c", "d"], rng.integers(0, 60))) for _ in range(40)] + [None, "", "x " * 2000]
+    df = spark.createDataFrame([(i, t, "n") for i, t in enumerate(texts)], "doc_id long, text string, n_words string")
+    got, rules = {}, {r.doc_id: r for r in repetition.repetition_rules(df, min_repeat=3).collect()}
+    for r in repetition.repeated_spans(df, min_repeat=3).collect():
+        got.setdefault(r.doc_id, set()).add((r.start_word, r.n_words))
+    for i, text in enumerate(texts[:-1]):
+        words = (text or "").split()
+        repeats = brute_maximal_repeats(words, 3)
+        inside = sorted({x for n, places in repeats for p in places for x in range(p, p + n)})
+        starts = [x for x in inside if x - 1 not in inside]
+        wanted = {(a, next(n for n in range(1, 99) if a + n not in inside)) for a in starts}
+        assert got.get(i, set()) == wanted
+        assert (rules[i].covered_words, rules[i].n_repeats) == (len(inside), len(repeats))
+    last = len(texts) - 1
+    assert got[last] == {(0, 2000)} and rules[last].n_repeats == 1997
+    assert repetition.repeated_spans(df.limit(0)).count() == 0
+
+
 def test_op1_odd_rows(odd, none):
     got = repetition.repetition_rules(odd).collect()
     assert len(got) == len(ODD) and sum(r.n_words == 0 for r in got) == 2

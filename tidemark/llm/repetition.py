@@ -2,7 +2,8 @@
 
 The words of a batch of texts form one integer string in which no two texts share a symbol, so one suffix array
 serves them all and no repeat crosses a text. Prefix doubling refines only suffixes that are still tied, and its
-ranks, kept per level, give the common prefix of neighbours in the array by binary descent.
+ranks, kept per level, give the common prefix of neighbours in the array by binary descent. Common prefixes nest into
+intervals of the array; an interval whose suffixes have different words in front is a maximal repeat.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ RESULT = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "base_failed boolean, kept boolean, covered_words long, longest_repeat long, n_repeats long"
 )
-SPANS = "doc_id long, start_word long, n_words long, occurrences long"
+SPANS = "doc_id long, start_word long, n_words long"
+_MIXED = -2
 
 
 def suffix_ranks(symbols: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -83,14 +85,19 @@ def neighbour_prefixes(array: np.ndarray, levels: list[np.ndarray]) -> np.ndarra
     return lcp
 
 
-def longest_elsewhere(symbols: np.ndarray) -> np.ndarray:
-    """For each position the length of the longest substring from there that occurs elsewhere too."""
+def intervals(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Suffix array, and the common prefixes of its neighbours, which nest into intervals."""
     if not len(symbols):
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     array, levels = suffix_ranks(symbols)
-    lcp = neighbour_prefixes(array, levels)
-    out = np.zeros(len(symbols), np.int64)
-    out[array] = np.maximum(np.r_[lcp, 0], np.r_[0, lcp])
+    return array, neighbour_prefixes(array, levels)
+
+
+def deepest(array: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """For each position the length of the deepest interval that holds it: the longest substring from there found elsewhere."""
+    out = np.zeros(len(array), np.int64)
+    if len(array):
+        out[array] = np.maximum(np.r_[lcp, 0], np.r_[0, lcp])
     return out
 
 
@@ -103,21 +110,39 @@ def covered(reach: np.ndarray, least: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def maximal_repeats(array: np.ndarray, lcp: np.ndarray, symbols: np.ndarray, least: int) -> list[tuple[list[int], int]]:
-    """(positions, length) of each maximal repeated substring: LCP intervals whose left neighbours differ."""
-    out, stack = [], []
-    for r, height in enumerate([*lcp.tolist(), 0]):
-        start = r
-        while stack and stack[-1][1] > height:
-            start, deep = stack.pop()
-            if deep >= least:
-                at = array[start : r + 1]
-                before = np.where(at > 0, symbols[np.maximum(at - 1, 0)], -1)
-                if len(np.unique(before)) > 1:
-                    out.append((sorted(at.tolist()), deep))
-        if height and (not stack or stack[-1][1] < height):
-            stack.append((start, height))
-    return out
+def union_spans(inside: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, length) of the runs of ``inside``, cut where a text begins."""
+    first = np.zeros(len(inside) + 1, bool)
+    first[np.cumsum(lengths)] = first[0] = True
+    starts = np.flatnonzero(inside & (first[:-1] | ~np.r_[False, inside[:-1]][: len(inside)]))
+    ends = np.flatnonzero(inside & (first[1:] | ~np.r_[inside[1:], False][: len(inside)]))
+    return starts, ends - starts + 1
+
+
+def maximal_repeats(array: np.ndarray, lcp: np.ndarray, symbols: np.ndarray, least: int) -> np.ndarray:
+    """Rows (position, length, occurrences) of the maximal repeated substrings of ``least`` symbols or more.
+
+    An interval passes its occurrences, and the symbol before them if it is the same for all, on to the one around it,
+    so the work is one step per suffix however deep intervals nest. The position is that of one occurrence.
+    """
+    out = []
+    high = np.flatnonzero(lcp >= least)
+    for run in np.split(high, np.flatnonzero(np.diff(high) > 1) + 1) if len(high) else []:
+        at = array[run[0] : run[-1] + 2]
+        before = np.where(at > 0, symbols[np.maximum(at - 1, 0)], -1).tolist()
+        at, stack = at.tolist(), []
+        for r, height in enumerate([*lcp[run].tolist(), 0]):
+            occurrences, left = 1, before[r]
+            while stack and stack[-1][0] > height:
+                deep, more, other = stack.pop()
+                occurrences, left = occurrences + more, left if left == other else _MIXED
+                if left == _MIXED:
+                    out.append((at[r], deep, occurrences))
+            if stack and stack[-1][0] == height:
+                _, more, other = stack.pop()
+                occurrences, left = occurrences + more, left if left == other else _MIXED
+            stack.append((height, occurrences, left))
+    return np.array(out, np.int64).reshape(-1, 3)
 
 
 def _word_symbols(texts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -165,7 +190,7 @@ def repetition_rules(
 
     Base: fewer than ``min_words`` words, or more than ``max_window_percent`` of them in windows of ``window`` words that
     occur twice, fails. Method: repeats of at least ``min_repeat`` words may cover at most ``max_covered_percent`` of the
-    words, and none may be longer than ``max_longest`` words.
+    words, and none may be longer than ``max_longest`` words. ``n_repeats`` counts the maximal repeats of that length.
 
     A null or empty text has no words and fails the base rule. A null id stays null. Rows are judged one by one, so
     repeated rows give repeated results; further columns are ignored; an empty table gives an empty result. Texts of
@@ -179,12 +204,15 @@ def repetition_rules(
 
     def judge(ids: list, texts: list) -> list[pa.Array]:
         symbols, n_words = _word_symbols(texts)
-        reach = longest_elsewhere(symbols)
+        array, lcp = intervals(symbols)
+        reach = deepest(array, lcp)
         repeat_words = _per_text(covered(reach, window), n_words, np.add)
-        in_repeats = _per_text(covered(reach, min_repeat), n_words, np.add)
+        starts, lengths = union_spans(covered(reach, min_repeat), n_words)
+        ends = np.cumsum(n_words)
+        in_repeats = np.bincount(np.searchsorted(ends, starts, "right"), lengths, len(ends)).astype(np.int64)
         longest = _per_text(reach, n_words, np.maximum)
-        starts = (reach >= min_repeat) & ~np.r_[False, reach[:-1] == reach[1:] + 1][: len(reach)]
-        n_repeats = _per_text(starts, n_words, np.add)
+        repeats = maximal_repeats(array, lcp, symbols, min_repeat)
+        n_repeats = np.bincount(np.searchsorted(ends, repeats[:, 0], "right"), minlength=len(ends))
         whole = [t or "" for t in texts]
         chars = np.array([len(t) - sum(map(t.count, WORD_SPACES)) for t in whole], np.int64)
         marks = np.array([sum(map(t.count, SYMBOLS)) for t in whole], np.int64)
@@ -200,21 +228,18 @@ def repetition_rules(
 def repeated_spans(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_repeat: int = MIN_REPEAT
 ) -> DataFrame:
-    """Every occurrence of every maximal repeat of a text, in words from 0, with how often it occurs.
+    """The union of all occurrences of all maximal repeats of a text, as spans of words counted from 0.
 
-    Texts without repeats, null texts and empty ones give no row.
+    Spans of one text do not touch, and none is longer than its text. Texts without repeats, null texts and empty ones
+    give no row; repeated rows give repeated spans; further columns are ignored.
     """
 
     def work(batch: pa.RecordBatch):
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            symbols, _ = _word_symbols([text])
-            if len(symbols) < 2:
-                continue
-            array, levels = suffix_ranks(symbols)
-            found = maximal_repeats(array, neighbour_prefixes(array, levels), symbols, min_repeat)
-            rows = [(doc_id, at, n, len(places)) for places, n in found for at in places]
-            if rows:
-                columns = [pa.array(list(c), pa.int64()) for c in zip(*rows)]
-                yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in SPANS.split(", ")])
+        for ids, texts in text_slices(batch.column(0).to_pylist(), batch.column(1).to_pylist(), SLICE_CHARS):
+            symbols, n_words = _word_symbols(texts)
+            starts, lengths = union_spans(covered(deepest(*intervals(symbols)), min_repeat), n_words)
+            text = np.searchsorted(np.cumsum(n_words), starts, "right")
+            columns = [pa.array(ids, pa.int64()).take(pa.array(text)), starts - (np.cumsum(n_words) - n_words)[text], lengths]
+            yield pa.RecordBatch.from_arrays([columns[0], *map(pa.array, columns[1:])], names=[x.split()[0] for x in SPANS.split(", ")])
 
     return map_rows(doc_columns(docs, id_col, text_col), work, SPANS)
