@@ -449,6 +449,20 @@ def test_op8_held_out_accuracy(spark):
     assert all(r.predicted == 1 for r in rows if r.quality == 1)
 
 
+def test_op8_votes_equal_brute_force(spark):
+    docs = read(spark, SF, "documents")
+    model = knn_quality.fit(docs, read(spark, SF, "labels"))
+    got = {r.doc_id: r.score for r in knn_quality.score(docs, model).collect()}
+    for doc_id, text in texts(spark)[:80]:
+        if not text:
+            continue
+        vector = model.project(knn_quality.term_counts(text)[None])[0]
+        similar = sorted(((float(v @ vector), y) for v, y in zip(model.vectors, model.labels)), reverse=True)
+        votes = [(max(c, 0.0) ** knn_quality.POWER, y) for c, y in similar[: knn_quality.NEIGHBOURS]]
+        wanted = sum(w * y for w, y in votes) / max(sum(w for w, _ in votes), 1e-12)
+        assert got[doc_id] == pytest.approx(wanted, abs=2e-3)
+
+
 def test_op8_odd_rows(odd, none, spark):
     labels = spark.createDataFrame([(3, 1), (3, 0), (4, None), (6, 0)], "doc_id long, quality int")
     got = knn_quality.score(odd, knn_quality.fit(odd, labels)).collect()
