@@ -36,14 +36,21 @@ class Star:
     lookup_first: bool = False
 
     def owners(self, *columns: str) -> DataFrame:
-        """Attributes of accounts and their customers by ``account_key``. No hint: Spark broadcasts by measured size."""
+        """Attributes of accounts and their customers by ``account_key``, as the built side of a join."""
         key = self.account_key
         mine = [x for x in columns if x in self.dim_account.columns and x != key]
         other = [x for x in columns if x not in self.dim_account.columns]
         out = self.dim_account.select(key, *dict.fromkeys([*mine, *(["customer_sk"] if other else [])]))
         if other:
-            out = out.join(self.dim_customer.select("customer_sk", *other), "customer_sk", "left")
-        return out.select(key, *columns)
+            out = out.join(self._built(self.dim_customer.select("customer_sk", *other)), "customer_sk", "left")
+        return self._built(out.select(key, *columns))
+
+    def _built(self, dim: DataFrame) -> DataFrame:
+        """The dimension as the side that a join builds; left to estimates, Spark may collect and broadcast the facts.
+
+        A large one is hashed partition by partition, so that the facts are not sorted and a hot key can still be split.
+        """
+        return dim.hint("broadcast" if self.lookup_first else "shuffle_hash")
 
     @property
     def dim_date(self) -> DataFrame:
