@@ -23,3 +23,14 @@ def test_the_facts_are_never_the_broadcast_side(spark, small):
         assert {kind for kind, _ in joins} == {"BroadcastHashJoin" if small else "ShuffledHashJoin"}
     other = replace(star, lookup_first=not small)
     assert pairs(kpi.deposits_by_segment(star)) == pairs(kpi.deposits_by_segment(other))
+
+
+def below_join(df):
+    """The part of the plan under the lookup of the accounts."""
+    plan = plan_of(df, "optimizedPlan")
+    return plan[re.search(r"Join (Inner|LeftOuter)", plan).start():]
+
+
+def test_loans_by_product_are_not_combined_before_the_lookup(spark):
+    star = replace(entry.star(spark, SF), lookup_first=False)
+    assert "Aggregate [date_sk" not in below_join(kpi.npl_by_product(star))

@@ -251,15 +251,15 @@ def segment_growth(star: s.Star) -> DataFrame:
 def npl_by_product(star: s.Star) -> DataFrame:
     """Outstanding and non-performing principal per day, status and product of the account."""
     key, principal = star.account_key, F.col("principal_outstanding_eur")
-    loans = star.fact_loan.withColumn("status", c.loan_bucket(F.col("days_past_due")))
-    parts = {"principal": principal, "npl": F.when(F.col("is_npl"), principal)}
-    small = s.by_keys(star, loans, ["date_sk", key, "status"], parts)
-    rows = small.join(star.owners("product_type"), key, "left").where(
-        F.col("status").isNotNull() & F.col("product_type").isNotNull()
+    loans = star.fact_loan.select("date_sk", key, "days_past_due", "is_npl", principal)
+    rows = (
+        loans.join(star.owners("product_type"), key, "left")
+        .withColumn("status", c.loan_bucket(F.col("days_past_due")))
+        .where(F.col("status").isNotNull() & F.col("product_type").isNotNull())
     )
     mart = rows.groupBy("date_sk", "status", "product_type").agg(
-        F.sum("principal").cast("double").alias("principal_outstanding_eur"),
-        F.coalesce(F.sum("npl"), F.lit(0)).cast("double").alias("npl_eur"),
+        F.sum(principal).cast("double").alias("principal_outstanding_eur"),
+        c.sum_where(F.col("is_npl"), principal).cast("double").alias("npl_eur"),
     )
     return _named(mart).select("date", "status", "product_type", "principal_outstanding_eur", "npl_eur")
 
