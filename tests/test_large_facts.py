@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF, pairs
-from tidemark.plans import kpi
+from tidemark.plans import kpi, measures
 
 
 def plan_of(df, kind="executedPlan"):
@@ -34,3 +34,16 @@ def below_join(df):
 def test_loans_by_product_are_not_combined_before_the_lookup(spark):
     star = replace(entry.star(spark, SF), lookup_first=False)
     assert "Aggregate [date_sk" not in below_join(kpi.npl_by_product(star))
+
+
+def test_snapshots_are_not_combined_before_the_lookup(spark):
+    star, names = replace(entry.star(spark, SF), lookup_first=False), ["total_deposits", "net_loans", "npl_rate_pct"]
+    large = measures.evaluate(star, names, ["date", "segment"])
+    assert "Aggregate [date_sk" not in below_join(measures.evaluate(star, ["net_loans"], ["date", "segment"]))
+    assert pairs(large) == pairs(measures.evaluate(replace(star, lookup_first=True), names, ["date", "segment"]))
+
+
+def test_the_date_is_written_per_cell_and_not_per_fact(spark):
+    star = replace(entry.star(spark, SF), lookup_first=False)
+    lower = below_join(measures.evaluate(star, ["net_loans"], ["date", "segment"]))
+    assert "date_format" not in lower and "make_date" not in lower

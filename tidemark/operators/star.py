@@ -64,13 +64,16 @@ def below_broadcast(dim: DataFrame) -> bool:
     return size <= limit
 
 
-def by_keys(star: Star, facts: DataFrame, keys: list[str], parts: dict[str, Column]) -> DataFrame:
+def by_keys(
+    star: Star, facts: DataFrame, keys: list[str], parts: dict[str, Column], sparse: bool = False
+) -> DataFrame:
     """Additive parts of facts by the keys of their dimensions, ready for a lookup and a further sum.
 
-    Beside a large dimension the facts are combined first, map-side, so a hot key is one row per group when it
-    is shuffled for the lookup.
+    Beside a large dimension postings are combined first, map-side, so a hot key is one row per group when it is shuffled
+    for the lookup. ``sparse`` facts (balances, loans: few rows per key and day) are not: that would shuffle and hold
+    nearly every row once more.
     """
-    if star.lookup_first:
+    if star.lookup_first or sparse:
         return facts.select(*keys, *[part.alias(name) for name, part in parts.items()])
     return facts.groupBy(*keys).agg(*[F.sum(part).alias(name) for name, part in parts.items()])
 

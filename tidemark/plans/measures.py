@@ -85,20 +85,21 @@ def _values(star: Star, fact: str, dated: bool) -> tuple[DataFrame, dict[str, Co
 
 
 def _with_dims(star: Star, fact: str, by: set[str], measures: list[str], dated: bool) -> DataFrame:
-    """The parts of a fact with the dimensions of ``by``. Only dimensions that are asked for are looked up."""
+    """The parts of a fact with the dimensions of ``by``. Only dimensions that are asked for are looked up.
+
+    The date stays its key: it is written out once per cell.
+    """
     txn = fact == "txn"
     owner = [*(["customer_sk"] if txn and ACTIVE & set(measures) else []),
              *sorted(by & (ACCOUNT_DIMS | CUSTOMER_DIMS))]
     channel = txn and bool(by & CHANNEL_DIMS or "digital_channel_mix_pct" in measures)
     keys = ["date_sk", *([star.account_key] if owner else []), *([star.channel_key] if channel else [])]
     rows, parts = _values(star, fact, dated)
-    out = by_keys(star, rows, keys, parts)
+    out = by_keys(star, rows, keys, parts, sparse=bool(owner) and not txn)
     if owner:
         out = out.join(star.owners(*owner), star.account_key, "left")
     if channel:
         out = txn_channel(out, star.dim_channel, star.channel_key)
-    if "date" in by:
-        out = out.withColumn("date", c.iso(c.sk_to_date(F.col("date_sk"))))
     return out
 
 
@@ -183,6 +184,12 @@ def evaluate(star: Star, measures: list[str], dims: list[str], subtotals: str |
 
     def grouped(fact: str, by: list[str]) -> DataFrame:
         rows, parts = _with_dims(star, fact, set(by), measures, "date" in dims), _parts(fact, measures)
+        if "date" not in by:
+            return combined(fact, rows, by, parts)
+        cells = combined(fact, rows, ["date_sk" if x == "date" else x for x in by], parts)
+        return cells.withColumn("date", c.iso(c.sk_to_date(F.col("date_sk")))).drop("date_sk")
+
+    def combined(fact: str, rows: DataFrame, by: list[str], parts: list[Column]) -> DataFrame:
         cells = rows.groupBy(*by).agg(*parts)
         if subtotals:
             sums = [F.sum(x).alias(x) for x in cells.columns if x not in by]
