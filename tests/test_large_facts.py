@@ -47,3 +47,8 @@ def test_the_date_is_written_per_cell_and_not_per_fact(spark):
     star = replace(entry.star(spark, SF), lookup_first=False)
     lower = below_join(measures.evaluate(star, ["net_loans"], ["date", "segment"]))
     assert "date_format" not in lower and "make_date" not in lower
+
+
+def test_growth_works_its_cells_out_once(spark):
+    grown = measures.evaluate(entry.star(spark, SF), ["deposits_growth_pct", "loans_growth_pct"], ["date", "segment"])
+    assert "orders.parquet" not in plan_of(grown) and grown.count() > 0

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as c
 from tidemark.operators.star import Star, by_keys, txn_channel
+from tidemark.session import materialise
 
 ACCOUNT_DIMS = {"product_type", "status"}
 CUSTOMER_DIMS = {"segment", "country"}
@@ -152,6 +153,7 @@ def _grouping_sets(by: list[str], subtotals: str) -> list[list[str]]:
 def _with_day_before(cells: DataFrame, dims: list[str], parts: list[str]) -> DataFrame:
     """Cells on the grid of all their days and all other dimension values, with each part of the calendar day before."""
     other = [d for d in dims if d != "date"]
+    cells = materialise(cells, "cells")  # read three times below, worked out once
     days = cells.agg(F.collect_set("date").alias("days")).scalar()  # calendar days
     grid = cells.select(*other).distinct() if other else cells.limit(1).select(F.lit(1).alias("_one"))
     grid = grid.withColumn("date", F.explode(days)).select(*[F.col(d).alias(f"_{d}") for d in dims])
