@@ -9,10 +9,11 @@ of another), or all three have errors and then two of them have a single one, so
 and the third has at most two (keys: two halves, index of the third). Every link shares a key, and a verified distance
 follows. Fingerprints are reduced to distinct ones first, so copies are never paired.
 
-Groups are found without writing the pairs of a key. In a round every key names one pivot, the smallest fingerprint outside
-the key's largest group, and all its fingerprints are compared with that pivot alone; groups that a verified link joins
-become one. Keys whose fingerprints are all in one group are done. When no pivot joins anything more, what is left in the
-mixed keys is compared outright: the fingerprints outside the largest group with all others of other groups.
+Groups are found without writing the pairs of a key. At first every key compares its fingerprints with the smallest of them;
+a key in which all link with it is done. In a further round a key names one pivot, the smallest fingerprint outside its
+largest group, and all its fingerprints are compared with that pivot alone; groups that a verified link joins become one.
+Keys whose fingerprints are all in one group are done and left out. When no pivot joins anything more, or few comparisons
+are left, the mixed keys are compared outright: the fingerprints outside the largest group with all others of other groups.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ SEGMENTS = ((0, 23), (23, 23), (46, 18))
 #: Fixed value: generator polynomial of the binary Golay code.
 GENERATOR = 0b101011100011
 BLOCK = 100_000
+#: Comparisons for each row of the mixed keys up to which they are made outright.
+PAIRS_A_ROW = 4
 
 
 def _remainders(values: np.ndarray) -> np.ndarray:
@@ -131,10 +134,12 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return left.join(right, "key").where((F.col("a") < F.col("b")) & (_apart("a", "b") <= max_bits)).select("a", "b").distinct()
 
 
-def _shared(prints: DataFrame) -> DataFrame:
-    """(key, fp) for the keys of two fingerprints or more; a key's rows pass one sorted window, which can spill."""
-    keys = fuzzy_keys(prints).withColumn("n", F.count("*").over(Window.partitionBy("key")))
-    return keys.where("n > 1").select("key", "fp")
+def _shared(prints: DataFrame, max_bits: int) -> DataFrame:
+    """(key, fp, pivot, far) for the keys of two fingerprints or more: the key's smallest fingerprint, and how many of the
+    key do not link with it. A key's rows pass sorted windows, which can spill."""
+    same = Window.partitionBy("key")
+    keys = fuzzy_keys(prints).withColumns({"n": F.count("*").over(same), "pivot": F.min("fp").over(same)}).where("n > 1")
+    return keys.withColumn("far", F.count_if(_apart("fp", "pivot") > max_bits).over(same)).drop("n")
 
 
 def _apart(a: str, b: str) -> Column:
@@ -148,34 +153,43 @@ def groups(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """
     if not 0 <= max_bits <= 4:
         raise ValueError("the keys cover distances up to 4")
-    shared = materialise(_shared(prints), "simhash-shared")
-    rooted = materialise(shared.select("fp").distinct().withColumn("root", F.col("fp")), "simhash-rooted")
-    outright = False
+    shared = materialise(_shared(prints, max_bits), "simhash-shared")
+    rooted = shared.select("fp").distinct().withColumn("root", F.col("fp"))
+    near = shared.where((F.col("fp") != F.col("pivot")) & (_apart("fp", "pivot") <= max_bits))
+    first = near.select(F.col("pivot").alias("a"), F.col("fp").alias("b")).distinct()
+    rooted = _merged(rooted, materialise(first, "simhash-joined"))
+    # where all link with the pivot, the key is one group already and has nothing more to compare
+    left, stuck, same = shared.where("far > 0").select("key", "fp"), False, Window.partitionBy("key")
     while True:
-        placed = shared.join(rooted, "fp")
-        sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"), F.min("fp").alias("low"))
-        largest = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"))
-        mixed = sizes.join(largest.where("roots > 1").select("key", "main"), "key").where("root <> main")
+        size = F.struct(F.count("*").over(Window.partitionBy("key", "root")).alias("n"), "root")
+        placed = left.join(rooted, "fp").repartition("key").withColumn("size", size)
+        placed = placed.withColumn("main", F.max("size").over(same)["root"]).drop("size")
+        other = F.col("root") != F.col("main")
+        least = F.min(F.when(other, F.struct(F.col("fp").alias("pivot"), F.col("root").alias("other")))).over(same)
+        mixed = placed.withColumns({"apart": F.count_if(other).over(same), "least": least}).where("apart > 0")
+        mixed = materialise(mixed.select("key", "fp", "root", "main", "apart", "least.*"), "simhash-mixed")
+        pairs, rows = mixed.agg(F.sum("apart"), F.count("*")).first()
+        outright = stuck or not rows or pairs <= PAIRS_A_ROW * rows
+        met = mixed
         if outright:
-            mains = mixed.select("key", "main").distinct()
-            placed = placed.join(mains, "key")
-            few = placed.where("root <> main").select("key", F.col("fp").alias("pivot"), F.col("root").alias("other"))
-        else:
-            pivot = F.min_by(F.struct(F.col("low").alias("pivot"), F.col("root").alias("other")), "low")
-            few = mixed.groupBy("key").agg(pivot.alias("p")).select("key", "p.pivot", "p.other")
-        met = placed.join(few, "key").where((F.col("root") != F.col("other")) & (_apart("fp", "pivot") <= max_bits))
+            few = mixed.where(other).select("key", F.col("fp").alias("pivot"), F.col("root").alias("other"))
+            met = mixed.drop("pivot", "other").join(few, "key")
+        met = met.where((F.col("root") != F.col("other")) & (_apart("fp", "pivot") <= max_bits))
         joined = met.select(F.least("root", "other").alias("a"), F.greatest("root", "other").alias("b")).distinct()
         joined = materialise(joined, "simhash-joined")
-        if joined.isEmpty():
-            if outright:
-                return rooted
-            outright = True
-            continue
-        found = components(joined, "simhash-links").select(F.col("node").alias("root"), F.col("root").alias("new"))
-        rooted = rooted.join(found, "root", "left").select("fp", F.coalesce("new", "root").alias("root"))
-        rooted = materialise(rooted, "simhash-rooted")
+        stuck = joined.isEmpty()
+        if not stuck:
+            rooted = _merged(rooted, joined)
         if outright:
             return rooted
+        left = mixed.select("key", "fp")
+
+
+def _merged(rooted: DataFrame, joined: DataFrame) -> DataFrame:
+    """(fp, root) with the roots that the links ``joined`` (a, b) between roots lead to, written."""
+    found = components(joined, "simhash-links").select(F.col("node").alias("root"), F.col("root").alias("new"))
+    rooted = rooted.join(found, "root", "left").select("fp", F.coalesce("new", "root").alias("root"))
+    return materialise(rooted, "simhash-rooted")
 
 
 def near_duplicates(
