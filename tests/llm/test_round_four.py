@@ -68,3 +68,14 @@ def test_groups_equal_brute_force(spark, monkeypatch, pairs_a_row):
             prints.add(signed(base))
     prints = sorted(prints | {signed(rnd.getrandbits(64)) for _ in range(40)})
     assert found(spark, prints, monkeypatch)[0] == brute(prints)
+
+
+def test_merged_pieces_are_kept_as_bytes():
+    """The collector visits lists and not bytes; the memory holds the ids of a piece as they are put out."""
+    import public_tokenizers
+
+    from tidemark.llm import byte_bpe
+
+    words = byte_bpe.load_vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    coded = words.encode("qzxjv kwvpq, qzxjv")
+    assert coded and all(type(x) is bytes for x in [*words.merged.values(), *words.units.values()])

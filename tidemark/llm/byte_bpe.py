@@ -7,9 +7,9 @@ the space-delimited units it has met, in a memory of bounded size, so that a fre
 from __future__ import annotations
 
 import base64
-import heapq
 import re
 import struct
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -106,7 +106,7 @@ class Vocabulary:
 
     def _forget(self) -> None:
         self.units: dict[str, bytes] = {}
-        self.merged: dict[bytes, list[int]] = {}
+        self.merged: dict[str, bytes] = {}  # bytes, which the collector need not visit
         self.known = _Known(self)
         self.compiled = None
 
@@ -124,33 +124,37 @@ class Vocabulary:
     def merge(self, piece: bytes) -> list[int]:
         """BPE of a piece that is no vocabulary entry: the lowest rank first, the leftmost of equals."""
         n = len(piece)
-        after = list(range(1, n + 2))  # end of the part that starts here
+        after = list(range(1, n + 2))  # end of the part that starts here, -1 where none does any more
         before = list(range(-1, n))  # start of the part that ends here
-        alive = [True] * n + [False]
         known = self.known
         if len(known) > MEMORY_UNITS:
             known.clear()
-        pairs = [piece[i : i + 2] for i in range(n - 1)]
-        heap = [(rank, i, i + 2) for i, rank in enumerate(map(known.__getitem__, pairs)) if rank >= 0]
-        heapq.heapify(heap)
+        heap = []
+        for i in range(n - 1):
+            rank = known[piece[i : i + 2]]
+            if rank >= 0:
+                heap.append((rank, i, i + 2))
+        heapify(heap)
         while heap:
-            _, start, end = heapq.heappop(heap)
+            _, start, end = heappop(heap)
             middle = after[start]
-            if not alive[start] or not alive[middle] or after[middle] != end:
+            if after[middle] != end:  # of a part that is gone: after[-1] is beyond every end
                 continue
-            alive[middle] = False
+            after[middle] = -1
             after[start] = end
-            before[end] = start
-            left = before[start]
-            if left >= 0:
+            if start:
+                left = before[start]
                 rank = known[piece[left:end]]
                 if rank >= 0:
-                    heapq.heappush(heap, (rank, left, end))
+                    heappush(heap, (rank, left, end))
             if end < n:
+                before[end] = start
                 right = after[end]
                 rank = known[piece[start:right]]
                 if rank >= 0:
-                    heapq.heappush(heap, (rank, start, right))
+                    heappush(heap, (rank, start, right))
+        if after[0] == n:
+            return [known[piece]]
         ids, at = [], 0
         while at < n:
             ids.append(known[piece[at : after[at]]])
@@ -160,17 +164,19 @@ class Vocabulary:
     def encode_unit(self, unit: str) -> bytes:
         if self.compiled is None:
             self.compiled = regex.compile(self.pattern)
-        ids: list[int] = []
-        for piece in map(utf8, self.compiled.findall(unit)):
-            coded = self.merged.get(piece)
+        merged, parts = self.merged, []
+        for piece in self.compiled.findall(unit):
+            coded = merged.get(piece)
             if coded is None:
-                whole = self.rank(piece)
-                coded = self.merge(piece) if whole is None else [whole]
-                if len(self.merged) > MEMORY_UNITS:
-                    self.merged.clear()
-                self.merged[piece] = coded
-            ids.extend(coded)
-        return struct.pack(f"<{len(ids)}i", *ids)
+                data = utf8(piece)
+                whole = self.rank(data)
+                ids = self.merge(data) if whole is None else [whole]
+                coded = struct.pack(f"<{len(ids)}i", *ids)
+                if len(merged) > MEMORY_UNITS:
+                    merged.clear()
+                merged[piece] = coded
+            parts.append(coded)
+        return parts[0] if len(parts) == 1 else b"".join(parts)
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian 32-bit integers."""
