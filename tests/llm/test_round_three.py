@@ -265,6 +265,22 @@ def test_op3_ids_of_hostile_texts(parts):
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(
+    ["the", "été", "ö", "ß", "×", "÷", "À", "'s", "'", "~'s", "12", "½", "µ", ".", "!!", "###", "_", "\x7f", "\x85", "\x1c", "K",
+     "中", "<|endoftext|>", "\u0301", " ", "\t"]), max_size=9))
+def test_op3_ids_of_parts(parts):
+    test_op3_ids_of_hostile_texts.hypothesis.inner_test(parts)
+
+
+def test_op3_plain_units_need_the_model_only():
+    """Words, digits and marks: ids by the tokenizer's model, without its normalizer, regular expression and offsets."""
+    encoder = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    text = "Unbelievable, été größer!! 12 x2y ### the the"
+    encoder.memory.tokenizer = None
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_op4_near_copies_make_few_rows(spark):
     """A large group of near copies is joined by pivots: the edges between groups stay fewer than the fingerprints."""
     rng = np.random.default_rng(8)

@@ -9,7 +9,9 @@ their range by rank.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -24,7 +26,7 @@ from tidemark.session import materialise
 CAPACITY, END_ID = 4096, 1
 #: Rows that one task ranks at a time, on average; and the least number of parts a length is dealt to.
 RANKED_ROWS, MIN_PARTS = 100_000, 64
-MEMORY_UNITS, WORDS = 800_000, 64
+MEMORY_UNITS = 800_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
 _ENCODERS: dict[str, Encoder] = {}
@@ -33,63 +35,67 @@ _ENCODERS: dict[str, Encoder] = {}
 class Encoder:
     """Ids of texts; what stands between ASCII white space is encoded apart and remembered, within a bound.
 
-    The tokenizer lower-cases and gives letters and marks ids of their own, so units are told apart by their lower case
-    only, and a mark behind a letter is taken off before a unit is encoded. Added tokens are matched and combining marks
-    composed before lower-casing: a unit that holds one, the token in any case, is told apart as it stands. Units met
-    lately, and those met before them, are two memories; the older one is dropped when the newer one is full.
+    The tokenizer lower-cases and gives letters, digits and marks ids of their own, so units are told apart by their lower
+    case only, and a unit of parts that need no normalizing is the ids of its parts, each by the tokenizer's model. Added
+    tokens are matched and combining marks composed before lower-casing: a unit that holds one, the token in any case, is
+    told apart as it stands and encoded by the whole tokenizer, like all other units.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.memory = _Memory(self.tokenizer, {})
         self.odd = [utf8(t.content).lower() for t in self.tokenizer.get_added_tokens_decoder().values()] + _COMBINING
-        self.memory: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
 
     def _units(self, text: str) -> list[bytes]:
         data = utf8(text)
         lower = data.lower()
         if not any(t in lower for t in self.odd):
             return lower.split()
-        return [u if any(t in low for t in self.odd) else low for u, low in zip(data.split(), lower.split())]
+        units = [u if any(t in low for t in self.odd) else low for u, low in zip(data.split(), lower.split())]
+        for unit in {u for u in units if any(t in u.lower() for t in self.odd)}.difference(self.memory):
+            self.memory[unit] = self.memory.whole(unit)
+        return units
 
     def encode(self, text: str) -> bytes:
-        units = self._units(text)
-        try:
-            return b"".join(map(self.memory.__getitem__, units))
-        except KeyError:
-            if len(self.memory) > MEMORY_UNITS:
-                self.older, self.memory = self.memory, {}
-            memory, older = self.memory, self.older
-            fresh = set(units).difference(memory)
-            if older:
-                memory.update((u, older[u]) for u in fresh if u in older)
-                fresh = fresh.difference(memory)
-            marked = [u for u in fresh if len(u) > 1 and u[-1] in _MARKS and 97 <= u[-2] <= 122]
-            self._learn([w for w in fresh.difference(marked).union(u[:-1] for u in marked).union(_ENDS) if w not in memory])
-            for unit in marked:
-                memory[unit] = memory[unit[:-1]] + memory[unit[-1:]]
-            return b"".join(map(memory.__getitem__, units))
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Ids of words, WORDS at a time as one text; a token belongs to the word in which it starts."""
-        for at in range(0, len(words), WORDS):
-            some = words[at : at + WORDS]
-            plain = [w.decode() for w in some]
-            coded = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
-            ids = np.array(coded.ids, "<u4").tobytes()
-            starts = np.fromiter((first for first, _ in coded.offsets), np.int64, len(coded.ids))
-            ends = np.searchsorted(starts, np.cumsum([len(w) + 1 for w in plain]), "left") * 4
-            start = 0
-            for word, end in zip(some, ends.tolist()):
-                self.memory[word] = ids[start:end]
-                start = end
-
-
-#: Marks that may stand behind a word.
-_MARKS = b",.;:!?"
+        if len(self.memory) > MEMORY_UNITS:
+            self.memory.older = {}
+            self.memory = _Memory(self.tokenizer, self.memory)
+        return b"".join(map(self.memory.__getitem__, self._units(text)))
+
+
+class _Memory(dict):
+    """Ids by unit, worked out when first asked for. Units met lately, and those met before them, are two memories; the
+    older one is dropped when the newer one is full."""
+
+    def __init__(self, tokenizer: Tokenizer, older: dict[bytes, bytes]):
+        super().__init__()
+        self.tokenizer, self.model, self.older = tokenizer, tokenizer.model, older
+
+    def whole(self, unit: bytes) -> bytes:
+        return array("I", self.tokenizer.encode(unit.decode(), add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, unit: bytes) -> bytes:
+        ids = self.older.get(unit)
+        if ids is None:
+            parts = [unit] if unit.isalpha() else _PARTS.findall(unit)
+            if sum(map(len, parts)) < len(unit):
+                ids = self.whole(unit)
+            elif len(parts) > 1:
+                ids = b"".join([self[part] for part in parts])
+            else:
+                name = unit.decode() if unit.isascii() else unit.decode("latin-1").translate(_BYTE_LEVEL)
+                ids = array("I", [token.id for token in self.model.tokenize(name)]).tobytes()
+        self[unit] = ids
+        return ids
+
+
+#: Parts that the tokenizer cuts apart and leaves as they are: lower-case letters (ASCII and Latin-1), a digit, ASCII marks
+#: but the apostrophe, which may take letters along.
+_PARTS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 #: First bytes of the combining marks that compose with ASCII letters.
 _COMBINING = [b"\xcc", b"\xcd"]
-_ENDS = [_MARKS[i : i + 1] for i in range(len(_MARKS))]
+#: The characters by which byte-level models name the bytes that do not print.
+_BYTE_LEVEL = {b: 256 + n for n, b in enumerate([*range(33), *range(127, 161), 173])}
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
