@@ -7,7 +7,9 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF, pairs
+from tidemark.operators import star as st
 from tidemark.plans import kpi, measures
+from tidemark.session import materialise
 
 
 def plan_of(df, kind="executedPlan"):
@@ -52,3 +54,21 @@ def test_the_date_is_written_per_cell_and_not_per_fact(spark):
 def test_growth_works_its_cells_out_once(spark):
     grown = measures.evaluate(entry.star(spark, SF), ["deposits_growth_pct", "loans_growth_pct"], ["date", "segment"])
     assert "orders.parquet" not in plan_of(grown) and grown.count() > 0
+
+
+def test_dimensions_are_measured_unpacked(spark):
+    """Files far below the threshold, rows beyond it: no join sends the dimension through the driver."""
+    keys = spark.range(120_000).selectExpr("id customer_id", "id + 1 customer_sk", "id account_id", "id + 1 account_sk")
+    dim = materialise(keys, "dim")
+    packed = int(str(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(packed + 1))
+    try:
+        assert not st.below_broadcast(dim) and st.below_broadcast(dim.limit(10)) and not st.below_broadcast(dim.limit(10), dim)
+        for out in (
+            st.dim_account_customer(dim.select("account_id", "customer_id"), dim),
+            st.fact_account_keys(dim.select("account_id", "customer_id"), dim),
+        ):
+            assert "BroadcastHashJoin" not in plan_of(out) and out.count() == 120_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -20,8 +20,9 @@ class Star:
     their dimensions: surrogate keys in stored silver, natural keys in facts not joined yet. A dimension has
     both, so a plan over unjoined facts can aggregate first and look up a key once per group.
 
-    ``lookup_first`` says that the account dimension is below the session's broadcast threshold: then facts take its
-    attributes as they are scanned, and only a few rows per result group are shuffled. It picks the plan only.
+    ``lookup_first`` says that the account and customer dimensions, unpacked, are below the session's broadcast threshold:
+    then facts take their attributes as they are scanned, and only a few rows per result group are shuffled. It picks the
+    plan only.
     """
 
     dim_customer: DataFrame
@@ -57,11 +58,24 @@ class Star:
         return dim_date([self.fact_transaction, self.fact_account_balance, self.fact_loan])
 
 
-def below_broadcast(dim: DataFrame) -> bool:
-    """Whether a stored dimension has fewer bytes than Spark broadcasts by itself; a threshold of -1 is never met."""
-    size = int(str(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    limit = dim.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return size <= limit
+def below_broadcast(*dims: DataFrame) -> bool:
+    """Whether each stored dimension, unpacked, has fewer bytes than Spark broadcasts by itself; a threshold of -1 is
+    never met.
+
+    Spark measures the files of a stored table. Those are packed many times smaller than the rows that the driver would
+    hold, so the rows are counted, which reads file footers only, and taken at the widths of their types.
+    """
+    limit = dims[0].sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return limit > 0 and all(dim.count() * (dim._jdf.schema().defaultSize() + ROW_BYTES) <= limit for dim in dims)
+
+
+#: What a row takes in memory beside its values.
+ROW_BYTES = 8
+
+
+def _measured(dim: DataFrame) -> DataFrame:
+    """A stored dimension for a join by its unpacked size: a large one is merge-joined, never sent through the driver."""
+    return dim if below_broadcast(dim) else dim.hint("merge")
 
 
 def by_keys(
@@ -108,7 +122,7 @@ def dim_customer(customers: DataFrame, salt: str, as_of: str, keys: Keys = dense
 
 def dim_account_customer(accounts: DataFrame, customers: DataFrame) -> DataFrame:
     """Accounts with the surrogate key of their customer."""
-    return accounts.join(customers.select("customer_id", "customer_sk"), "customer_id", "left")
+    return accounts.join(_measured(customers.select("customer_id", "customer_sk")), "customer_id", "left")
 
 
 def dim_account(accounts: DataFrame, customers: DataFrame, as_of: str, keys: Keys = dense) -> DataFrame:
@@ -169,9 +183,9 @@ def loan_values(snapshots: DataFrame) -> DataFrame:
 
 
 def fact_account_keys(values: DataFrame, accounts: DataFrame) -> DataFrame:
-    """The account's surrogate key for its natural key. Neither side is hinted: a small dimension is broadcast
-    by its measured size, a large one is merge-joined and a hot account is split by the skew join."""
-    return values.join(accounts.select("account_id", "account_sk"), "account_id", "left").drop("account_id")
+    """The account's surrogate key for its natural key. A small dimension is broadcast by its unpacked size, a large one
+    is merge-joined and a hot account is split by the skew join."""
+    return values.join(_measured(accounts.select("account_id", "account_sk")), "account_id", "left").drop("account_id")
 
 
 def fact_txn_keys(values: DataFrame, accounts: DataFrame, channels: DataFrame) -> DataFrame:
@@ -241,7 +255,7 @@ def build(
         fact_loan=loan_values(loan_snapshots),
         account_key="account_id",
         channel_key="channel",
-        lookup_first=below_broadcast(account_dim),
+        lookup_first=below_broadcast(account_dim, customer_dim),
     )
 
 

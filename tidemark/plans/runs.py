@@ -238,7 +238,8 @@ def stored_star(lake: Lake, day: str | None = None) -> s.Star:
         return df.where(F.col("date_sk") == _sk(day)) if day else df
 
     dims = {n: lake.scan(f"silver.{n}") for n in DIMS}
-    return s.Star(**dims, **{n: fact(n) for n in FACTS}, lookup_first=s.below_broadcast(dims["dim_account"]))
+    small = s.below_broadcast(dims["dim_account"], dims["dim_customer"])
+    return s.Star(**dims, **{n: fact(n) for n in FACTS}, lookup_first=small)
 
 
 def write_gold(lake: Lake, day: str) -> int:
